@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["marts"]
+MODULES = ["marts", "hourly"]
 
 
 def load_all() -> None:

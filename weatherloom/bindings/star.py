@@ -252,7 +252,7 @@ def star_venues(t: Tables) -> DataFrame:
         k.alias("stadium_id"),
         F.col("n_name").alias("stadium_name"),
         ((k * 53) % 240 / 10.0 + 25).alias("venue_lat"),
-        -((k * 101) % 500 / 10.0 + 70).alias("venue_lon"),
+        (-((k * 101) % 500 / 10.0 + 70)).alias("venue_lon"),
     )
 
 
@@ -262,7 +262,7 @@ def star_stations(t: Tables) -> DataFrame:
         k.alias("station_key"),
         F.col("s_name").alias("station_name"),
         ((k * 37 + 11) % 240 / 10.0 + 25).alias("station_lat"),
-        -((k * 59 + 23) % 500 / 10.0 + 70).alias("station_lon"),
+        (-((k * 59 + 23) % 500 / 10.0 + 70)).alias("station_lon"),
     )
 
 
