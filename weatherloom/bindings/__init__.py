@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["marts", "hourly"]
+MODULES = ["marts", "hourly", "cleaning", "io", "quality"]
 
 
 def load_all() -> None:

@@ -195,7 +195,7 @@ def feat_valid_flags(t: Tables):
     return measures.select("event_id", *[valid_flag(*C.VALID_FLAGS[f]).alias(f) for f in flags])
 
 
-_FEATURES_SQL = (
+FEATURES_SQL = (
     _FORMULA_SQL
     + ", "
     + _LAG_SQL[len(OBS_SQL) + 2 :]
@@ -221,7 +221,7 @@ def features(t: Tables):
 ROUNDED_FEATURES = ["relative_humidity_pct", "wet_bulb_temp_c", "apparent_temp_c", "wind_u_mps", "wind_v_mps"]
 
 
-@query("weather_features", _FEATURES_SQL + " SELECT * FROM features")
+@query("weather_features", FEATURES_SQL + " SELECT * FROM features")
 def weather_features(t: Tables):
     out = features(t).withColumns({c: rounded(F.col(c)) for c in ROUNDED_FEATURES})
     return ntz(out, "obs_hour_utc")
@@ -229,7 +229,7 @@ def weather_features(t: Tables):
 
 @query(
     "feature_null_rates",
-    _FEATURES_SQL
+    FEATURES_SQL
     + " SELECT station_key, obs_year, CAST(count(*) AS BIGINT) AS n_rows, "
     + ", ".join(f"CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS null_rate_{c}" for c in C.FEATURE_MEASURES)
     + " FROM features GROUP BY station_key, obs_year",
@@ -240,7 +240,7 @@ def feature_null_rates(t: Tables):
 
 @query(
     "join_inner",
-    _FEATURES_SQL
+    FEATURES_SQL
     + """ SELECT o.station_key, o.obs_hour_utc, o.obs_present_flag AS weather_obs_present_flag, o.air_temp_c, o.sea_level_pressure_hpa, f.relative_humidity_pct, f.pressure_delta_1h_hpa, f.feature_version
     FROM obs o JOIN features f ON o.station_key = f.station_key AND o.obs_hour_utc = f.obs_hour_utc""",
 )

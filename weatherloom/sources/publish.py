@@ -29,7 +29,8 @@ from weatherloom.operators.gates import (
 from weatherloom.operators.aggregate import row_count
 from weatherloom.sources.sink import _hadoop_path, path_exists, write_partitioned
 
-POINTER = "_CURRENT"
+# not a leading underscore: Spark readers skip such names
+POINTER = "CURRENT"
 
 
 def version_path(target: str, version: str) -> str:
