@@ -15,9 +15,9 @@ A_TS, B_TS, C_TS, RUN_ID = "20240101T000000Z", "20240102T000000Z", "20240103T000
 STAR_TEMP_EDGES, STAR_WIND_EDGES = [10.0, 20.0, 30.0, 40.0], [0.03, 0.06, 0.10]
 
 
-def money(c: str, digits: int = 2) -> Column:
+def money(c: str, digits: int = 12) -> Column:
     """Two-digit amounts as decimals: their sums are exact in any order."""
-    return F.col(c).cast(f"decimal(14,{digits})")
+    return F.col(c).cast(f"decimal({digits},2)")
 
 
 def orders_star(t: Tables) -> DataFrame:
@@ -45,7 +45,7 @@ def star_fact(t: Tables) -> DataFrame:
         F.when(~skip, ones(F.col("l_returnflag") == "N")).alias("rush_attempt"),
         ones(F.col("l_linestatus") == "F").alias("complete_pass"),
         F.when(
-            F.col("l_linenumber") != 7, money("l_extendedprice") * (F.lit(1).cast("decimal(3,0)") - money("l_discount"))
+            F.col("l_linenumber") != 7, money("l_extendedprice") * (F.lit(1).cast("decimal(1,0)") - money("l_discount", 3))
         ).alias("epa"),
         F.nullif(F.col("l_quantity"), F.lit(50.0)).alias("air_temp_c"),
         F.col("l_discount").alias("wind_speed_mps"),

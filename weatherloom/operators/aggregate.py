@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.functions.cleaning import ones, safe_ratio
+from weatherloom.functions.timestamps import stamp_number, stamp_text
 
 
 def summarize(df: DataFrame, aggs: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -91,12 +92,22 @@ SAMPLE = "weather_sample"
 SAMPLES = {"ALL_PLAYS": None, "OBSERVED_ONLY": "weather_observed_flag"}
 
 
-def unit_totals(base: DataFrame, grain: Sequence[str], unit: Sequence[str], samples: Mapping[str, str | None] = SAMPLES) -> DataFrame:
+# how the totals of units add up: counts and sums by sum, the rest by max
+SUMMED = ["n_plays", "n_pass_attempts", "n_rush_attempts", "n_completions", "n_epa_plays", "epa_sum"]
+LARGEST = ["points", "run"]
+RUN_STAMP = "batch_a_build_run_ts"
+
+
+def unit_totals(
+    base: DataFrame, grain: Sequence[str], unit: Sequence[str], samples: Mapping[str, str | None] = SAMPLES
+) -> DataFrame:
     """Totals per grain, unit (a game, or a team's game) and sample.
 
     The facts are read and shuffled once: each sample is a set of conditional sums, and rows are
-    repeated per sample only after this reduction.
+    repeated per sample only after this reduction. All buffers are numbers, so tasks combine rows
+    in hash tables before the shuffle.
     """
+    run = stamp_number(RUN_STAMP)
 
     def totals(member: str | None) -> Column:
         def when_in(c: Column) -> Column:
@@ -110,10 +121,12 @@ def unit_totals(base: DataFrame, grain: Sequence[str], unit: Sequence[str], samp
             F.count(when_in(F.col("epa"))).alias("n_epa_plays"),
             F.sum(when_in(F.col("epa"))).alias("epa_sum"),
             F.max(when_in(F.col("team_points_final"))).alias("points"),
-            F.max(when_in(F.col("batch_a_build_run_ts"))).alias("batch_a_build_run_ts"),
+            F.max(when_in(F.col("run"))).alias("run"),
         )
 
-    per_unit = base.groupBy(*grain, *unit).agg(*[totals(m).alias(s) for s, m in samples.items()])
+    per_unit = base.withColumn("run", run).groupBy(*grain, *unit).agg(
+        *[totals(m).alias(s) for s, m in samples.items()]
+    )
     repeated = per_unit.select(
         *grain,
         *unit,
@@ -126,8 +139,11 @@ def unit_totals(base: DataFrame, grain: Sequence[str], unit: Sequence[str], samp
     )
 
 
-def _long_sum(c: str) -> Column:
-    return F.sum(c).cast("long")
+def collapse_units(units: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Unit totals at fewer keys; counts, sums and maxima all combine."""
+    return units.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in SUMMED], *[F.max(c).alias(c) for c in LARGEST]
+    )
 
 
 def mart(
@@ -137,31 +153,34 @@ def mart(
     team: str = "team",
     game: str = "game_id",
 ) -> DataFrame:
-    """All mart measures at ``grain`` + sample; callers select the columns their contract has.
+    """All mart measures at ``grain`` + sample; callers select the columns their contract has."""
+    unit = [game] if team in grain else [team, game]
+    return mart_of_units(unit_totals(base, grain, unit, samples), grain, team, game)
+
+
+def mart_of_units(
+    units: DataFrame, grain: Sequence[str], team: str = "team", game: str = "game_id"
+) -> DataFrame:
+    """A mart from unit totals at its own grain.
 
     Games are counted, and points averaged, over one row per team and game, so no second pass over
     the facts and no join of two aggregates is needed.
     """
     per_team = team in grain
-    unit = [game] if per_team else [team, game]
-    units = unit_totals(base, grain, unit, samples)
     with_points = F.col("points").isNotNull()
     # with the team in the grain every unit row is a different game
     games = row_count() if per_team else F.count_distinct(game)
     games_points = (
         F.count("points") if per_team else F.count_distinct(F.when(with_points, F.col(game)))
     )
-    aggs = {
-        c: _long_sum(c)
-        for c in ("n_plays", "n_pass_attempts", "n_rush_attempts", "n_completions", "n_epa_plays")
-    }
+    aggs = {c: F.sum(c).cast("long") for c in SUMMED if c != "epa_sum"}
     aggs |= {
         "epa_sum": F.sum("epa_sum"),
         "n_games": games,
         "n_games_points": games_points,
         "n_team_games_points": F.count("points"),
         "points_sum": F.sum("points"),
-        "batch_a_build_run_ts": F.max("batch_a_build_run_ts"),
+        RUN_STAMP: stamp_text(F.max("run")),
     }
     if not per_team:
         aggs["n_teams"] = F.count_distinct(team)

@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.functions.cleaning import bin_category, bin_numeric, flag, present_flag, side_value
 from weatherloom.functions.timestamps import first_ts, text_to_utc
-from weatherloom.operators.aggregate import coverage, mart, null_rates, row_count, summarize
+from weatherloom.operators.aggregate import (
+    collapse_units,
+    coverage,
+    mart,
+    mart_of_units,
+    null_rates,
+    row_count,
+    summarize,
+    unit_totals,
+)
 from weatherloom.operators.columns import fill_unknown, literal_dimension, normalize_timezone, stamp, zone_dimension
 from weatherloom.operators.joins import join_hour, join_interval, join_tier, join_unique, lookup, with_baseline
 from weatherloom.operators.rows import pick_first
+from weatherloom.sources.sink import materialize
 
 RUN_A, RUN_B = C.STAMPS
 
@@ -246,13 +256,11 @@ def _without_sample(grain: list[str]) -> list[str]:
     return [c for c in grain if c != "weather_sample"]
 
 
-def mart_team_season(base: DataFrame, run_ts: str) -> DataFrame:
-    out = mart(base, _without_sample(C.TEAM_GRAIN))
+def _team_columns(out: DataFrame, run_ts: str) -> DataFrame:
     return stamp(out, **{RUN_B: run_ts}).select(*C.TEAM_MART.columns)
 
 
-def mart_play_calling(base: DataFrame, run_ts: str) -> DataFrame:
-    fine = mart(base, _without_sample(C.PLAYCALL_GRAIN))
+def _playcall_columns(fine: DataFrame, run_ts: str) -> DataFrame:
     passes, rushes = "n_pass_attempts", "n_rush_attempts"
     out = with_baseline(
         fine,
@@ -263,19 +271,49 @@ def mart_play_calling(base: DataFrame, run_ts: str) -> DataFrame:
     return stamp(out, **{RUN_B: run_ts}).select(*C.PLAYCALL_MART.columns)
 
 
-def mart_env_compare(base: DataFrame, run_ts: str) -> DataFrame:
-    out = mart(base, _without_sample(C.ENV_GRAIN))
+def _env_columns(out: DataFrame, run_ts: str) -> DataFrame:
     return stamp(out, **{RUN_B: run_ts}).select(*C.ENV_MART.columns)
 
 
-def marts(base: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+TEAM_KEYS = _without_sample(C.TEAM_GRAIN)
+PLAYCALL_KEYS = _without_sample(C.PLAYCALL_GRAIN)
+ENV_KEYS = _without_sample(C.ENV_GRAIN)
+
+
+def mart_team_season(base: DataFrame, run_ts: str) -> DataFrame:
+    return _team_columns(mart(base, TEAM_KEYS), run_ts)
+
+
+def mart_play_calling(base: DataFrame, run_ts: str) -> DataFrame:
+    return _playcall_columns(mart(base, PLAYCALL_KEYS), run_ts)
+
+
+def mart_env_compare(base: DataFrame, run_ts: str) -> DataFrame:
+    return _env_columns(mart(base, ENV_KEYS), run_ts)
+
+
+def mart_units(base: DataFrame) -> DataFrame:
+    """Totals per game at the finest mart grain: the one pass over the facts all marts share."""
+    return unit_totals(base, TEAM_KEYS, ["game_id"])
+
+
+def marts_of_units(units: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+    """The three marts from shared unit totals (written once by the caller, see ``materialize``)."""
+    sample = "weather_sample"
+    playcall = collapse_units(units, [*PLAYCALL_KEYS, "game_id", sample])
+    env = collapse_units(units, [*ENV_KEYS, "team", "game_id", sample])
     return {
-        "team": mart_team_season(base, run_ts),
-        "playcall": mart_play_calling(base, run_ts),
-        "indoor": mart_env_compare(base, run_ts),
+        "team": _team_columns(mart_of_units(units, TEAM_KEYS), run_ts),
+        "playcall": _playcall_columns(mart_of_units(playcall, PLAYCALL_KEYS), run_ts),
+        "indoor": _env_columns(mart_of_units(env, ENV_KEYS), run_ts),
     }
 
 
+def marts(base: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+    """All three marts; the facts are read once and the unit totals written once."""
+    return marts_of_units(materialize(mart_units(base), "mart_units"), run_ts)
+
+
 def mart_summary(df: DataFrame, name: str) -> DataFrame:
     return summarize(
         df,

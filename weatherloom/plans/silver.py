@@ -48,15 +48,20 @@ GAME_ATTRIBUTES = [
 ]
 
 
+# counts and sums of a game, and the scores carried as maxima
+GAME_SUMS = ["pass_attempts", "rush_attempts", "completions", "total_yards", "total_epa", "n_epa"]
+GAME_SCORES = {"home_score_final": "home_score", "away_score_final": "away_score"}
+
+
 def games(raw: DataFrame, parity: bool = False, attributes: list[str] = GAME_ATTRIBUTES) -> DataFrame:
     """Per-game totals.
 
-    One row per game, describing columns by their largest value; ``parity`` groups by them instead,
-    which splits a game whose description varies between plays.
+    One row per game, described by the largest value of each attribute; ``parity`` stops at one
+    row per game and description, which splits a game whose description varies between plays. The
+    plays are always reduced with the (nearly constant) descriptions as keys: taking the largest
+    text of millions of plays would force a sort of them.
     """
     offense = raw.filter(F.col("play_type").isin(*OFFENSE_PLAYS))
-    keys = ["game_id", *attributes] if parity else ["game_id"]
-    describe = {} if parity else {c: F.max(c) for c in attributes}
     totals = {
         "pass_attempts": F.sum(F.col("pass_attempt").try_cast("int")),
         "rush_attempts": F.sum(F.col("rush_attempt").try_cast("int")),
@@ -64,23 +69,22 @@ def games(raw: DataFrame, parity: bool = False, attributes: list[str] = GAME_ATT
         "total_yards": F.sum("yards_gained"),
         "total_epa": F.sum("epa"),
         "n_epa": F.count("epa"),
-        "home_score_final": F.max("home_score"),
-        "away_score_final": F.max("away_score"),
+        **{n: F.max(c) for n, c in GAME_SCORES.items()},
     }
+    out = summarize(offense, totals, ["game_id", *attributes])
+    if not parity:
+        merged = {c: F.max(c) for c in [*attributes, *GAME_SCORES]} | {c: F.sum(c) for c in GAME_SUMS}
+        out = summarize(out, merged, ["game_id"])
     plays = F.col("pass_attempts") + F.col("rush_attempts")
-    return (
-        summarize(offense, {**describe, **totals}, keys)
-        .withColumns(
-            {
-                "avg_epa_play": safe_ratio("total_epa", "n_epa"),
-                "total_points": F.col("home_score_final") + F.col("away_score_final"),
-                "plays": plays,
-                "pass_rate": safe_ratio("pass_attempts", plays),
-                "completion_pct": safe_ratio("completions", "pass_attempts"),
-            }
-        )
-        .drop("n_epa")
-    )
+    return out.withColumns(
+        {
+            "avg_epa_play": safe_ratio("total_epa", "n_epa"),
+            "total_points": F.col("home_score_final") + F.col("away_score_final"),
+            "plays": plays,
+            "pass_rate": safe_ratio("pass_attempts", plays),
+            "completion_pct": safe_ratio("completions", "pass_attempts"),
+        }
+    ).drop("n_epa")
 
 
 VENUE_COLUMNS = C.VENUES.columns
