@@ -370,7 +370,7 @@ def left_lookup(t: Tables):
 def haversine_query(t: Tables):
     """Distance from the customer's nation to the supplier of each order line."""
     out = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.lineitem.join(t.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(star_venues(t), F.col("c_nationkey") == F.col("stadium_id"))
         .join(star_stations(t), F.col("l_suppkey") == F.col("station_key"))

@@ -124,7 +124,7 @@ def safe_ratio_query(t: Tables):
     FROM game""",
 )
 def game_rollup(t: Tables):
-    plays = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    plays = t.lineitem.join(t.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_orderkey").alias("game_id"),
         F.year("o_orderdate").alias("season"),
         F.col("o_orderdate").cast("date").alias("game_date"),

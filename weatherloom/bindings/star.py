@@ -33,7 +33,8 @@ def star_fact(t: Tables) -> DataFrame:
     """Order lines as plays: game = order, team = nation, roof environment = region."""
     side = F.col("o_orderkey") % 3
     skip = F.col("l_quantity") == 49
-    lines = t.lineitem.join(orders_star(t), F.col("l_orderkey") == F.col("o_orderkey"))
+    # orders grow with the lines: neither side has a size bound that would allow a broadcast
+    lines = t.lineitem.join(orders_star(t).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("o_orderkey").alias("game_id"),
         (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("play_id"),
