@@ -410,6 +410,10 @@ def _audits(marts: dict[str, DataFrame], served: dict[str, DataFrame]) -> dict[s
     }
 
 
+def _written_audits(marts: dict[str, DataFrame], served: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {x: materialize(df, f"audit_{x}") for x, df in _audits(marts, served).items()}
+
+
 @query("run_audit", MARTS_SQL + " " + _RUN_AUDIT_SQL)
 def run_audit(t: Tables):
     return _audits(*served_tables(t))["run"]
@@ -502,7 +506,7 @@ def readiness_checklist(t: Tables):
     names += [("STG", f"{c.name.upper()}_LND") for c in C.SERVING.values()]
     names.append(("SANDBOX", "SERV_TEAM_COPY"))
     catalog = t.spark.createDataFrame(names, "table_schema string, table_name string")
-    return serving.readiness(materialize(recon, "recon"), _audits(marts, served), catalog)
+    return serving.readiness(materialize(recon, "recon"), _written_audits(marts, served), catalog)
 
 
 @query(
@@ -522,7 +526,7 @@ def readiness_checklist(t: Tables):
 def dq_run_alignment(t: Tables):
     """The indoor table still carries an older run id; a later failed run does not count."""
     marts, served = served_tables(t)
-    runs = _audits(marts, served)["run"]
+    runs = _written_audits(marts, served)["run"]
     failed = runs.withColumns(
         {"status": F.lit("FAIL"), "serving_build_run_ts": F.lit("20250101T000000Z"), "serving_run_id": F.lit("c1_bad")}
     )

@@ -74,13 +74,14 @@ def normalize_timezone(
 ) -> DataFrame:
     """Replace zone aliases, and null zone ids not listed in ``valid(zone)``.
 
-    A left join against the zone list; no zone value travels to the driver.
+    A left join against the zone list; no zone value travels to the driver. The list is the fixed
+    set of zone names (see ``zone_dimension``), so it may be broadcast.
     """
     named = F.col(tz)
     if aliases:
         lookup = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
         named = F.coalesce(F.try_element_at(lookup, F.col(tz)), F.col(tz))
-    zones = valid.select(F.col("zone").alias(out)).distinct()
+    zones = F.broadcast(valid.select(F.col("zone").alias(out)))
     return (
         df.withColumn("__zone", named)
         .join(zones, F.col("__zone") == F.col(out), "left")

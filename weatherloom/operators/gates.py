@@ -166,19 +166,25 @@ def row_parity_check(source: DataFrame, target: DataFrame, table: str, name: str
     both = labelled_totals(
         {"source": source.agg(row_count().alias("n")), "target": target.agg(row_count().alias("n"))}, "n"
     )
-    return equality_rows(both, table, name, F.col("source"), F.col("target"))
+    return equality_rows(both, table, {name: (F.col("source"), F.col("target"))})
 
 
-def equality_rows(one_row: DataFrame, table: str, name: str, expected: Column, actual: Column, severity: str = "ERROR") -> DataFrame:
-    """A gate row whose expected value is itself computed."""
-    return one_row.select(
-        F.lit(name).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.coalesce(expected.cast("string"), F.lit("null")).alias("expected_value"),
-        F.coalesce(actual.cast("string"), F.lit("null")).alias("actual_value"),
-        F.when(expected.eqNullSafe(actual), "PASS").otherwise("FAIL").alias("status"),
-        F.lit(severity).alias("severity"),
-    )
+def equality_rows(
+    one_row: DataFrame, table: str, pairs: Mapping[str, tuple[Column, Column]], severity: str = "ERROR"
+) -> DataFrame:
+    """Gate rows ``{name: (expected, actual)}`` whose expected values are computed themselves."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.lit(table).alias("table_name"),
+            F.coalesce(expected.cast("string"), F.lit("null")).alias("expected_value"),
+            F.coalesce(actual.cast("string"), F.lit("null")).alias("actual_value"),
+            F.when(expected.eqNullSafe(actual), "PASS").otherwise("FAIL").alias("status"),
+            F.lit(severity).alias("severity"),
+        )
+        for name, (expected, actual) in pairs.items()
+    ]
+    return one_row.select(F.inline(F.array(*rows)))
 
 
 def key_parity(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

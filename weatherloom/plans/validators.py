@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,10 +87,8 @@ def summary_match(summary: DataFrame, df: DataFrame, table: str, facts: Mapping)
     stored = summary.select(*[F.col(n).cast("long").alias(f"was_{n}") for n in facts])
     both = stored.unionByName(now, allowMissingColumns=True)
     one = both.agg(*[F.max(c).alias(c) for c in both.columns])
-    return reduce(
-        DataFrame.unionByName,
-        [equality_rows(one, table, f"summary_{n}", F.col(f"was_{n}"), F.col(f"now_{n}")) for n in facts],
-    )
+    pairs = {f"summary_{n}": (F.col(f"was_{n}"), F.col(f"now_{n}")) for n in facts}
+    return equality_rows(one, table, pairs)
 
 
 def validate_fact(
@@ -216,12 +213,14 @@ def run_alignment(served: Mapping[str, DataFrame], run_audit: DataFrame) -> Data
         )
         both = last.unionByName(seen, allowMissingColumns=True)
         one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+        pairs = {}
         for c in columns:
             low, high = F.col(f"low_{c}"), F.col(f"high_{c}")
             actual = F.when(F.col(f"null_{c}") > 0, F.lit("null")).when(low == high, low).otherwise(
                 F.concat_ws("..", low, high)
             )
-            gates.append(equality_rows(one, C.SERVING[label].name, f"aligned_{c}", F.col(f"want_{c}"), actual))
+            pairs[f"aligned_{c}"] = (F.col(f"want_{c}"), actual)
+        gates.append(equality_rows(one, C.SERVING[label].name, pairs))
     return run_gates(gates)
 
 

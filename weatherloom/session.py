@@ -12,8 +12,6 @@ SETTINGS = {
     # run-time coalescing, skew splitting and broadcast decisions on measured sizes
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # incremental slices replace only the partitions they carry
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
