@@ -322,3 +322,26 @@ def test_enforce_lists_every_failure_and_ignores_warnings(spark):
     with pytest.raises(gates.GateError, match="2 failed checks.*metric_range_x.*not_null_s"):
         gates.enforce(report, "build")
     gates.enforce(report.withColumn("severity", F.lit("WARN")), "build")
+
+
+# --- release -------------------------------------------------------------------------------
+
+
+def test_contract_boundary_spots_strays(spark):
+    from weatherloom.contracts import SERVING
+    from weatherloom.plans.serving import catalog_tables, contract_boundary
+
+    names = [("serving", c.name) for c in SERVING.values()]
+    names += [("STG", "SERV_X_LND"), ("STG", "SERV_X__LOAD_TMP"), ("AUDIT", "run_audit_v1"), ("MART", "serv_copy")]
+    row = contract_boundary(spark.createDataFrame(names, "table_schema string, table_name string")).first()
+    assert (row.serving_tables, row.stray_tables) == (3, 1)
+    assert catalog_tables(spark).columns == ["table_schema", "table_name"]
+
+
+def test_hour_grid_spreads_key_years_before_they_grow(spark):
+    from weatherloom.operators.hourly import hour_grid
+
+    years = spark.createDataFrame([("s", 2020), ("s", 2021), ("s", 2020)], "k string, y int")
+    grid = hour_grid(years, "y")
+    assert grid.count() == 8784 + 8760
+    assert grid.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

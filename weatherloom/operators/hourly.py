@@ -13,11 +13,16 @@ BLOCK_HOURS = 24 * 30
 
 
 def hour_grid(key_years: DataFrame, year: str, out: str = "obs_hour_utc") -> DataFrame:
-    """Every hour of every distinct key-year, January 1 00:00 to December 31 23:00."""
+    """Every hour of every distinct key-year, January 1 00:00 to December 31 23:00.
+
+    One key-year becomes 8,760 rows or more. Adaptive execution sizes tasks by the few bytes before
+    that, so the key-years are spread over a fixed number of tasks first.
+    """
     start = F.make_timestamp(F.col(year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     end = F.make_timestamp(F.col(year), F.lit(12), F.lit(31), F.lit(23), F.lit(0), F.lit(0))
     hours = F.sequence(start, end, F.expr("interval 1 hour"))
-    return key_years.distinct().withColumn(out, F.explode(hours))
+    tasks = int(key_years.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return key_years.distinct().repartition(tasks).withColumn(out, F.explode(hours))
 
 
 def complete_grid(

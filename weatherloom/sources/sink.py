@@ -22,7 +22,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session without that setting falls back to a temporary folder, which is removed
     at exit; on a cluster a machine-local folder would not be visible to other executors.
     """
-    base = spark.conf.get(SHARED_DIR_CONF, None)
+    base = spark.conf.get(SHARED_DIR_CONF, None) or spark.sparkContext.getConf().get(SHARED_DIR_CONF)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder all executors share")
