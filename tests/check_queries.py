@@ -70,6 +70,7 @@ def compare(spark_df, con, sql):
 def main(root: str, only: list[str]) -> int:
     import __spark_entry__ as entry
     from weatherloom.session import build_session
+    from weatherloom.sources.sink import release_scratch
 
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -83,6 +84,7 @@ def main(root: str, only: list[str]) -> int:
             problem = compare(df, con, sql[name]) if name in sql else f"(no sql) rows {df.count()}"
         except Exception as exc:  # report every query, not only the first broken one
             problem = f"{type(exc).__name__}: {str(exc)[:600]}"
+        release_scratch(spark)
         ok = problem is None or problem.startswith("(no sql)")
         bad += not ok
         print(f"{'ok  ' if ok else 'BAD '} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)

@@ -47,6 +47,14 @@ def test_scratch_uses_the_shared_folder(spark):
     assert first.startswith(base) and first != second
 
 
+def test_release_scratch_removes_what_was_written(spark):
+    path = sink.scratch_path(spark, "gone")
+    rows(spark).write.parquet(path)
+    assert sink.path_exists(spark, path)
+    sink.release_scratch(spark)
+    assert not sink.path_exists(spark, path)
+
+
 def test_materialize_keeps_order_types_and_rows(spark):
     df = rows(spark)
     back = sink.materialize(df, "m", ["season"])
@@ -60,6 +68,8 @@ def test_publish_switches_versions(spark, tmp_path):
     live = publish.read_published(spark, target, TABLE)
     assert live.dtypes == [("season", "int"), ("team", "string"), ("rate", "double")]
     assert live.agg(F.min("rate")).first()[0] == 0.9
+    assert publish.drop_old_versions(spark, target) == 1
+    assert publish.read_published(spark, target, TABLE).count() == 400
 
 
 @pytest.mark.parametrize(

@@ -25,6 +25,7 @@ from weatherloom.operators.aggregate import (
     qc_metrics,
     row_count,
     summarize,
+    summarize_distinct,
     table_stats,
 )
 from weatherloom.operators.joins import with_baseline
@@ -190,17 +191,15 @@ def run_summary(t: Tables):
     CAST(sum(weather_observed_flag) AS DOUBLE) / count(*) AS rate_weather_observed FROM fact""",
 )
 def fact_summary(t: Tables):
-    return summarize(
+    out = summarize_distinct(
         star_fact(t),
+        {"game_id": "n_games", "season": "n_seasons"},
         {
-            "n_rows": row_count(),
-            "n_games": F.count_distinct("game_id"),
-            "n_seasons": F.count_distinct("season"),
-            "n_weather_key_matched_rows": F.sum("weather_key_match_flag").cast("long"),
-            "n_weather_observed_rows": F.sum("weather_observed_flag").cast("long"),
-            "rate_weather_observed": F.avg("weather_observed_flag"),
+            "weather_key_match_flag": "n_weather_key_matched_rows",
+            "weather_observed_flag": "n_weather_observed_rows",
         },
     )
+    return out.withColumn("rate_weather_observed", safe_ratio("n_weather_observed_rows", "n_rows"))
 
 
 @query(

@@ -16,6 +16,32 @@ def summarize(df: DataFrame, aggs: Mapping[str, Column], by: Sequence[str] = ())
     return df.groupBy(*by).agg(*columns) if by else df.agg(*columns)
 
 
+def summarize_distinct(
+    df: DataFrame,
+    distinct: Mapping[str, str],
+    sums: Mapping[str, str] | None = None,
+    spans: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row: ``n_rows``, distinct counts ``{column: output}``, sums, and min_/max_ of ``spans``.
+
+    Several distinct counts in one aggregate make Spark repeat every input row per count. Reducing
+    to the combinations of the counted columns first leaves that to a far smaller table.
+    """
+    sums, spans = sums or {}, spans or {}
+    combined = df.groupBy(*distinct).agg(
+        row_count().alias("__n"),
+        *[F.sum(c).alias(f"__sum_{c}") for c in sums],
+        *[fn(c).alias(f"__{name}_{c}") for c in spans for name, fn in (("min", F.min), ("max", F.max))],
+    )
+    return combined.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_rows"),
+        *[F.count_distinct(c).alias(out) for c, out in distinct.items()],
+        *[F.sum(f"__sum_{c}").cast("long").alias(out) for c, out in sums.items()],
+        *[F.min(f"__min_{c}").alias(f"min_{out}") for c, out in spans.items()],
+        *[F.max(f"__max_{c}").alias(f"max_{out}") for c, out in spans.items()],
+    )
+
+
 def row_count() -> Column:
     return F.count(F.lit(1))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom import contracts as C
-from weatherloom.functions.cleaning import bin_category, bin_numeric, flag, present_flag, side_value
+from weatherloom.functions.cleaning import bin_category, bin_numeric, flag, present_flag, safe_ratio, side_value
 from weatherloom.functions.timestamps import first_ts, text_to_utc
 from weatherloom.operators.aggregate import (
     collapse_units,
@@ -16,6 +16,7 @@ from weatherloom.operators.aggregate import (
     null_rates,
     row_count,
     summarize,
+    summarize_distinct,
     unit_totals,
 )
 from weatherloom.operators.columns import fill_unknown, literal_dimension, normalize_timezone, stamp, zone_dimension
@@ -163,22 +164,19 @@ FACT_FLAGS = {
 }
 
 
+FACT_RATES = {
+    "rate_station_mapped": "n_station_mapped_rows",
+    "rate_play_time_parsed": "n_play_time_parsed_rows",
+    "rate_weather_key_matched": "n_weather_key_matched_rows",
+    "rate_weather_observed": "n_weather_observed_rows",
+}
+
+
 def fact_summary(fact: DataFrame) -> DataFrame:
-    return summarize(
-        fact,
-        {
-            "n_rows": row_count(),
-            "n_games": F.count_distinct("game_id"),
-            "n_seasons": F.count_distinct("season"),
-            **{out: F.sum(f).cast("long") for f, out in FACT_FLAGS.items()},
-            "rate_station_mapped": F.avg("station_mapped_flag"),
-            "rate_play_time_parsed": F.avg("play_time_parsed_flag"),
-            "rate_weather_key_matched": F.avg("weather_key_match_flag"),
-            "rate_weather_observed": F.avg("weather_observed_flag"),
-            "min_play_hour_utc": F.min("play_hour_utc"),
-            "max_play_hour_utc": F.max("play_hour_utc"),
-        },
+    out = summarize_distinct(
+        fact, {"game_id": "n_games", "season": "n_seasons"}, FACT_FLAGS, {"play_hour_utc": "play_hour_utc"}
     )
+    return out.withColumns({rate: safe_ratio(n, "n_rows") for rate, n in FACT_RATES.items()})
 
 
 def season_coverage(fact: DataFrame) -> DataFrame:

@@ -74,6 +74,21 @@ def _point_to(spark: SparkSession, target: str, version: str) -> None:
     context.rename(fresh, pointer, overwrite)
 
 
+def drop_old_versions(spark: SparkSession, target: str) -> int:
+    """Delete every version but the current one; returns how many. For when no reader is left on
+    an older version."""
+    root, fs = _hadoop_path(spark, target)
+    keep = version_path(target, current_version(spark, target) or "")
+    old = [
+        s.getPath()
+        for s in fs.listStatus(root)
+        if s.getPath().getName().startswith("version=") and s.getPath().getName() != keep.rsplit("/", 1)[-1]
+    ]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def row_count_check(expected: int) -> Check:
     return Check("row_count", row_count(), expected, lambda a: a == F.lit(expected))
 

@@ -16,6 +16,9 @@ SHARED_DIR_CONF = "spark.checkpoint.dir"
 SUCCESS_MARKER = "_SUCCESS"
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, in the shared folder the cluster names.
 
@@ -29,7 +32,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="weatherloom-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(SHARED_DIR_CONF, base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process wrote. Call it once their results have been read."""
+    while _scratch:
+        path, fs = _hadoop_path(spark, _scratch.pop())
+        fs.delete(path, True)
 
 
 def write_partitioned(
