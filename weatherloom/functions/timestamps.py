@@ -28,10 +28,29 @@ STAMP_PATTERN = r"^(\d{8})T(\d{6})Z$"
 PLAUSIBLE_YEARS = (1990, 2030)
 
 
+def _literals(fmt: str) -> set[str]:
+    """Characters any text of the format must hold: quoted ones and punctuation."""
+    if "[" in fmt:  # optional parts
+        return set()
+    quoted = fmt.split("'")[1::2]
+    plain = "".join(fmt.split("'")[0::2])
+    return {ch for ch in plain if not ch.isalpha()} | set("".join(quoted))
+
+
+def _could_read(text: Column, fmt: str) -> Column:
+    """False for texts the format cannot read; far cheaper than trying."""
+    out = F.lit(True)
+    for ch in sorted(_literals(fmt)):
+        out = out & text.contains(ch)
+    return out
+
+
 def parse_ts(c: Column | str, formats: Sequence[str]) -> Column:
     """First format that reads the text; null when none does."""
     text = as_column(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(
+        *[F.when(_could_read(text, f), F.try_to_timestamp(text, F.lit(f))) for f in formats]
+    )
 
 
 def compose_ts(date: Column | str, clock: Column | str) -> Column:
