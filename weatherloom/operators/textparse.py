@@ -70,19 +70,16 @@ def delimited_tokens(value: Column) -> Column:
     return F.split(F.trim(value), r"\s+")
 
 
-def delimited_fields(value: Column, layout: list[Field]) -> dict[str, Column]:
-    """Integer fields by token number; a missing token is null."""
-    tokens = delimited_tokens(value)
-    return {f.name: F.get(tokens, F.lit(f.start)).try_cast("int") for f in layout}
+def delimited_fields(tokens: Column, layout: list[Field]) -> dict[str, Column]:
+    """Integer fields by token number; a missing token is null, and the minute is the full hour."""
+    fields = {f.name: F.get(tokens, F.lit(f.start)).try_cast("int") for f in layout}
+    return {"minute": F.lit(0), **fields}
 
 
 def observation_time(raw: dict[str, Column]) -> Column:
     """Timestamp of the raw date fields; null for impossible or missing parts."""
-    minute = raw.get("minute", F.lit(0))
-    text = F.format_string(
-        "%04d-%02d-%02d %02d:%02d:00", raw["year"], raw["month"], raw["day"], raw["hour"], minute
-    )
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    parts = [raw[n] for n in ("year", "month", "day", "hour", "minute")]
+    return F.try_make_timestamp(*parts, F.lit(0))
 
 
 def decode_measure(name: str, raw: Column, parity: bool) -> Column:
@@ -93,16 +90,20 @@ def decode_measure(name: str, raw: Column, parity: bool) -> Column:
     return decode_scaled(raw, bounds=bounds)
 
 
+TOKENS = "__tokens"
+
+
 def _observations(df: DataFrame, raw: dict[str, Column], parity: bool) -> DataFrame:
-    passthrough = [c for c in df.columns if c != "value"]
-    # struct first: each raw field is cut out once even though several outputs use it
-    cut = df.withColumn("__raw", F.struct(*[c.alias(n) for n, c in raw.items()]))
-    fields = {n: F.col(f"__raw.{n}") for n in raw}
+    """Typed rows from the raw fields; rows without a readable time are dropped."""
+    passthrough = [c for c in df.columns if c not in ("value", TOKENS)]
+    # a projection of their own, so that a field is cut out once for all its uses
+    cut = df.withColumns({f"__{n}": c for n, c in raw.items()})
+    fields = {n: F.col(f"__{n}") for n in raw}
     measures = [decode_measure(out, fields[src], parity).alias(out) for out, src in MEASURES.items()]
     return cut.select(
         *passthrough,
         observation_time(fields).alias("obs_utc_ts"),
-        fields.get("minute", F.lit(0)).alias("obs_minute"),
+        fields["minute"].alias("obs_minute"),
         *measures,
     ).filter(F.col("obs_utc_ts").isNotNull())
 
@@ -121,5 +122,22 @@ def parse_delimited(
     parity: bool = False,
 ) -> DataFrame:
     """Observations from space-delimited lines with at least ``min_tokens`` tokens."""
-    long_enough = df.filter(F.size(delimited_tokens(F.col("value"))) >= min_tokens)
-    return _observations(long_enough, delimited_fields(F.col("value"), layout), parity)
+    split = df.withColumn(TOKENS, delimited_tokens(F.col("value")))
+    long_enough = split.filter(F.size(TOKENS) >= min_tokens)
+    return _observations(long_enough, delimited_fields(F.col(TOKENS), layout), parity)
+
+
+def parse_by_source(
+    df: DataFrame, source: str, fixed: str = "isd", delimited: str = "isd_lite", parity: bool = False
+) -> DataFrame:
+    """Lines of both formats, told apart by the ``source`` column, in one pass over the files."""
+    is_fixed = F.col(source) == fixed
+    # tokens exist for delimited lines only
+    split = df.withColumn(
+        TOKENS, F.when(F.col(source) == delimited, delimited_tokens(F.col("value")))
+    )
+    known = split.filter(is_fixed | (F.size(TOKENS) >= DELIMITED_MIN_TOKENS))
+    wide = fixed_width_fields(F.col("value"), FIXED_WIDTH_LAYOUT)
+    short = delimited_fields(F.col(TOKENS), DELIMITED_LAYOUT)
+    raw = {n: F.when(is_fixed, c).otherwise(short[n]) for n, c in wide.items()}
+    return _observations(known, raw, parity)

@@ -29,8 +29,8 @@ from weatherloom.operators.aggregate import missing_by_group, null_rate, row_cou
 from weatherloom.operators.columns import conform, stamp
 from weatherloom.operators.hourly import complete_grid, hour_grid, lag_delta
 from weatherloom.operators.nearby import nearest
-from weatherloom.operators.rows import keep, pick_first, split_rejects, union_named, unmatched, validate_rows
-from weatherloom.operators.textparse import parse_delimited, parse_fixed_width
+from weatherloom.operators.rows import keep, pick_first, split_rejects, unmatched, validate_rows
+from weatherloom.operators.textparse import parse_by_source
 from weatherloom.sources.scan import with_path_parts
 
 OFFENSE_PLAYS = ["pass", "run"]
@@ -231,9 +231,7 @@ def parse_lines(lines: DataFrame, parity: bool = False) -> DataFrame:
     tagged = with_path_parts(
         lines, {"source": "string", "station_key": "string"}, names={"source": "source_dataset"}
     )
-    lite = parse_delimited(tagged.filter(F.col("source_dataset") == "isd_lite"), parity=parity)
-    full = parse_fixed_width(tagged.filter(F.col("source_dataset") == "isd"), parity=parity)
-    return union_named(lite, full)
+    return parse_by_source(tagged, "source_dataset", parity=parity)
 
 
 def hourly_observations(lines: DataFrame, manifest: DataFrame, run_ts: str, parity: bool = False) -> DataFrame:

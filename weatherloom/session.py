@@ -12,6 +12,8 @@ SETTINGS = {
     # run-time coalescing, skew splitting and broadcast decisions on measured sizes
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where a later aggregate could have reused its partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
