@@ -251,6 +251,48 @@ def test_join_hour_keeps_rows_without_a_key(spark):
     assert out.count() == 300 and out.filter("v = 1.5").count() == 100 and out.filter("v is null").count() == 200
 
 
+def test_rows_without_a_key_scatter(spark):
+    from weatherloom.operators.joins import spread_nulls
+
+    df = spark.range(5000).select(F.col("id"), F.lit(None).cast("string").alias("k"))
+    keys = df.select(spread_nulls("k", "id").alias("s"))
+    assert keys.distinct().count() > 400 and keys.filter("s is null or s = ''").count() == 0
+
+
+@pytest.mark.parametrize("parity, want", [(False, [1013.2, 998.5, None]), (True, [None, 998.5, None])])
+def test_pressure_bounds_of_the_fixed_width_parser(spark, parity, want):
+    from domain import isd_line
+
+    from weatherloom.operators.textparse import parse_by_source, parse_fixed_width
+
+    texts = [isd_line("202309101653", "360", "0050", "+0210", "+0150", p) for p in ("10132", "09985", "99999")]
+    lines = spark.createDataFrame([(t, "isd") for t in texts], "value string, source string").coalesce(1)
+    assert values(parse_fixed_width(lines, parity=parity), "sea_level_pressure_hpa") == want
+    assert values(parse_by_source(lines, "source", parity=parity), "sea_level_pressure_hpa") == want
+
+
+@pytest.mark.parametrize(
+    "line, kept",
+    [
+        ("2023 02 28 23 -15 -20 9985 360 0 0 0 0", True),
+        ("  2023  02 28 23 -15 -20 9985 360 0 0 0 0 extra ", True),
+        ("2023 02 29 23 -15 -20 9985 360 0 0 0 0", False),
+        ("2023 02 28 24 -15 -20 9985 360 0 0 0 0", False),
+        ("2023 02 28 23 -15 -20 9985 360 0 0 0", False),
+        ("", False),
+    ],
+)
+def test_delimited_lines(spark, line, kept):
+    from weatherloom.operators.textparse import parse_by_source, parse_delimited
+
+    df = spark.createDataFrame([(line, "isd_lite")], "value string, source string")
+    for out in (parse_delimited(df), parse_by_source(df, "source")):
+        rows = out.collect()
+        assert len(rows) == kept
+        if kept:
+            assert (rows[0].air_temp_c, rows[0].dew_point_c, rows[0].obs_minute) == (-1.5, -2.0, 0)
+
+
 def _base(spark, rows):
     names = "season int, team string, temp_bin string, game_id string, is_pass int, is_rush int, is_complete int, epa double, team_points_final double, weather_observed_flag int, batch_a_build_run_ts string"
     return spark.createDataFrame(rows, names)
