@@ -98,6 +98,6 @@ def test_markers(spark, tmp_path):
 
 
 def test_path_part(spark):
-    df = spark.createDataFrame([("gs://b/source=isd/year=2023/station_key=007-1/x.gz",), ("gs://b/x",)], "u string")
+    df = spark.createDataFrame([("file:/b/source=isd/year=2023/station_key=007-1/x.gz",), ("file:/b/x",)], "u string")
     out = df.select(path_part("u", "station_key").alias("k"), path_part("u", "year", "int").alias("y")).collect()
     assert [tuple(r) for r in out] == [("007-1", 2023), (None, None)]

@@ -16,7 +16,7 @@ from weatherloom.bindings.star import (
     star_fact,
     star_marts,
 )
-from weatherloom.functions.cleaning import safe_ratio
+from weatherloom.functions.cleaning import normalize_category, safe_ratio
 from weatherloom.operators.aggregate import (
     category_distribution,
     coverage,
@@ -241,8 +241,6 @@ def null_rates_query(t: Tables):
     CAST(count(*) AS BIGINT) AS "count" FROM part GROUP BY 1""",
 )
 def category_distribution_query(t: Tables):
-    from weatherloom.functions.cleaning import normalize_category
-
     rules = [("contains", "economy", "retractable"), ("equals", "small", "closed")]
     return category_distribution(t.part.select(normalize_category("p_type", rules).alias("roof_type")), "roof_type")
 
