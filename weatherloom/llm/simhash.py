@@ -58,15 +58,15 @@ def fingerprint(raw: bytes | None) -> int:
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = pa.array([fingerprint(x) for x in batch.column(1).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fp"])
+        prints = pa.array([fingerprint(x) for x in batch.column(2).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long) of every row."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        _fingerprints, "doc_id long, fp long"
-    )
+    """(doc_id, text_hash, fp long) of every row."""
+    return docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary")
+    ).mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long")
 
 
 def groups_for(n: int) -> int:
@@ -178,13 +178,8 @@ def links(prints: DataFrame, groups: int | None = None, cell_limit: int = CELL_L
     )
 
 
-def near_duplicates(docs: DataFrame, groups: int | None = None, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text, ...).
-
-    Null and empty texts, and texts of spaces, have the fingerprint zero and link like any other.
-    Repeated rows come back as often as they came. A null doc_id is a row like any other, but names
-    a component only if no row of it has an id. Other columns are ignored.
-    """
+def _classes(docs: DataFrame, groups: int | None, cell_limit: int) -> DataFrame:
+    """(doc_id, fp, text_hash, root, component_id) of every row."""
     prints = written(fingerprints(docs), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
     roots = components(links(distinct.select("fp"), groups, cell_limit))
@@ -192,23 +187,35 @@ def near_duplicates(docs: DataFrame, groups: int | None = None, cell_limit: int
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(placed.join(least, "root").select("fp", "component_id"), "named-prints")
-    return prints.join(named, "fp").select(
+    named = written(placed.join(least, "root").select("fp", "root", "component_id"), "named-prints")
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, groups: int | None = None, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text, ...).
+
+    Null and empty texts, and texts of spaces, have the fingerprint zero and link like any other.
+    Repeated rows come back as often as they came. A null doc_id is a row like any other, but names
+    a component only if no row of it has an id. Other columns are ignored.
+    """
+    return _classes(docs, groups, cell_limit).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, groups: int | None = None, cell_limit: int = CELL_LIMIT) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the one of the least doc_id.
 
-    Of rows with that same doc_id one stays, whichever if they differ. Rows without an id stay only
-    if no row of their group has one, and then one of each distinct row.
+    Of several texts with that doc_id the one of the least hash stays; of rows that share id and
+    text, one. Rows without an id stay only where their group has none with one.
     """
-    found = written(near_duplicates(docs).select("doc_id", "component_id"), "classes")
-    best = found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    best = (
+        _classes(docs, groups, cell_limit).where("doc_id <=> component_id")
+        .groupBy("doc_id", "root", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("doc_id", "root").agg(F.min(F.struct("text_hash", "n")).alias("best"))
+        .select(F.col("doc_id").alias("_id"), F.col("best.text_hash").alias("_hash"), F.col("best.n").alias("_n"))
+    )
     best = written(best, "representatives")
-    kept = docs.join(best.withColumnRenamed("doc_id", "_rep"), F.col("doc_id").eqNullSafe(F.col("_rep"))).drop("_rep")
-    once = kept.where("n_rows = 1").drop("n_rows")
-    return once.unionByName(
-        kept.where("n_rows > 1 and doc_id is not null").drop("n_rows").dropDuplicates(["doc_id"])
-    ).unionByName(kept.where("n_rows > 1 and doc_id is null").drop("n_rows").dropDuplicates())
+    kept = docs.join(best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    once, more = (kept.where(f"_n {how} 1").drop("_id", "_n") for how in ("=", ">"))
+    return once.drop("_hash").unionByName(more.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
