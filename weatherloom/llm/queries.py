@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import simhash
+from weatherloom.llm import quality, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -11,3 +11,47 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op1_simhash_near_dedup")
 def op1(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_OP2_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1)) AS host, coalesce(text, '') AS t FROM documents
+),
+w AS MATERIALIZED (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (
+  SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+),
+rep AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, gram) > 1),
+cover AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+raw_line AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+line AS MATERIALIZED (
+  SELECT r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM raw_line
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM line GROUP BY r),
+normal AS MATERIALIZED (
+  SELECT d.host, d.t, l.r, len(l.ws) AS n, translate(array_to_string(l.ws, ' '),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS form
+  FROM line l JOIN d USING (r)
+),
+frequent AS (SELECT host, form FROM normal GROUP BY host, form HAVING count(DISTINCT t) > 20),
+gone AS (SELECT r, sum(n) AS n FROM normal JOIN frequent USING (host, form) GROUP BY r),
+m AS (
+  SELECT d.doc_id, len(w.ws)::BIGINT AS n_words,
+    length(regexp_replace(d.t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(cover.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(gone.n, 0)::BIGINT AS removed_words
+  FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN cover USING (r) LEFT JOIN gone USING (r)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND 100 * (n_words - removed_words) >= 10 * n_words AS kept
+FROM m
+"""
+
+
+@query("op2_quality_rules", _OP2_SQL)
+def op2(spark, sf_dir):
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("host", "ta", "tb")
