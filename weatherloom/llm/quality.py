@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm.scratch import written
-from weatherloom.llm.text import SPACES, ascii_lower, without, words
+from weatherloom.llm.text import UPPER, WORD_CHAR, text_key, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 #: Percent of words in repeated three-word windows above which a text fails.
 MAX_REPEAT_PERCENT = 50
@@ -49,7 +49,7 @@ def _repeat_words(w: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n", -1), lambda x: without(x, SPACES) != "")
+    return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD_CHAR))
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -59,27 +59,32 @@ def base_measures(docs: DataFrame) -> DataFrame:
     measured = docs.select(
         "doc_id",
         F.xxhash64("source").alias("host"),
-        F.xxhash64("text", F.lit(0)).alias("ta"),
-        F.xxhash64(F.lit(1), "text").alias("tb"),
-        F.length(without(text, SPACES)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        *text_key(F.col("text")),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         _let(
             words(text),
-            lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).cast("long").alias("r")),
+            lambda w: F.struct(
+                F.size(w).cast("long").alias("n"),
+                F.length(F.array_join(w, "")).cast("long").alias("chars"),
+                _repeat_words(w).cast("long").alias("r"),
+            ),
         ).alias("w"),
     )
     n, r = F.col("w.n"), F.col("w.r")
     return measured.select(
-        "doc_id", "host", "ta", "tb", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+        "doc_id", "host", "ta", "tb", n.alias("n_words"), F.col("w.chars").alias("word_chars"), "n_symbols", "n_dup_lines",
         r.alias("n_repeat_words"),
         ((n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)).alias("base_failed"),
     )
 
 
-def normal_line(line: Column) -> Column:
-    """A line's form for counting: words, A-Z lower-cased, digits alike."""
-    return F.translate(ascii_lower(F.array_join(words(line), " ")), "123456789", "0" * 9)
+def normal_lines(text: Column) -> Column:
+    """The form in which a text's lines are counted: words with one space between, A-Z lower-cased,
+    digits alike. One entry per line, empty where it has no word."""
+    other_spaces = "\t\x0b\x0c\r"
+    plain = F.translate(text, UPPER + "123456789" + other_spaces, UPPER.lower() + "0" * 9 + " " * len(other_spaces))
+    return F.transform(F.split(F.regexp_replace(plain, " {2,}", " "), "\n", -1), lambda x: F.trim(x))
 
 
 def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
@@ -87,15 +92,16 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
     the number of its words in them and the lines' hashes."""
     text = F.coalesce("text", F.lit(""))
     line = F.transform(
-        _lines(text),
-        lambda x: F.struct(F.xxhash64(normal_line(x)).alias("h"), F.size(words(x)).alias("w")),
+        F.filter(normal_lines(text), lambda x: x != ""),
+        lambda x: F.struct(
+            F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w")
+        ),
     )
     mark = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("w")))  # counts the copies
     units = (
         docs.select(
             F.xxhash64("source").alias("host"),
-            F.xxhash64("text", F.lit(0)).alias("ta"),
-            F.xxhash64(F.lit(1), "text").alias("tb"),
+            *text_key(F.col("text")),
             F.explode(F.concat(mark, line)).alias("line"),
         )
         .groupBy("host", "ta", "tb", F.col("line.h").alias("h"))
@@ -145,16 +151,16 @@ def apply_rules(docs: DataFrame, clean: bool = False, max_docs: int = MAX_LINE_D
     The verdict depends on host and text alone, so rows meet it by their hashes, whatever their ids.
     """
     keys = ["host", "ta", "tb"]
-    marks = {"host": F.xxhash64("source"), "ta": F.xxhash64("text", F.lit(0)), "tb": F.xxhash64(F.lit(1), "text")}
+    marks = dict(zip(keys, (F.xxhash64("source"), *text_key(F.col("text"))), strict=True))
     kept = verdicts(docs, max_docs).where("kept").select(*keys).distinct()
     if not clean:
         return _semi(docs, kept, marks)
     removed = frequent_lines(docs, max_docs).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("removed").alias("_removed"))
     on = [marks[k] == F.col(f"_{k}") for k in keys]
-    rest = F.filter(
-        F.split("text", "\n", -1),
-        lambda x: (without(x, SPACES) == "") | ~F.array_contains("_removed", F.xxhash64(normal_line(x))),
-    )
+    normal = normal_lines(F.col("text"))
+    rest = _let(normal, lambda n: F.filter(
+        F.split("text", "\n", -1), lambda x, i: (n[i] == "") | ~F.array_contains("_removed", F.xxhash64(n[i]))
+    ))
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return _semi(docs, kept, marks).join(removed, on, "left").withColumn("text", text).select(docs.columns)
 

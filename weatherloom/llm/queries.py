@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import quality, simhash
+from weatherloom.llm import decontaminate, mixing, quality, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -55,3 +55,44 @@ FROM m
 @query("op2_quality_rules", _OP2_SQL)
 def op2(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents")).drop("host", "ta", "tb")
+
+
+_OP4_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+b AS MATERIALIZED (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+),
+win AS MATERIALIZED (
+  SELECT DISTINCT item, array_to_string(ws[i:i + 12], ' ') AS form, len(ws[i:i + 12]) AS n
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)
+),
+size AS (SELECT DISTINCT n FROM win),
+gram AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS form
+  FROM (SELECT r, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM d, size WHERE len(ws) >= n)
+),
+hit AS MATERIALIZED (SELECT r, i, g.n, item FROM gram g JOIN win USING (form, n)),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r
+),
+met AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(met.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(met.ids, '')) AS items_sha256,
+  coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN met USING (r)
+"""
+
+
+@query("op4_benchmark_decontamination", _OP4_SQL)
+def op4(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, items).drop("ta", "tb")
+
+
+@query("op3_mixing_sources")
+def op3(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))

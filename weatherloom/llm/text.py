@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: The characters between words: space and \x09 to \x0D.
 SPACES = " \t\n\x0b\x0c\r"
+SPACE, WORD_CHAR = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -15,23 +16,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def words(text: Column) -> Column:
     """The runs of other characters than :data:`SPACES`, in order; an empty array for null."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
 
 
 def n_words(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    """Number of :func:`words`; zero for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(f"{WORD_CHAR}+")), F.lit(0)).cast("long")
 
 
-def digest(text: Column) -> Column:
-    """A 128-bit name of a text as a pair of longs; null and empty share none."""
-    return F.struct(F.xxhash64(text, F.lit(0)).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+def text_key(text: Column) -> tuple[Column, Column]:
+    """Two hashes that name a text; null and empty have names of their own."""
+    return F.xxhash64(text, F.lit(0)).alias("ta"), F.xxhash64(F.lit(1), text).alias("tb")
 
 
 def sha256_hex(text: Column) -> Column:
