@@ -56,10 +56,10 @@ def test_frequent_lines_of_a_host(documents):
 
 def test_apply(documents):
     menu = "Home News 12 About"
-    rows = [(i, f"{PROSE} {i}\n{menu}\n\nend", None, "a") for i in range(25)] + [(None, "short", None, None), (7, None)]
+    rows = [(i, f"{PROSE} {i}\n{menu}\n\nend{chr(97 + i)}", None, "a") for i in range(25)] + [(None, "short", None, None), (7, None)]
     df = documents(rows)
     kept = quality.apply_rules(df)
     assert kept.columns == df.columns
     assert sorted(r.text for r in kept.collect()) == sorted(r[1] for r in rows[:25])
     clean = quality.apply_rules(df, clean=True)
-    assert sorted(r.text for r in clean.collect()) == sorted(f"{PROSE} {i}\n\nend" for i in range(25))
+    assert sorted(r.text for r in clean.collect()) == sorted(f"{PROSE} {i}\n\nend{chr(97 + i)}" for i in range(25))

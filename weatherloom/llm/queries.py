@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import decontaminate, mixing, quality, simhash
+from weatherloom.llm import decontaminate, mixing, pii, quality, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -96,3 +96,9 @@ def op4(spark, sf_dir):
 @query("op3_mixing_sources")
 def op3(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii_pseudonyms")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonyms(docs)
