@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import chat, decontaminate, mixing, pii, quality, simhash
+from weatherloom.llm import chat, decontaminate, mixing, pii, quality, secrets, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -132,3 +132,8 @@ def op5(spark, sf_dir):
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     return chat.read_back(chat.format_events(chat.row_events(rows)))
+
+
+@query("op7_secret_scan")
+def op7(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
