@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import chat, decontaminate, mixing, pii, quality, secrets, simhash
+from weatherloom.llm import chat, decontaminate, mixing, pii, quality, repeats, secrets, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -137,3 +137,8 @@ def op5(spark, sf_dir):
 @query("op7_secret_scan")
 def op7(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_substring_dedup")
+def op6(spark, sf_dir):
+    return repeats.repeats(table(spark, sf_dir, "documents")).drop("text_hash")
