@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from weatherloom.llm import chat, decontaminate, mixing, pii, quality, repeats, secrets, simhash
+from pyspark.sql import functions as F
+
+from weatherloom.llm import chat, decontaminate, licences, mixing, pii, quality, repeats, secrets, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -142,3 +144,18 @@ def op7(spark, sf_dir):
 @query("op6_substring_dedup")
 def op6(spark, sf_dir):
     return repeats.repeats(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query("op9_licence_scan")
+def op9(spark, sf_dir):
+    """Documents as files of a tree: a directory for each hundred ids below one for each ten
+    thousand, the first document of each being its licence file."""
+    doc = F.col("doc_id")
+    top = F.floor(doc / 10_000).cast("string")
+    sub = F.concat(top, F.lit("/"), F.floor(doc / 100).cast("string"))
+    path = (
+        F.when(doc % 10_000 == 0, F.concat(top, F.lit("/LICENSE")))
+        .when(doc % 100 == 0, F.concat(sub, F.lit("/LICENSE")))
+        .otherwise(F.concat(sub, F.lit("/"), doc.cast("string"), F.lit(".txt")))
+    )
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
