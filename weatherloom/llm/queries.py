@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weatherloom.llm import chat, decontaminate, licences, mixing, pii, quality, repeats, secrets, simhash
+from weatherloom.llm import chat, decontaminate, language, licences, mixing, pii, quality, repeats, secrets, simhash
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -159,3 +159,9 @@ def op9(spark, sf_dir):
         .otherwise(F.concat(sub, F.lit("/"), doc.cast("string"), F.lit(".txt")))
     )
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs, language.train(docs))
