@@ -17,7 +17,7 @@ from weatherloom.operators.aggregate import mart
 from weatherloom.operators.columns import conform
 from weatherloom.operators.hourly import lag_delta, lag_rows, lag_values
 from weatherloom.operators.joins import join_hour
-from weatherloom.operators.nearby import join_distance, nearest
+from weatherloom.operators.nearby import candidates, join_distance, nearest
 from weatherloom.operators.rows import pick_first
 from weatherloom.plans import silver
 
@@ -83,6 +83,25 @@ def test_nearest_equals_brute_force(places, km):
     assert km is not None or len(found) == len(a)
 
 
+def test_nearest_sorts_no_pairs(places):
+    _, _, left, right = places
+    df = nearest(left, right, ("alat", "alon"), ("blat", "blon"), "b", 200.0)
+    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_far_places_meet_few_sites_of_a_cluster(spark):
+    rng = random.Random(8)
+    far = [(i, rng.uniform(-60, 60), rng.uniform(60, 170)) for i in range(300)]
+    cluster = [(i, 40 + rng.gauss(0, 0.3), -100 + rng.gauss(0, 0.3)) for i in range(3000)]
+    left = spark.createDataFrame(far, "a int, alat double, alon double")
+    right = spark.createDataFrame(cluster, "b int, blat double, blon double")
+    pairs = candidates(left, right, ("alat", "alon"), ("blat", "blon"), "b", None)
+    assert pairs.count() < 20 * len(far)
+    found = {r.a: r.distance_km for r in nearest(left, right, ("alat", "alon"), ("blat", "blon"), "b").collect()}
+    for a, *p in far[:40]:
+        assert found[a] == pytest.approx(min(kilometres(p, q) for _, *q in cluster), abs=1e-6)
+
+
 # --- hourly series -------------------------------------------------------------------------
 
 

@@ -26,6 +26,7 @@ from weatherloom.operators.joins import join_hour, join_interval, join_tier, loo
 from weatherloom.operators.nearby import join_distance, nearest
 from weatherloom.operators.rows import pick_first, union_named, unmatched
 from weatherloom.plans import gold, silver
+from weatherloom.sources.sink import materialize
 
 F_TS = "20240101T060000Z"
 
@@ -245,7 +246,8 @@ def feature_null_rates(t: Tables):
     FROM obs o JOIN features f ON o.station_key = f.station_key AND o.obs_hour_utc = f.obs_hour_utc""",
 )
 def join_inner(t: Tables):
-    wide = gold.weather_wide(hourly_obs(t), features(t))
+    obs = materialize(hourly_obs(t), "obs")  # joined with what is derived from it
+    wide = gold.weather_wide(obs, silver.weather_features(obs, F_TS, A_TS))
     wide = wide.withColumn("relative_humidity_pct", rounded(F.col("relative_humidity_pct")))
     columns = [
         *C.HOURLY.grain, "weather_obs_present_flag", "air_temp_c", "sea_level_pressure_hpa", "relative_humidity_pct",
@@ -272,12 +274,13 @@ def union_by_name(t: Tables):
 _TIER_SQL = (
     OBS_SQL
     + """, play AS (
-    SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN 'ST' || (user_id % 8) END AS station_key,
-      CASE WHEN event_id % 7 <> 0 THEN ts WHEN event_id % 5 <> 0 THEN date_trunc('day', ts) END AS play_ts_utc,
+    SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN 'ST' || (user_id // 10) END AS station_key,
+      CASE WHEN event_id % 13 = 0 THEN ts - INTERVAL 2000 DAY WHEN event_id % 7 <> 0 THEN ts
+        WHEN event_id % 5 <> 0 THEN date_trunc('day', ts) END AS play_ts_utc,
       CASE WHEN event_id % 7 <> 0 THEN 'time_of_day' WHEN event_id % 5 <> 0 THEN 'start_time' ELSE 'none' END AS play_ts_source
-    FROM events WHERE event_id % 2 = 1),
+    FROM events),
   joined AS (SELECT p.*, date_trunc('hour', play_ts_utc) AS play_hour_utc, o.obs_hour_utc AS weather_hour_utc, o.air_temp_c, o.obs_present_flag
-    FROM play p LEFT JOIN obs o ON p.station_key = o.station_key AND date_trunc('hour', play_ts_utc) = o.obs_hour_utc AND o.obs_hour_utc < TIMESTAMP '2024-01-20 00:00:00')"""
+    FROM play p LEFT JOIN obs o ON p.station_key = o.station_key AND date_trunc('hour', play_ts_utc) = o.obs_hour_utc)"""
 )
 
 
@@ -291,19 +294,19 @@ _TIER_SQL = (
       WHEN play_ts_source = 'start_time' THEN 'kickoff_fallback' ELSE 'matched_observed' END AS weather_join_tier FROM joined""",
 )
 def event_hour_join(t: Tables):
-    """Odd events as plays; the weather table stops before the last plays, so every tier occurs."""
+    """Events as plays; some are put years before the weather, so every tier occurs."""
     n = F.col("event_id")
-    play = t.events.filter(n % 2 == 1).select(
+    play = t.events.select(
         "event_id",
         F.when(n % 11 != 0, event_station()).alias("station_key"),
-        F.when(n % 7 != 0, F.col("ts").cast("timestamp"))
+        F.when(n % 13 == 0, F.col("ts").cast("timestamp") - F.expr("interval 2000 days"))
+        .when(n % 7 != 0, F.col("ts").cast("timestamp"))
         .when(n % 5 != 0, F.date_trunc("day", F.col("ts").cast("timestamp")))
         .alias("play_ts_utc"),
         F.when(n % 7 != 0, "time_of_day").when(n % 5 != 0, "start_time").otherwise("none").alias("play_ts_source"),
     ).withColumn("play_hour_utc", F.date_trunc("hour", "play_ts_utc"))
-    obs = hourly_obs(t).filter(F.col("obs_hour_utc") < F.lit("2024-01-20 00:00:00").cast("timestamp"))
     out = join_hour(
-        play, obs, "station_key", "play_hour_utc", "obs_hour_utc",
+        play, hourly_obs(t), "station_key", "play_hour_utc", "obs_hour_utc",
         {"air_temp_c": "air_temp_c", "obs_present_flag": "obs_present_flag"}, "event_id",
     )
     out = out.withColumns(
@@ -364,15 +367,14 @@ def left_lookup(t: Tables):
     GEO_SQL
     + """ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, round(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(station_lat - venue_lat) / 2), 2)
       + cos(radians(venue_lat)) * cos(radians(station_lat)) * pow(sin(radians(station_lon - venue_lon) / 2), 2)))), 6) AS distance_km
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN venue ON c_nationkey = stadium_id
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN venue ON o_custkey = stadium_id
     JOIN station ON l_suppkey = station_key""",
 )
 def haversine_query(t: Tables):
-    """Distance from the customer's nation to the supplier of each order line."""
+    """Distance from the customer to the supplier of each order line."""
     out = (
-        t.lineitem.join(t.orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(star_venues(t), F.col("c_nationkey") == F.col("stadium_id"))
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(star_venues(t), F.col("o_custkey") == F.col("stadium_id"))
         .join(star_stations(t), F.col("l_suppkey") == F.col("station_key"))
     )
     d = haversine("venue_lat", "venue_lon", "station_lat", "station_lon")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.bindings.cleaning import VALIDATED_SQL, _validated
 from weatherloom.bindings.registry import Tables, query
-from weatherloom.bindings.star import A_TS, B_TS, C_TS, MARTS_SQL, RUN_ID, star_base
+from weatherloom.bindings.star import A_TS, B_TS, C_TS, MARTS_SQL, RUN_ID, star_base, station_number
 from weatherloom.operators.aggregate import row_count
 from weatherloom.operators.rows import split_rejects
 from weatherloom.operators.textparse import parse_delimited, parse_fixed_width
@@ -75,7 +75,7 @@ def _readings(t: Tables) -> DataFrame:
     return t.events.select(
         "event_id",
         "ts",
-        F.concat(F.lit("72"), F.lpad((F.col("user_id") % 8).cast("string"), 4, "0"), F.lit("-00001")).alias("station_key"),
+        F.concat(F.lit("72"), F.lpad(station_number(), 4, "0"), F.lit("-00001")).alias("station_key"),
         F.year("ts").alias("year"),
         F.when(n % 13 == 0, -9999).otherwise((n % 700 - 300).cast("int")).alias("temp"),
         F.when(n % 13 == 0, -9999).otherwise((n % 700 - 300 - n % 100).cast("int")).alias("dew"),
@@ -86,7 +86,7 @@ def _readings(t: Tables) -> DataFrame:
 
 
 def _reading_sql(minute: str, keep: str = "") -> str:
-    return f"""SELECT event_id, '72' || lpad(CAST(user_id % 8 AS VARCHAR), 4, '0') || '-00001' AS station_key, date_trunc('{minute}', ts) AS obs_utc_ts,
+    return f"""SELECT event_id, '72' || lpad(CAST(user_id // 10 AS VARCHAR), 4, '0') || '-00001' AS station_key, date_trunc('{minute}', ts) AS obs_utc_ts,
     CAST({"minute(ts)" if minute == "minute" else "0"} AS INTEGER) AS obs_minute,
     CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 700 - 300 AS DOUBLE) / 10 END AS air_temp_c,
     CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 700 - 300 - event_id % 100 AS DOUBLE) / 10 END AS dew_point_c,
@@ -97,7 +97,7 @@ def _reading_sql(minute: str, keep: str = "") -> str:
 
 @query(
     "scan_text_lines",
-    """SELECT event_type || ',' || event_id AS value, 'isd' AS source_dataset, CAST(year(ts) AS INTEGER) AS year, lpad(CAST(user_id % 8 AS VARCHAR), 4, '0') AS station_key FROM events""",
+    """SELECT event_type || ',' || event_id AS value, 'isd' AS source_dataset, CAST(year(ts) AS INTEGER) AS year, lpad(CAST(user_id // 10 AS VARCHAR), 4, '0') AS station_key FROM events""",
 )
 def scan_text_lines_query(t: Tables):
     """Lines with the facts their path carries; the station key keeps its zeros."""
@@ -106,7 +106,7 @@ def scan_text_lines_query(t: Tables):
         F.concat_ws(",", "event_type", F.col("event_id").cast("string")).alias("value"),
         F.lit("isd").alias("source"),
         F.year("ts").alias("year"),
-        F.lpad((F.col("user_id") % 8).cast("string"), 4, "0").alias("station_key"),
+        F.lpad(station_number(), 4, "0").alias("station_key"),
     )
     _write_lines(lines, path)
     parts = {"source": "string", "year": "int", "station_key": "string"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weatherloom import contracts as C
-from weatherloom.bindings.hourly import FEATURES_SQL, features, hourly_obs
+from weatherloom.bindings.hourly import F_TS, FEATURES_SQL, hourly_obs
 from weatherloom.bindings.registry import Tables, query
 from weatherloom.bindings.star import A_TS, B_TS, C_TS, FACT_SQL, MARTS_SQL, RUN_ID, star_base, star_fact, star_marts
 from weatherloom.operators.aggregate import null_rates, row_count
@@ -36,7 +36,7 @@ from weatherloom.operators.gates import (
     span_check,
     zero_denominator_check,
 )
-from weatherloom.plans import gold, serving
+from weatherloom.plans import gold, serving, silver
 from weatherloom.plans.validators import bins_complete, run_alignment, summary_match, totals_agree, validate_marts
 from weatherloom.sources.sink import materialize
 
@@ -247,10 +247,11 @@ def dq_zero_denominator(t: Tables):
     FROM (SELECT f.*, CASE WHEN o.sea_level_pressure_hpa > 1020 THEN o.wind_speed_mps + 1 ELSE o.wind_speed_mps END AS w FROM features f JOIN obs o ON f.station_key = o.station_key AND f.obs_hour_utc = o.obs_hour_utc)""",
 )
 def dq_reconstruction(t: Tables):
-    obs = hourly_obs(t)
+    obs = materialize(hourly_obs(t), "obs")
     gust = F.when(F.col("sea_level_pressure_hpa") > 1020, F.col("wind_speed_mps") + 1).otherwise(F.col("wind_speed_mps"))
     source = obs.withColumn("wind_speed_mps", gust)
-    return reconstruction_deviation(source, features(t), C.FEATURES.grain, "wind_speed_mps", "wind_u_mps", "wind_v_mps")
+    built = silver.weather_features(obs, F_TS, A_TS)
+    return reconstruction_deviation(source, built, C.FEATURES.grain, "wind_speed_mps", "wind_u_mps", "wind_v_mps")
 
 
 @query(

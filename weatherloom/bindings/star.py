@@ -33,8 +33,7 @@ def star_fact(t: Tables) -> DataFrame:
     """Order lines as plays: game = order, team = nation, roof environment = region."""
     side = F.col("o_orderkey") % 3
     skip = F.col("l_quantity") == 49
-    # orders grow with the lines: neither side has a size bound that would allow a broadcast
-    lines = t.lineitem.join(orders_star(t).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t.lineitem.join(orders_star(t), F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("o_orderkey").alias("game_id"),
         (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("play_id"),
@@ -179,13 +178,18 @@ indoor_mart AS (SELECT {_columns(C.ENV_MART)} FROM env_all)"""
 # --- hourly weather out of the event stream ------------------------------------------------
 
 
+def station_number(user: str = "user_id") -> Column:
+    """Ten users share a station, so stations grow with the users."""
+    return F.floor(F.col(user) / 10).cast("string")
+
+
 def event_station(user: str = "user_id") -> Column:
-    return F.concat(F.lit("ST"), (F.col(user) % 8).cast("string"))
+    return F.concat(F.lit("ST"), station_number(user))
 
 
 def raw_observations(t: Tables) -> DataFrame:
-    """Even events as station reports."""
-    e = t.events.filter(F.col("event_id") % 2 == 0)
+    """Events as station reports."""
+    e = t.events
     n = F.col("event_id")
     temp = F.when(n % 17 != 0, F.col("value") / 5 - 30)
     return e.select(
@@ -205,8 +209,8 @@ def raw_observations(t: Tables) -> DataFrame:
 
 
 OBS_SQL = """
-WITH raw AS (
-  SELECT 'ST' || (user_id % 8) AS station_key, ts AS obs_utc_ts, date_trunc('hour', ts) AS obs_hour_utc,
+WITH raw AS MATERIALIZED (
+  SELECT 'ST' || (user_id // 10) AS station_key, ts AS obs_utc_ts, date_trunc('hour', ts) AS obs_hour_utc,
     CAST(minute(ts) AS INTEGER) AS obs_minute,
     CASE WHEN event_type IN ('error','view') THEN 'isd' ELSE 'isd_lite' END AS source_dataset,
     'f' || (event_id % 4) AS source_file_uri,
@@ -215,9 +219,9 @@ WITH raw AS (
     value / 8 + 990 AS sea_level_pressure_hpa,
     ((CAST(event_id AS DOUBLE) / 2 * 7) % 1600) / 10 AS wind_speed_mps,
     (CAST(event_id AS DOUBLE) / 2 * 37) % 361 AS wind_dir_deg, event_id
-  FROM events WHERE event_id % 2 = 0
+  FROM events
 ),
-hourly AS (
+hourly AS MATERIALIZED (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY station_key, obs_hour_utc
       ORDER BY CASE WHEN source_dataset = 'isd' THEN 0 ELSE 1 END, abs(obs_minute), source_file_uri, event_id) AS rn
@@ -227,7 +231,7 @@ grid AS (
   SELECT station_key, y AS year_utc, unnest(generate_series(make_timestamp(y, 1, 1, 0, 0, 0), make_timestamp(y, 12, 31, 23, 0, 0), INTERVAL 1 HOUR)) AS obs_hour_utc
   FROM (SELECT DISTINCT station_key, year(obs_utc_ts) AS y FROM raw)
 ),
-obs AS (
+obs AS MATERIALIZED (
   SELECT g.station_key, g.obs_hour_utc, CAST(year(g.obs_hour_utc) AS INTEGER) AS obs_year, CAST(month(g.obs_hour_utc) AS INTEGER) AS obs_month,
     source_dataset, source_file_uri, air_temp_c, dew_point_c, sea_level_pressure_hpa, wind_speed_mps, wind_dir_deg,
     CASE WHEN source_dataset IS NOT NULL THEN 1 ELSE 0 END AS obs_present_flag, '""" + A_TS + """' AS build_run_ts
@@ -247,36 +251,52 @@ def obs_preference() -> list[Column]:
 # --- places --------------------------------------------------------------------------------
 
 
+def spread(key: Column, step: float) -> Column:
+    """A fraction of 1 that keys do not share, evenly filled however many there are."""
+    return key * step - F.floor(key * step)
+
+
+# Steps whose multiples repeat no fraction (inverses of the golden and plastic numbers).
+LAT_STEP, LON_STEP = 0.6180339887498949, 0.7548776662466927
+
+
 def star_venues(t: Tables) -> DataFrame:
-    k = F.col("n_nationkey")
-    return t.nation.select(
+    """Customers as venues."""
+    k = F.col("c_custkey")
+    return t.customer.select(
         k.alias("stadium_id"),
-        F.col("n_name").alias("stadium_name"),
-        ((k * 53) % 240 / 10.0 + 25).alias("venue_lat"),
-        (-((k * 101) % 500 / 10.0 + 70)).alias("venue_lon"),
+        F.col("c_name").alias("stadium_name"),
+        (spread(k, LAT_STEP) * 24 + 25).alias("venue_lat"),
+        (-(spread(k, LON_STEP) * 50 + 70)).alias("venue_lon"),
     )
 
 
 def star_stations(t: Tables) -> DataFrame:
+    """Suppliers as stations, in the southern half of the venues' area, so that some venues are far
+    from all of them."""
     k = F.col("s_suppkey")
     return t.supplier.select(
         k.alias("station_key"),
         F.col("s_name").alias("station_name"),
-        ((k * 37 + 11) % 240 / 10.0 + 25).alias("station_lat"),
-        (-((k * 59 + 23) % 500 / 10.0 + 70)).alias("station_lon"),
+        (spread(k, LON_STEP) * 12 + 25).alias("station_lat"),
+        (-(spread(k, LAT_STEP) * 50 + 70)).alias("station_lon"),
     )
 
 
-GEO_SQL = """
+def _spread_sql(key: str, step: float) -> str:
+    return f"({key} * {step}::DOUBLE - floor({key} * {step}::DOUBLE))"
+
+
+GEO_SQL = f"""
 WITH venue AS (
-  SELECT n_nationkey AS stadium_id, n_name AS stadium_name, ((n_nationkey * 53) % 240) / CAST(10 AS DOUBLE) + 25 AS venue_lat,
-    -(((n_nationkey * 101) % 500) / CAST(10 AS DOUBLE) + 70) AS venue_lon FROM nation
+  SELECT c_custkey AS stadium_id, c_name AS stadium_name, {_spread_sql("c_custkey", LAT_STEP)} * 24 + 25 AS venue_lat,
+    -({_spread_sql("c_custkey", LON_STEP)} * 50 + 70) AS venue_lon FROM customer
 ),
 station AS (
-  SELECT s_suppkey AS station_key, s_name AS station_name, ((s_suppkey * 37 + 11) % 240) / CAST(10 AS DOUBLE) + 25 AS station_lat,
-    -(((s_suppkey * 59 + 23) % 500) / CAST(10 AS DOUBLE) + 70) AS station_lon FROM supplier
+  SELECT s_suppkey AS station_key, s_name AS station_name, {_spread_sql("s_suppkey", LON_STEP)} * 12 + 25 AS station_lat,
+    -({_spread_sql("s_suppkey", LAT_STEP)} * 50 + 70) AS station_lon FROM supplier
 ),
-every AS (
+every AS MATERIALIZED (
   SELECT *, 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(station_lat - venue_lat) / 2), 2)
       + cos(radians(venue_lat)) * cos(radians(station_lat)) * pow(sin(radians(station_lon - venue_lon) / 2), 2)))) AS d
   FROM venue CROSS JOIN station
