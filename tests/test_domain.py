@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weatherloom import contracts as C
 from weatherloom.operators.gates import GateError
-from weatherloom.plans import jobs
+from weatherloom.plans import gold, jobs, serving
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,7 @@ def built(spark, tmp_path_factory):
         weather_text=str(root / "isd"),
         manifest=str(root / "manifest"),
         clock=lambda: start + dt.timedelta(seconds=next(ticks)),
+        year_span=(2020, 2023),
     )
     # a fixture this small misses the acceptance rates on purpose
     rates = {"mapped_rate": 0.5, "parsed_rate": 0.5, "match_rate": 0.5}
@@ -172,3 +173,59 @@ def test_failed_gate_is_audited_and_stops_publication(built, spark, tmp_path):
     run = other.load("serving", C.RUN_AUDIT.name, C.RUN_AUDIT).first()
     assert run.status == "FAIL" and run.dq_fail_count == 1
     assert not jobs.commit_marker_exists(spark, other.path("serving", C.SERVING["team"].name))
+
+
+def test_year_span_of_the_contract_is_enforced(built):
+    ws = built[0]
+    other = jobs.Workspace(**{**ws.__dict__, "year_span": C.YEAR_SPAN})
+    with pytest.raises(GateError, match="span_obs_year expected=2000..2025 actual=2020..2023"):
+        jobs.build_features(other, ws.load("silver", C.HOURLY.name, C.HOURLY), "20240101T000000Z")
+
+
+@pytest.mark.parametrize(
+    "spoil, message",
+    [
+        (lambda m: m.withColumn("batch_b_build_run_ts", F.lit("20230101T000000Z")), "single_batch_b_build_run_ts"),
+        (lambda m: m.withColumn("batch_a_build_run_ts", F.lit(None).cast("string")), "single_batch_a_build_run_ts"),
+        (lambda m: m.drop("n_plays"), "required_columns .*n_plays"),
+        (lambda m: m.withColumnRenamed("pass_rate", "passes"), "required_columns .*pass_rate"),
+    ],
+)
+def test_marts_of_other_builds_are_not_served(built, tmp_path, spoil, message):
+    ws = built[0]
+    other = jobs.Workspace(**{**ws.__dict__, "root": str(tmp_path)})
+    for x, c in C.MARTS.items():
+        mart = ws.load("gold", c.name, c)
+        other.save(spoil(mart) if x == "indoor" else mart, "gold", c.name, c.partitions)
+    with pytest.raises(GateError, match=message):
+        jobs.build_serving(other)
+
+
+def test_stray_serving_table_blocks_release(built, spark):
+    ws = built[0]
+    wanted = {c.name.lower() for c in C.SERVING.values()}
+    assert wanted <= {t.name.lower() for t in spark.catalog.listTables(ws.catalog)}
+    spark.range(1).write.mode("overwrite").option("path", ws.path("published", "stray")).saveAsTable("serv_stray_copy")
+    try:
+        boundary = serving.contract_boundary(serving.catalog_tables(spark), ws.catalog).first()
+    finally:
+        spark.sql("DROP TABLE serv_stray_copy")
+    assert (boundary.serving_tables, boundary.stray_tables) == (3, 1)
+
+
+def test_play_files_of_nested_folders_and_one_branch_per_schema(built, spark, tmp_path):
+    ws = built[0]
+    for i in range(3):
+        spark.range(2).selectExpr("cast(id as double) as play_id", f"'g{i}' as game_id").coalesce(1).write.parquet(f"{tmp_path}/deep/season={i}")
+    spark.range(1).selectExpr("cast(id as int) as play_id", "'h' as game_id").coalesce(1).write.parquet(str(tmp_path / "top"))
+    other = jobs.Workspace(**{**ws.__dict__, "plays": str(tmp_path)})
+    assert len(jobs._play_files(other)) == 2
+    assert jobs.raw_plays(other).count() == 7
+
+
+def test_mart_stamps_of_any_text(spark, built):
+    base = gold.base_rows(built[0].load("gold", jobs.FACT)).withColumn("batch_a_build_run_ts", F.lit("run7"))
+    marts = gold.marts(base, "x")
+    for df in marts.values():
+        assert {r.batch_a_build_run_ts for r in df.select("batch_a_build_run_ts").distinct().collect()} == {"run7"}
+    assert "Expand" not in marts["indoor"]._jdf.queryExecution().executedPlan().toString()

@@ -91,6 +91,44 @@ def test_failed_gate_leaves_the_old_version(spark, tmp_path, spoil, message):
     assert publish.read_published(spark, target, TABLE).count() == 400
 
 
+@pytest.mark.parametrize(
+    "spoil",
+    [
+        lambda df: df.drop("rate"),
+        lambda df: df.withColumnRenamed("team", "club"),
+        lambda df: df.withColumn("rate", F.col("rate").cast("string")),
+        lambda df: df.select("rate", "team", "season"),
+        lambda df: df.withColumn("more", F.lit(1)),
+    ],
+)
+def test_schema_gate_sees_the_files(spark, tmp_path, spoil):
+    target = str(tmp_path / "pub")
+    with pytest.raises(GateError, match="schema expected=matches contract"):
+        publish.publish_swap(spoil(rows(spark)), target, TABLE, "v1")
+    assert publish.current_version(spark, target) is None
+
+
+def test_failed_publish_can_be_repeated_and_the_current_version_stays(spark, tmp_path):
+    target = str(tmp_path / "pub")
+    with pytest.raises(GateError, match="metric_range_rate"):
+        publish.publish_swap(rows(spark, 1.5), target, TABLE, "v1", 400)
+    report = publish.publish_swap(rows(spark), target, TABLE, "v1", 400)
+    assert {r.status for r in report.collect()} == {"PASS"}
+    with pytest.raises(GateError, match="is current"):
+        publish.publish_swap(rows(spark, 0.7), target, TABLE, "v1", 400)
+    assert publish.read_published(spark, target, TABLE).agg(F.max("rate")).first()[0] == 0.5
+
+
+def test_csv_columns_come_by_name(spark, tmp_path):
+    from weatherloom.sources.scan import scan_csv
+
+    path = str(tmp_path / "c")
+    spark.createDataFrame([("7", "x", "007")], "c string, b string, a string").write.option("header", "true").csv(path)
+    assert [tuple(r) for r in scan_csv(spark, path, ["a", "c"]).collect()] == [("007", "7")]
+    with pytest.raises(ValueError, match="lacks"):
+        scan_csv(spark, path, ["a", "d"])
+
+
 def test_markers(spark, tmp_path):
     path = str(tmp_path / "d")
     rows(spark).write.parquet(path)

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.bindings.cleaning import VALIDATED_SQL, _validated
 from weatherloom.bindings.registry import Tables, query
-from weatherloom.bindings.star import A_TS, B_TS, C_TS, MARTS_SQL, RUN_ID, star_base, station_number
+from weatherloom.bindings.star import A_TS, B_TS, C_TS, MARTS_SQL, RUN_ID, star_base, star_marts, station_number
 from weatherloom.operators.aggregate import row_count
 from weatherloom.operators.rows import split_rejects
 from weatherloom.operators.textparse import parse_delimited, parse_fixed_width
 from weatherloom.plans import gold, serving
 from weatherloom.sources.publish import publish_metadata, publish_swap, read_published
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines, with_path_parts
-from weatherloom.sources.sink import append_audit, commit_marker_exists, scratch_path, write_partitioned
+from weatherloom.sources.sink import append_audit, commit_marker_exists, materialize, scratch_path, write_partitioned
 
 
 def season_orders(t: Tables) -> DataFrame:
@@ -49,11 +49,13 @@ def scan_csv_quoted(t: Tables):
     "SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS usaf, c_mktsegment AS station_name, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS lat FROM customer",
 )
 def scan_csv_typed(t: Tables):
-    """Ids keep their zeros because no type is inferred; measures are cast afterwards."""
+    """Columns come by name, whatever their order. Ids keep their zeros because no type is inferred;
+    measures are cast afterwards."""
     path = scratch_path(t.spark, "csv_typed")
     lat = F.when(F.col("c_custkey") % 6 == 0, "bad").otherwise(F.col("c_acctbal").cast("string"))
     t.customer.select(
-        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("USAF"), "c_mktsegment", lat.alias("LAT")
+        lat.alias("LAT"), "c_name", F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("USAF"),
+        F.col("c_mktsegment").alias("NAME"),
     ).write.option("header", "true").csv(path)
     raw = scan_csv(t.spark, path, ["USAF", "NAME", "LAT"])
     return raw.select(
@@ -247,9 +249,9 @@ def commit_marker_check(t: Tables):
 def publish_swap_query(t: Tables):
     """Two versions published one after the other; readers get the second."""
     target = scratch_path(t.spark, "published")
-    base = star_base(t)
+    mart = materialize(star_marts(t)["indoor"], "indoor")
     for version, run_ts in (("v1", B_TS), ("v2", C_TS)):
-        publish_swap(gold.mart_env_compare(base, run_ts), target, C.ENV_MART, version)
+        publish_swap(mart.withColumn("batch_b_build_run_ts", F.lit(run_ts)), target, C.ENV_MART, version)
     return read_published(t.spark, target, C.ENV_MART)
 
 

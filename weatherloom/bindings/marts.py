@@ -17,6 +17,7 @@ from weatherloom.bindings.star import (
     star_marts,
 )
 from weatherloom.functions.cleaning import normalize_category, safe_ratio
+from weatherloom.operators.columns import fill_unknown
 from weatherloom.operators.aggregate import (
     category_distribution,
     coverage,
@@ -61,12 +62,12 @@ def mart_team_season(t: Tables):
 
 @query("mart_play_calling", MARTS_SQL + " SELECT * FROM playcall_mart")
 def mart_play_calling(t: Tables):
-    return gold.mart_play_calling(star_base(t), B_TS)
+    return star_marts(t)["playcall"]
 
 
 @query("mart_env_compare", MARTS_SQL + " SELECT * FROM indoor_mart")
 def mart_env_compare(t: Tables):
-    return gold.mart_env_compare(star_base(t), B_TS)
+    return star_marts(t)["indoor"]
 
 
 @query(
@@ -288,16 +289,17 @@ def table_stats_query(t: Tables):
       ('roof_env_bin','UNKNOWN','Unknown',NULL,NULL,0),('roof_env_bin','INDOOR','Indoor',NULL,NULL,1),('roof_env_bin','OUTDOOR','Outdoor',NULL,NULL,2),('roof_env_bin','RETRACTABLE','Retractable',NULL,NULL,3)),
     used AS (SELECT 'temp_bin' AS bin_type, temp_bin AS bin_value, count(*) AS n FROM fact GROUP BY 2
       UNION ALL SELECT 'wind_bin', wind_bin, count(*) FROM fact GROUP BY 2
-      UNION ALL SELECT 'precip_bin', precip_bin, count(*) FROM fact GROUP BY 2)
+      UNION ALL SELECT 'precip_bin', precip_bin, count(*) FROM fact GROUP BY 2
+      UNION ALL SELECT 'roof_env_bin', coalesce(roof_env_bin, 'UNKNOWN'), count(*) FROM fact GROUP BY 2)
     SELECT bin_type, bin_value, bin_label, CAST(lower_inclusive AS DOUBLE) AS lower_inclusive, CAST(upper_exclusive AS DOUBLE) AS upper_exclusive,
       CAST(sort_order AS BIGINT) AS sort_order, CAST(coalesce(n, 0) AS BIGINT) AS n_plays
     FROM dim LEFT JOIN used USING (bin_type, bin_value)""",
 )
 def dim_bins(t: Tables):
     """The bin dimension with the number of plays in each member."""
-    families = ["temp_bin", "wind_bin", "precip_bin"]
+    families = C.BINS
     pairs = [F.struct(F.lit(b).alias("bin_type"), F.col(b).alias("bin_value")) for b in families]
-    used = star_fact(t).groupBy(*families).agg(row_count().alias("n"))
+    used = fill_unknown(star_fact(t), families).groupBy(*families).agg(row_count().alias("n"))
     used = used.select("n", F.inline(F.array(*pairs))).groupBy("bin_type", "bin_value").agg(F.sum("n").alias("n_plays"))
     dim = gold.bin_dimension(t.spark)
     return dim.join(used, C.BIN_DIMENSION.grain, "left").withColumn("n_plays", F.coalesce("n_plays", F.lit(0)).cast("long"))

@@ -470,7 +470,7 @@ def _recon_sql(run_id: str = RECON_RUN) -> str:
 
 
 def _reconciled(served: dict[str, DataFrame], run_id: str, **wrong: int) -> DataFrame:
-    expected = {x: wrong.get(x, df.count()) for x, df in served.items()}
+    expected = {x: wrong[x] if x in wrong else df.count() for x, df in served.items()}
     return serving.reconcile(served, expected, run_id)
 
 

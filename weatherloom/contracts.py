@@ -41,21 +41,22 @@ class Contract:
 
 
 # Raw play columns kept, in the order of the play table.
-PLAY_COLUMNS = """
-play_id game_id season season_type week game_date home_team away_team posteam defteam
-stadium_id stadium roof surface location start_time time_of_day
-drive qtr down ydstogo yardline_100 goal_to_go quarter_seconds_remaining
-game_seconds_remaining score_differential home_score away_score total_home_score
-total_away_score play_type pass_attempt rush_attempt shotgun no_huddle pass_length
-air_yards yards_after_catch complete_pass yards_gained epa wp wpa
-""".split()
+PLAY_COLUMNS = [
+    "play_id", "game_id", "season", "season_type", "week", "game_date", "home_team", "away_team", "posteam", "defteam",
+    "stadium_id", "stadium", "roof", "surface", "location", "start_time", "time_of_day", "drive", "qtr", "down", "ydstogo",
+    "yardline_100", "goal_to_go", "quarter_seconds_remaining", "game_seconds_remaining", "score_differential", "home_score",
+    "away_score", "total_home_score", "total_away_score", "play_type", "pass_attempt", "rush_attempt", "shotgun", "no_huddle",
+    "pass_length", "air_yards", "yards_after_catch", "complete_pass", "yards_gained", "epa", "wp", "wpa",
+]
 # Whole-number and measured play columns; the others are text, play_id is double.
-PLAY_INTS = set("""
-season week drive qtr down ydstogo yardline_100 goal_to_go quarter_seconds_remaining
-game_seconds_remaining score_differential home_score away_score total_home_score
-total_away_score pass_attempt rush_attempt complete_pass shotgun no_huddle
-""".split())
-PLAY_DOUBLES = set("play_id epa wp wpa air_yards yards_after_catch yards_gained".split())
+PLAY_INTS = {
+    "season", "week", "drive", "qtr", "down", "ydstogo", "yardline_100", "goal_to_go", "quarter_seconds_remaining",
+    "game_seconds_remaining", "score_differential", "home_score", "away_score", "total_home_score", "total_away_score",
+    "pass_attempt", "rush_attempt", "complete_pass", "shotgun", "no_huddle",
+}
+PLAY_DOUBLES = {"play_id", "epa", "wp", "wpa", "air_yards", "yards_after_catch", "yards_gained"}
+# First and last year of the hourly weather.
+YEAR_SPAN = (2000, 2025)
 
 
 def _play_type(name: str) -> T.DataType:

@@ -24,7 +24,6 @@ LOCAL_FORMATS = [
 ]
 CLOCK_PATTERN = r"^(\d{1,2}:\d{2}:\d{2})$"
 DATED_CLOCK_FORMAT = "yyyy-MM-dd H:mm:ss"
-STAMP_PATTERN = r"^(\d{8})T(\d{6})Z$"
 PLAUSIBLE_YEARS = (1990, 2030)
 
 
@@ -83,18 +82,3 @@ def first_ts(labelled: Sequence[tuple[str, Column]], default: str = "none") -> t
     ts = F.coalesce(*[c for _, c in labelled])
     label = first_match([(c.isNotNull(), F.lit(name)) for name, c in labelled], F.lit(default))
     return ts, label
-
-
-def stamp_number(c: Column | str) -> Column:
-    """A yyyyMMddTHHmmssZ run stamp as a number in the same order; null for any other text.
-
-    Aggregates over numbers keep hash aggregation, a text buffer makes Spark sort its input.
-    """
-    digits = F.regexp_extract(as_column(c), STAMP_PATTERN, 1), F.regexp_extract(as_column(c), STAMP_PATTERN, 2)
-    return F.concat(*digits).try_cast("bigint")
-
-
-def stamp_text(c: Column | str) -> Column:
-    """The run stamp a number from ``stamp_number`` stands for."""
-    digits = F.lpad(as_column(c).cast("string"), 14, "0")
-    return F.concat(F.substring(digits, 1, 8), F.lit("T"), F.substring(digits, 9, 6), F.lit("Z"))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.functions.cleaning import ones, safe_ratio
-from weatherloom.functions.timestamps import stamp_number, stamp_text
 
 
 def summarize(df: DataFrame, aggs: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -118,10 +117,10 @@ SAMPLE = "weather_sample"
 SAMPLES = {"ALL_PLAYS": None, "OBSERVED_ONLY": "weather_observed_flag"}
 
 
+RUN_STAMP = "batch_a_build_run_ts"
 # how the totals of units add up: counts and sums by sum, the rest by max
 SUMMED = ["n_plays", "n_pass_attempts", "n_rush_attempts", "n_completions", "n_epa_plays", "epa_sum"]
-LARGEST = ["points", "run"]
-RUN_STAMP = "batch_a_build_run_ts"
+LARGEST = ["points", RUN_STAMP]
 
 
 def unit_totals(
@@ -131,9 +130,9 @@ def unit_totals(
 
     The facts are read and shuffled once: each sample is a set of conditional sums, and rows are
     repeated per sample only after this reduction. All buffers are numbers, so tasks combine rows
-    in hash tables before the shuffle.
+    in hash tables before the shuffle; the run stamp, a text, is a key there, and its largest value
+    is taken over the units, which are few.
     """
-    run = stamp_number(RUN_STAMP)
 
     def totals(member: str | None) -> Column:
         def when_in(c: Column) -> Column:
@@ -147,22 +146,19 @@ def unit_totals(
             F.count(when_in(F.col("epa"))).alias("n_epa_plays"),
             F.sum(when_in(F.col("epa"))).alias("epa_sum"),
             F.max(when_in(F.col("team_points_final"))).alias("points"),
-            F.max(when_in(F.col("run"))).alias("run"),
         )
 
-    per_unit = base.withColumn("run", run).groupBy(*grain, *unit).agg(
-        *[totals(m).alias(s) for s, m in samples.items()]
-    )
+    per_unit = base.groupBy(*grain, *unit, RUN_STAMP).agg(*[totals(m).alias(s) for s, m in samples.items()])
     repeated = per_unit.select(
         *grain,
         *unit,
+        RUN_STAMP,
         F.explode(
             F.array(*[F.struct(F.lit(s).alias("name"), F.col(s).alias("t")) for s in samples])
         ).alias("__s"),
     )
-    return repeated.select(*grain, *unit, F.col("__s.name").alias(SAMPLE), "__s.t.*").filter(
-        F.col("n_plays") > 0
-    )
+    rows = repeated.select(*grain, *unit, RUN_STAMP, F.col("__s.name").alias(SAMPLE), "__s.t.*")
+    return collapse_units(rows.filter(F.col("n_plays") > 0), [*grain, *unit, SAMPLE])
 
 
 def collapse_units(units: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -192,26 +188,36 @@ def mart_of_units(
     Games are counted, and points averaged, over one row per team and game, so no second pass over
     the facts and no join of two aggregates is needed.
     """
-    per_team = team in grain
-    with_points = F.col("points").isNotNull()
-    # with the team in the grain every unit row is a different game
-    games = row_count() if per_team else F.count_distinct(game)
-    games_points = (
-        F.count("points") if per_team else F.count_distinct(F.when(with_points, F.col(game)))
-    )
-    aggs = {c: F.sum(c).cast("long") for c in SUMMED if c != "epa_sum"}
-    aggs |= {
-        "epa_sum": F.sum("epa_sum"),
-        "n_games": games,
-        "n_games_points": games_points,
-        "n_team_games_points": F.count("points"),
-        "points_sum": F.sum("points"),
-        RUN_STAMP: stamp_text(F.max("run")),
-    }
-    if not per_team:
-        aggs["n_teams"] = F.count_distinct(team)
+    keys = [*grain, SAMPLE]
+    if team in grain:
+        # with the team in the grain every unit row is a different game
+        rows = units.withColumns(
+            {
+                "n_games": F.lit(1),
+                "n_games_points": ones(F.col("points").isNotNull()),
+                "n_team_games_points": ones(F.col("points").isNotNull()),
+                "points_sum": F.col("points"),
+                "n_teams": F.lit(0),
+            }
+        )
+    else:
+        # rows per game, and rows per team that only count it: several distinct counts in one
+        # aggregate would repeat every unit row instead
+        games = units.groupBy(*keys, game).agg(
+            *[F.sum(c).alias(c) for c in SUMMED],
+            F.max(RUN_STAMP).alias(RUN_STAMP),
+            F.lit(1).alias("n_games"),
+            F.max(ones(F.col("points").isNotNull())).alias("n_games_points"),
+            F.count("points").alias("n_team_games_points"),
+            F.sum("points").alias("points_sum"),
+        )
+        teams = units.select(*keys, team).distinct().filter(F.col(team).isNotNull()).select(*keys, F.lit(1).alias("n_teams"))
+        rows = games.unionByName(teams, allowMissingColumns=True)
+    counts = [*[c for c in SUMMED if c != "epa_sum"], "n_games", "n_games_points", "n_team_games_points", "n_teams"]
+    aggs = {c: F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in counts}
+    aggs |= {"epa_sum": F.sum("epa_sum"), "points_sum": F.sum("points_sum"), RUN_STAMP: F.max(RUN_STAMP)}
     attempts = F.col("n_pass_attempts") + F.col("n_rush_attempts")
-    out = summarize(units, aggs, [*grain, SAMPLE]).withColumns(
+    out = summarize(rows, aggs, keys).withColumns(
         {
             "pass_rate": safe_ratio("n_pass_attempts", attempts),
             "rush_rate": safe_ratio("n_rush_attempts", attempts),

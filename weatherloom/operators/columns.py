@@ -40,10 +40,6 @@ def rename_prefix(df: DataFrame, cols: Iterable[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in cols})
 
 
-def derive(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(exprs))
-
-
 def stamp(df: DataFrame, **constants: object) -> DataFrame:
     """Constant provenance columns; run stamps are arguments, never read from the clock here."""
     return df.withColumns({k: F.lit(v) for k, v in constants.items()})
@@ -58,10 +54,10 @@ ZONE_ALIASES = {"Europe/Frankfurt": "Europe/Berlin", "Europe/Munich": "Europe/Be
 
 
 def zone_dimension(spark: SparkSession) -> DataFrame:
-    """Zone names this platform accepts, about 600 rows."""
-    import zoneinfo
-
-    rows = [(z,) for z in sorted(zoneinfo.available_timezones())]
+    """Zone names Spark's own time functions accept, about 600 rows."""
+    rows = sorted((str(z),) for z in spark._jvm.java.time.ZoneId.getAvailableZoneIds())
+    if not rows:
+        raise RuntimeError("the Java runtime has no time zones")
     return spark.createDataFrame(rows, "zone string")
 
 

@@ -12,21 +12,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weatherloom import contracts as C
 from weatherloom.operators.aggregate import category_distribution, null_rates, qc_metrics, row_count
 from weatherloom.operators.columns import conform, stamp, unique_columns
-from weatherloom.operators.gates import GateError, enforce, failures
+from weatherloom.operators.gates import GateError, enforce, failures, required_columns_check, run_gates
 from weatherloom.operators.rows import union_named
 from weatherloom.plans import gold, serving, silver
 from weatherloom.plans.validators import (
     column_copies_agree,
+    stamps_agree,
     validate_fact,
     validate_features,
     validate_marts,
     validate_serving,
 )
-from weatherloom.sources.publish import contract_gates, publish_metadata, publish_swap, read_published
+from weatherloom.sources.publish import contract_gates, publish_metadata, publish_swap, read_published, version_path
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines
 from weatherloom.sources.sink import append_audit, commit_marker_exists, write_partitioned
 
@@ -53,6 +55,8 @@ class Workspace:
     weather_text: str
     manifest: str
     clock: Clock = utc_now
+    year_span: tuple[int, int] = C.YEAR_SPAN  # years the hourly weather must start and end with
+    catalog: str = "serving"  # database in which published tables are registered
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -68,15 +72,19 @@ class Workspace:
         df = scan(self.spark, self.path(layer, table))
         return conform(df, contract.schema) if contract else df
 
+    def load_files(self, layer: str, contracts: dict[str, C.Contract]) -> dict[str, DataFrame]:
+        """Tables as their files have them, for the checks of columns and types."""
+        return {x: self.load(layer, c.name) for x, c in contracts.items()}
+
     def save_contract(self, df: DataFrame, layer: str, contract: C.Contract, dynamic: bool = False) -> DataFrame:
         self.save(df, layer, contract.name, contract.partitions, dynamic)
         return self.load(layer, contract.name, contract)
 
 
 def raw_plays(ws: Workspace) -> DataFrame:
-    """Plays of all files. Files of different years differ in columns and types, so each is
-    conformed before the union."""
-    parts = [conform(ws.spark.read.parquet(f), C.PLAYS.schema) for f in _play_files(ws)]
+    """Plays of all files. Files of different years differ in columns and types, so the files of
+    each schema are read together and conformed before the union."""
+    parts = [conform(ws.spark.read.schema(s).parquet(*files), C.PLAYS.schema) for s, files in _play_files(ws)]
     return union_named(*parts)
 
 
@@ -88,13 +96,22 @@ def build_plays(ws: Workspace, seasons: list[int] | None = None) -> DataFrame:
     return ws.save_contract(plays, "silver", C.PLAYS, dynamic=True)
 
 
-def _play_files(ws: Workspace) -> list[str]:
-    """Input files, one per season (some tens)."""
+def _play_files(ws: Workspace) -> list[tuple[T.StructType, list[str]]]:
+    """Input files at any depth below the folder, by schema. Branches of the plan are thus as many
+    as there are schemas, however many files."""
     jvm = ws.spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(ws.plays)
     fs = path.getFileSystem(ws.spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{ws.plays.rstrip('/')}/*.parquet"))
-    return sorted(s.getPath().toString() for s in found)
+    found, names = fs.listFiles(path, True), []
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.endswith(".parquet"):
+            names.append(name)
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    for name in sorted(names):
+        schema = ws.spark.read.parquet(name).schema
+        by_schema.setdefault(schema.json(), (schema, []))[1].append(name)
+    return list(by_schema.values())
 
 
 def build_games(ws: Workspace) -> DataFrame:
@@ -146,7 +163,7 @@ def build_hourly(ws: Workspace, run_ts: str, parity: bool = False) -> DataFrame:
     lines = scan_text_lines(ws.spark, ws.weather_text)
     manifest = scan(ws.spark, ws.manifest)
     obs = ws.save_contract(silver.hourly_observations(lines, manifest, run_ts, parity), "silver", C.HOURLY)
-    enforce(contract_gates(obs, C.HOURLY), C.HOURLY.name)
+    enforce(contract_gates(obs, C.HOURLY, files=ws.load("silver", C.HOURLY.name)), C.HOURLY.name)
     ws.save(silver.hourly_summary(obs), "qc", "noaa_hourly_summary")
     ws.save(silver.hourly_missing(obs), "qc", "noaa_hourly_missing")
     return obs
@@ -160,8 +177,7 @@ def build_features(ws: Workspace, obs: DataFrame, run_ts: str, parity: bool = Fa
     ws.save(silver.feature_summary(built), "qc", "features_summary")
     for name, by in (("features_nulls_by_year", ["obs_year"]), ("features_nulls_by_station_year", ["station_key", "obs_year"])):
         ws.save(null_rates(built, C.FEATURE_MEASURES, by), "qc", name)
-    years = obs.agg(F.min("obs_year"), F.max("obs_year")).first()
-    report = validate_features(obs, built, ws.load("qc", "features_summary"), (years[0], years[1]))
+    report = validate_features(obs, built, ws.load("qc", "features_summary"), ws.year_span)
     enforce(report, C.FEATURES.name)
     return built
 
@@ -210,7 +226,7 @@ def build_marts(ws: Workspace, run_ts: str) -> dict[str, DataFrame]:
         ws.save(gold.mart_summary(df, C.MARTS[x].name), "qc", f"{C.MARTS[x].name}_summary")
         ws.save(gold.sample_totals(df), "qc", f"{C.MARTS[x].name}_samples")
     summaries = {x: ws.load("qc", f"{C.MARTS[x].name}_summary") for x in built}
-    enforce(validate_marts(base, built, summaries), "marts")
+    enforce(validate_marts(base, built, summaries, ws.load_files("gold", C.MARTS)), "marts")
     return built
 
 
@@ -220,6 +236,10 @@ def build_serving(ws: Workspace) -> dict[str, DataFrame]:
     run_ts = run_stamp(started)
     run_id = f"c1_{run_ts}"
     marts = {x: ws.load("gold", c.name, c) for x, c in C.MARTS.items()}
+    # marts of different builds, or without a column the contract names, are not served
+    files = ws.load_files("gold", C.MARTS)
+    present = [required_columns_check(files[x], c.name, c.columns) for x, c in C.MARTS.items()]
+    enforce(run_gates([*present, stamps_agree(marts)]), "serving sources")
     a_ts, b_ts = marts["team"].agg(*[F.max(c) for c in C.STAMPS]).first()
     meta = {"a_ts": a_ts, "b_ts": b_ts, "run_ts": run_ts, "run_id": run_id}
     planned = {x: serving.serve(df, run_ts, run_id) for x, df in marts.items()}
@@ -246,7 +266,7 @@ def build_serving(ws: Workspace) -> dict[str, DataFrame]:
     append_audit(report, ws.path("serving", C.DQ_AUDIT.name))
     ws.save(serving.data_dictionary(served, run_ts, run_id).coalesce(1), "serving", C.DICTIONARY.name)
     audit_run(tables, "SUCCESS")
-    enforce(validate_serving(marts, served, load_audits(ws)), "serving")
+    enforce(validate_serving(marts, served, load_audits(ws), ws.load_files("serving", C.SERVING)), "serving")
     return served
 
 
@@ -269,9 +289,17 @@ def publish(ws: Workspace) -> DataFrame:
     append_audit(recon, ws.path("audit", C.RECON_TABLE.name))
     append_audit(serving.reconcile_run(recon), ws.path("audit", "batch_c2_run_audit_v1"))
     published = {x: read_published(ws.spark, f"{root}{c.name}", c) for x, c in C.AUDITS.items()}
-    names = [("SERVING", c.name) for c in C.SERVING.values()]
-    catalog = ws.spark.createDataFrame(names, "table_schema string, table_name string")
-    return serving.readiness(ws.load("audit", C.RECON_TABLE.name), published, catalog)
+    for c in C.SERVING.values():
+        register(ws, c.name, version_path(f"{root}{c.name}", last.serving_run_id))
+    catalog = serving.catalog_tables(ws.spark)
+    return serving.readiness(ws.load("audit", C.RECON_TABLE.name), published, catalog, serving_schema=ws.catalog)
+
+
+def register(ws: Workspace, name: str, path: str) -> None:
+    """Name a published version in the catalog, in place of an earlier one."""
+    ws.spark.sql(f"CREATE DATABASE IF NOT EXISTS {ws.catalog} LOCATION '{ws.path('published', 'catalog')}'")
+    ws.spark.sql(f"DROP TABLE IF EXISTS {ws.catalog}.{name}")
+    ws.spark.catalog.createTable(f"{ws.catalog}.{name}", path=path, source="parquet")
 
 
 def run_all(ws: Workspace, fact_rates: dict[str, float] | None = None, parity: bool = False) -> DataFrame:

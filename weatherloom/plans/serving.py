@@ -182,9 +182,10 @@ def reconcile_run(table_rows: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, order: str, where=None) -> DataFrame:
-    """The row with the largest ``order`` among those meeting ``where``, kept as a DataFrame."""
+    """The row with the largest ``order`` among those meeting ``where``, kept as a DataFrame; of
+    several, the largest by all columns."""
     chosen = df if where is None else df.filter(where)
-    return chosen.orderBy(F.col(order).desc()).limit(1)
+    return chosen.orderBy(F.col(order).desc(), *[F.col(c).desc() for c in df.columns if c != order]).limit(1)
 
 
 # What may sit outside the serving schema under a serving name, and checklist texts.
@@ -200,7 +201,7 @@ READINESS_ITEMS = {
 def contract_boundary(catalog: DataFrame, serving_schema: str = "SERVING") -> DataFrame:
     """One row over ``catalog(table_schema, table_name)``: contract tables in the serving schema,
     and tables with a serving name outside it."""
-    name, here = F.upper("table_name"), F.upper("table_schema") == serving_schema
+    name, here = F.upper("table_name"), F.upper("table_schema") == serving_schema.upper()
     wanted = [c.name.upper() for c in C.SERVING.values()]
     stray = ~here & name.startswith("SERV_") & ~name.rlike(LOADING_SUFFIXES)
     return catalog.agg(
@@ -221,6 +222,7 @@ def readiness(
     audits: Mapping[str, DataFrame],
     catalog: DataFrame,
     audit_rows: Mapping[str, int] = C.AUDIT_ROWS,
+    serving_schema: str = "SERVING",
 ) -> DataFrame:
     """Four checklist rows (item, status) from the latest reconciliation, the audit tables and the
     table names. Every input is an audit-sized table."""
@@ -241,7 +243,7 @@ def readiness(
         both = labelled_totals({"rows": counts, "dups": dups}, "n")
         metadata.append(both.select(((F.col("rows") == audit_rows[label]) & (F.col("dups") == 0)).alias("ok")))
     metadata_ok = reduce(DataFrame.unionByName, metadata).agg(F.every("ok").alias("ok"))
-    contract_ok = contract_boundary(catalog).select(
+    contract_ok = contract_boundary(catalog, serving_schema).select(
         ((F.col("serving_tables") == n) & (F.col("stray_tables") == 0)).alias("ok")
     )
     verdicts = labelled_totals(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,8 +135,9 @@ def bins_complete(bins: DataFrame) -> DataFrame:
     return column_checks(bins, C.BIN_DIMENSION.name, checks)
 
 
-def mart_checks(df: DataFrame, contract: C.Contract) -> DataFrame:
-    """Grain, ratios and denominators of one mart."""
+def mart_checks(df: DataFrame, contract: C.Contract, files: DataFrame | None = None) -> DataFrame:
+    """Columns, grain, ratios and denominators of one mart; the columns are those of ``files``, the
+    mart as read before it was conformed."""
     attempts = F.col("n_pass_attempts") + F.col("n_rush_attempts")
     have = set(df.columns)
     checks = [non_empty_check(), zero_denominator_check("pass_rate", attempts)]
@@ -151,7 +153,7 @@ def mart_checks(df: DataFrame, contract: C.Contract) -> DataFrame:
         ]
     return run_gates(
         [
-            required_columns_check(df, contract.name, contract.columns),
+            required_columns_check(df if files is None else files, contract.name, contract.columns),
             duplicate_check(df, contract.name, contract.grain),
             column_checks(df, contract.name, checks),
         ]
@@ -183,13 +185,22 @@ def reconcile_rows(side: DataFrame, table: str) -> DataFrame:
     )
 
 
-def validate_marts(base: DataFrame, marts: Mapping[str, DataFrame], summaries: Mapping[str, DataFrame]) -> DataFrame:
-    gates = [mart_checks(df, C.MARTS[x]) for x, df in marts.items()]
+def validate_marts(
+    base: DataFrame, marts: Mapping[str, DataFrame], summaries: Mapping[str, DataFrame],
+    files: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    gates = [mart_checks(df, C.MARTS[x], (files or {}).get(x)) for x, df in marts.items()]
     gates += [summary_match(summaries[x], df, C.MARTS[x].name, {"n_rows": row_count()}) for x, df in marts.items()]
     gates.append(reconcile_rows(totals_agree(base, marts), "marts"))
     return run_gates(gates)
 
 
+def stamps_agree(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """All marts carry one value of each build stamp, the same in all of them, and no nulls."""
+    every = reduce(DataFrame.unionByName, [df.select(*C.STAMPS) for df in marts.values()])
+    return column_checks(every, "marts", [single_value_check(c) for c in C.STAMPS])
+
+
 def column_copies_agree(df: DataFrame, table: str) -> DataFrame:
     """Repeated source columns (name and name__dup1) must not contradict each other."""
     copies = [c for c in df.columns if c.endswith("__dup1")]
@@ -225,13 +236,14 @@ def run_alignment(served: Mapping[str, DataFrame], run_audit: DataFrame) -> Data
 
 
 def validate_serving(
-    sources: Mapping[str, DataFrame], served: Mapping[str, DataFrame], audits: Mapping[str, DataFrame]
+    sources: Mapping[str, DataFrame], served: Mapping[str, DataFrame], audits: Mapping[str, DataFrame],
+    files: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     gates = []
     for label, df in served.items():
         contract = C.SERVING[label]
         gates += [
-            required_columns_check(df, contract.name, C.SERVING_METADATA),
+            required_columns_check((files or served)[label], contract.name, C.SERVING_METADATA),
             row_parity_check(sources[label], df, contract.name),
             duplicate_check(df, contract.name, contract.grain),
             column_checks(df, contract.name, [range_check(c, 0.0, 1.0) for c in SERVED_RATIOS[label]]),

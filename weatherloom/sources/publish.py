@@ -56,6 +56,21 @@ def _read_version(spark: SparkSession, path: str, contract: Contract) -> DataFra
     return conform(spark.read.parquet(path), contract.schema)
 
 
+def as_written(df: DataFrame, contract: Contract) -> DataFrame:
+    """A table as its files have it, for :func:`schema_check`.
+
+    Partition values are in the paths: files give them neither type nor place, so they get the
+    contract's. All other columns keep the names, types and order they were written with.
+    """
+    parts = {c: contract.schema[c].dataType for c in contract.partitions if c in df.columns}
+    rest = [c for c in df.columns if c not in parts]
+    order: list[str] = []
+    for name in contract.columns:
+        order += [name] if name in parts else rest[:1]
+        rest = rest if name in parts else rest[1:]
+    return df.select(*[F.col(c).try_cast(parts[c]).alias(c) if c in parts else F.col(c) for c in order + rest])
+
+
 def _point_to(spark: SparkSession, target: str, version: str) -> None:
     """Write the pointer beside its place and rename it over the old one."""
     fresh, fs = _hadoop_path(spark, f"{target.rstrip('/')}/{POINTER}.{version}")
@@ -93,15 +108,18 @@ def row_count_check(expected: int) -> Check:
     return Check("row_count", row_count(), expected, lambda a: a == F.lit(expected))
 
 
-def contract_gates(df: DataFrame, contract: Contract, expected_rows: int | None = None) -> DataFrame:
-    """Every check a contract implies, as gate rows."""
+def contract_gates(
+    df: DataFrame, contract: Contract, expected_rows: int | None = None, files: DataFrame | None = None
+) -> DataFrame:
+    """Every check a contract implies, as gate rows. ``files`` is the table as read, before it was
+    conformed: conforming would hide a missing or mistyped column from the schema check."""
     checks = [not_null_check(c) for c in contract.not_null]
     checks += [range_check(c, 0.0, 1.0) for c in contract.ratios]
     if contract.partitions:
         checks.append(any_null_check("null_partition_keys", contract.partitions))
     if expected_rows is not None:
         checks.append(row_count_check(expected_rows))
-    gates = [schema_check(df, contract.name, contract.schema)]
+    gates = [schema_check(df if files is None else as_written(files, contract), contract.name, contract.schema)]
     gates.append(duplicate_check(df, contract.name, contract.grain, surplus=True))
     if checks:
         gates.append(column_checks(df, contract.name, checks))
@@ -116,26 +134,36 @@ def publish_swap(
     expected_rows: int | None = None,
     extra_gates: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Stage, gate, switch, re-check. Raises and leaves the old version current on any failure.
+    """Stage, gate, switch. Raises and leaves the old version current on any failure.
 
-    Returns the gate report of the published version.
+    A version that was staged before but never became current is staged afresh, so a failed publish
+    can be repeated under its id; the current version is never touched. The switch moves a pointer
+    to files that were just gated, so after it only pointer and row count are looked at again.
+    Returns the gate report, a row per check.
     """
     spark = df.sparkSession
     staged_path = version_path(target, version)
+    if current_version(spark, target) == version:
+        raise GateError(f"{contract.name}: version {version} is current and stays as it is")
+    left, fs = _hadoop_path(spark, staged_path)
+    if fs.exists(left):
+        fs.delete(left, True)
     if contract.partitions:
         write_partitioned(df, staged_path, contract.partitions, mode="errorifexists", clustered=True)
     else:
         df.write.mode("errorifexists").parquet(staged_path)
-    staged = _read_version(spark, staged_path, contract)
-    report = run_gates([contract_gates(staged, contract, expected_rows), *extra_gates])
+    files = spark.read.parquet(staged_path)
+    staged = conform(files, contract.schema)
+    gates = run_gates([contract_gates(staged, contract, expected_rows, files), *extra_gates])
+    report = spark.createDataFrame(gates.collect(), gates.schema)  # evaluated once
     enforce(report, f"{contract.name} {version} not published")
+    n_staged = files.count()
     _point_to(spark, target, version)
     if current_version(spark, target) != version:
         raise GateError(f"{contract.name}: pointer does not show {version}")
-    live = read_published(spark, target, contract)
-    after = contract_gates(live, contract, expected_rows)
-    enforce(after, f"{contract.name} {version} after the switch")
-    return after
+    if read_published(spark, target, contract).count() != n_staged:
+        raise GateError(f"{contract.name} {version}: row count changed with the switch")
+    return report
 
 
 def publish_metadata(

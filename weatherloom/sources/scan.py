@@ -26,18 +26,20 @@ def scan(
     return reader.load(path)
 
 
-def string_schema(columns: list[str]) -> T.StructType:
-    """All-string schema: ids keep their leading zeros and no inference pass reads the data twice."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
 def scan_csv(
     spark: SparkSession, path: str | list[str], columns: list[str], quoted: bool = False, **options: str
 ) -> DataFrame:
-    """CSV as strings. ``quoted`` accepts line breaks inside quotes, at the price of one task
-    per file; plain files are split."""
+    """CSV as strings, columns by the names in the header, in whatever order it has them.
+
+    Files read together must share one header. ``quoted`` accepts line breaks inside quotes, at the
+    price of one task per file; plain files are split.
+    """
     dialect = CSV_QUOTED if quoted else CSV_PLAIN
-    return scan(spark, path, "csv", string_schema(columns), **{**dialect, **options})
+    found = scan(spark, path, "csv", **{**dialect, "enforceSchema": "false", **options})
+    missing = [c for c in columns if c not in found.columns]
+    if missing:
+        raise ValueError(f"header of {path} lacks {missing}; it has {found.columns}")
+    return found.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def scan_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
