@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-#: Training texts per language at most.
+from weatherloom.llm.scratch import written
+
+#: Training texts per language, in expectation.
 SAMPLE = 1000
 #: Log-likelihood that a switch of language costs.
 PENALTY = 20.0
@@ -168,16 +169,15 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Model of labelled texts (doc_id, text, lang) outside the held-out part.
 
-    At most ``sample`` texts per language, those of the least hash: picked on ids and hashes alone,
-    then read. Rows without language or text do not count. Their counts, at most BUCKETS per
-    language, are the only thing the driver receives.
+    About ``sample`` texts per language, picked by hash, all where there are fewer. Rows without
+    language or text do not count. Their counts, at most BUCKETS per language, are the only thing
+    the driver receives.
     """
     fit = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "lang", F.xxhash64("doc_id", "text").alias("key"), "text"
     )
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    picked = fit.select("lang", "key").distinct().withColumn("nth", nth).where(F.col("nth") <= sample).drop("nth")
-    texts = fit.join(picked, ["lang", "key"], "left_semi").select("lang", "text").distinct()
+    sizes = written(fit.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / sample).alias("one_in")), "languages")
+    texts = fit.join(sizes, "lang").where(F.pmod("key", "one_in") == 0).select("lang", "text").distinct()
     rows = texts.mapInArrow(_count, _COUNTS).groupBy("lang", "kind", "slot").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(rows["lang"].unique(), key=lambda s: s.encode())
     counts, letters = np.zeros((len(langs), BUCKETS)), np.zeros((len(langs), len(NAMES)))
