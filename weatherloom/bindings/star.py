@@ -187,9 +187,9 @@ def event_station(user: str = "user_id") -> Column:
     return F.concat(F.lit("ST"), station_number(user))
 
 
-def raw_observations(t: Tables) -> DataFrame:
+def raw_observations(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """Events as station reports."""
-    e = t.events
+    e = t.events if events is None else events
     n = F.col("event_id")
     temp = F.when(n % 17 != 0, F.col("value") / 5 - 30)
     return e.select(

@@ -24,11 +24,17 @@ def lookup(
     on: Sequence[str],
     cols: Mapping[str, str],
     order_by: Sequence[Column],
+    row_id: Column | str | None = None,
 ) -> DataFrame:
     """Left join attributes ``{dim column: output name}`` from a dimension reduced to one row per
-    key, so the row count of ``left`` never changes."""
-    one = pick_first(dim, on, order_by).select(*on, *[F.col(c).alias(n) for c, n in cols.items()])
-    return left.join(one, list(on), "left")
+    key, so the row count of ``left`` never changes. Text keys of which many may be null are spread
+    over tasks by ``row_id``."""
+    one = pick_first(dim, on, order_by)
+    if row_id is None:
+        return left.join(one.select(*on, *[F.col(c).alias(n) for c, n in cols.items()]), list(on), "left")
+    one = one.select(*[F.col(k).alias(f"__{k}") for k in on], *[F.col(c).alias(n) for c, n in cols.items()])
+    hit = [spread_nulls(k, row_id) == F.col(f"__{k}") for k in on]
+    return left.join(one, hit, "left").drop(*[f"__{k}" for k in on])
 
 
 def join_interval(
@@ -39,10 +45,12 @@ def join_interval(
     begin: str,
     end: str,
     how: str = "left",
+    row_id: Column | str | None = None,
 ) -> DataFrame:
     """Equal keys and ``begin <= point <= end``. The keys stay an equi-join; the range is a
-    residual filter inside it."""
-    theta = [left[k] == right[k] for k in on]
+    residual filter inside it. Text keys of which many may be null are spread over tasks by
+    ``row_id``."""
+    theta = [(left[k] if row_id is None else spread_nulls(left[k], row_id)) == right[k] for k in on]
     theta += [left[point] >= right[begin], left[point] <= right[end]]
     joined = left.join(right, theta, how)
     for k in on:
@@ -79,7 +87,9 @@ def join_hour(
         F.col(obs_hour).alias("weather_hour_utc"),
         *[F.col(c).alias(n) for c, n in cols.items()],
     )
-    e = events.withColumn("__spread", spread_nulls(key, row_id))
+    # rows without an hour match nothing either, and all those of one station would hash alike
+    keyed = F.when(F.col(hour).isNotNull(), F.col(key))
+    e = events.withColumn("__spread", spread_nulls(keyed, row_id))
     hit = (F.col("__spread") == F.col("__k")) & (F.col(hour) == F.col("weather_hour_utc"))
     return e.join(o, hit, "left").drop("__spread", "__k")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom import contracts as C
-from weatherloom.functions.cleaning import bin_category, bin_numeric, flag, present_flag, safe_ratio, side_value
+from weatherloom.functions.cleaning import all_present, bin_category, bin_numeric, flag, present_flag, safe_ratio, side_value
 from weatherloom.functions.timestamps import first_ts, text_to_utc
 from weatherloom.operators.aggregate import (
     collapse_units,
@@ -68,7 +68,9 @@ def located_plays(plays: DataFrame, games: DataFrame, venue: DataFrame, station_
         "begin_year",
         "end_year",
     )
-    p = join_interval(p, stations, ["stadium_id"], "season_int", "begin_year", "end_year").drop("begin_year", "end_year")
+    row_id = F.concat_ws(":", "game_id", F.col("play_id").cast("string"))
+    p = join_interval(p, stations, ["stadium_id"], "season_int", "begin_year", "end_year", row_id=row_id)
+    p = p.drop("begin_year", "end_year")
     zones = normalize_timezone(
         venue.select("stadium_id", "tz", "roof_type"), "tz", "venue_tz_norm", zone_dimension(spark)
     )
@@ -78,6 +80,7 @@ def located_plays(plays: DataFrame, games: DataFrame, venue: DataFrame, station_
         ["stadium_id"],
         {"tz": "venue_tz", "venue_tz_norm": "venue_tz_norm", "roof_type": "venue_roof_type"},
         [F.col("tz").asc_nulls_last(), F.col("roof_type").asc_nulls_last()],
+        row_id,
     )
     game_order = [F.col(c).desc_nulls_last() for c in GAME_COLUMNS]
     return lookup(p, games, ["game_id"], GAME_COLUMNS, game_order)
@@ -240,11 +243,7 @@ def base_rows(fact: DataFrame) -> DataFrame:
     return (
         fill_unknown(base.withColumn("team_points_final", points), C.BINS)
         .filter(
-            F.col("game_id").isNotNull()
-            & F.col("play_id").isNotNull()
-            & F.col("team").isNotNull()
-            & F.col("season").isNotNull()
-            & (F.col("is_pass") + F.col("is_rush") > 0)
+            all_present("game_id", "play_id", "team", "season") & (F.col("is_pass") + F.col("is_rush") > 0)
         )
         .drop("home_team", "away_team", "game_home_score_final", "game_away_score_final")
     )

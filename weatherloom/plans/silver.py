@@ -194,10 +194,18 @@ def venue_station_map(dim_venue: DataFrame, dim_station: DataFrame, max_km: floa
     return stamp(best, selection_reason="nearest_within_max_km").select(*C.VENUE_STATION_MAP.columns)
 
 
+# Columns of the two reports on venues without a near station.
+UNMAPPED_COLUMNS = [
+    "stadium_id", "stadium_name", "city", "venue_state", "country", "tz", "venue_lat", "venue_lon", "lon_raw",
+]
+NEAREST_ANY_COLUMNS = [
+    "stadium_id", "stadium_name", "city", "venue_state", "venue_lat", "venue_lon", "station_key", "station_name",
+    "station_state", "station_lat", "station_lon", "distance_km",
+]
+
+
 def unmapped_venues(dim_venue: DataFrame, mapped: DataFrame) -> DataFrame:
-    return unmatched(mappable_venues(dim_venue), mapped, ["stadium_id"]).select(
-        "stadium_id", "stadium_name", "city", "venue_state", "country", "tz", "venue_lat", "venue_lon", "lon_raw"
-    )
+    return unmatched(mappable_venues(dim_venue), mapped, ["stadium_id"]).select(*UNMAPPED_COLUMNS)
 
 
 def nearest_for_unmapped(unmapped: DataFrame, dim_station: DataFrame) -> DataFrame:
@@ -209,10 +217,7 @@ def nearest_for_unmapped(unmapped: DataFrame, dim_station: DataFrame) -> DataFra
         ("station_lat", "station_lon"),
         "station_key",
     )
-    return found.select(
-        "stadium_id", "stadium_name", "city", "venue_state", "venue_lat", "venue_lon", "station_key",
-        "station_name", "station_state", "station_lat", "station_lon", "distance_km",
-    )
+    return found.select(*NEAREST_ANY_COLUMNS)
 
 
 def hourly_preference() -> list[Column]:
