@@ -32,8 +32,8 @@ def plain_quality(docs):
     for d in docs:
         words, *_, failed = test_quality.plain(d["text"])
         lines = [normal(x) for x in (d["text"] or "").split("\n")]
-        gone = sum(len(x.split(" ")) for x in lines if x and len(seen[d["source"], x]) > 20)
-        if not failed and 100 * (words - gone) >= 10 * words:
+        gone = sum(len(x.split(" ")) for x in lines if x and len(x.split(" ")) <= 25 and len(seen[d["source"], x]) > 20)
+        if not failed and 100 * (words - gone) >= 5 * words:
             yield d
 
 

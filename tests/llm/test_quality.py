@@ -49,6 +49,8 @@ def test_frequent_lines_of_a_host(documents):
     assert all(out[i].removed_words == 4 and out[i].kept for i in range(25))
     assert all(out[100 + i].removed_words == 0 and out[100 + i].kept for i in range(20))
     assert out[201].removed_words == 20 and out[201].kept
+    long = [(400 + i, PROSE + "\n" + PROSE.replace("word", f"own{chr(97 + i)}"), None, "c") for i in range(25)]  # a passage, not furniture
+    assert all(r.removed_words == 0 and r.kept for r in quality.verdicts(documents(long)).collect())
     assert all(out[300 + i].removed_words == 0 and out[300 + i].kept for i in range(40))
     thin = quality.verdicts(documents([*rows, (202, f"{menu}\n" * 13 + "alone", None, "a")])).where("doc_id = 202").first()
     assert thin.n_words == 53 and thin.removed_words == 52 and not thin.kept

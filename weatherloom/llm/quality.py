@@ -21,8 +21,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Distinct documents of one host that may share a line before it is removed.
 MAX_LINE_DOCS = 20
+#: Longer lines are passages rather than page furniture; what repeats them are copies and near
+#: copies of documents, of which deduplication keeps one, so they do not count.
+MAX_LINE_WORDS = 25
 #: Percent of a document's words that must remain after the removal.
-MIN_LEFT_PERCENT = 10
+MIN_LEFT_PERCENT = 5
 
 
 def _let(value: Column, fn) -> Column:
@@ -109,7 +112,7 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
     )
     units = written(units, "lines")
     frequent = (
-        units.where("h is not null").groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+        units.where(F.col("h").isNotNull() & (F.col("w") <= MAX_LINE_WORDS)).groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") > max_docs).select("host", "h")
     )
     hit = units.join(frequent, ["host", "h"], "left_semi").select(units.columns)

@@ -37,7 +37,7 @@ normal AS MATERIALIZED (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS form
   FROM line l JOIN d USING (r)
 ),
-frequent AS (SELECT host, form FROM normal GROUP BY host, form HAVING count(DISTINCT t) > 20),
+frequent AS (SELECT host, form FROM normal WHERE n <= 25 GROUP BY host, form HAVING count(DISTINCT t) > 20),
 gone AS (SELECT r, sum(n) AS n FROM normal JOIN frequent USING (host, form) GROUP BY r),
 m AS (
   SELECT d.doc_id, len(w.ws)::BIGINT AS n_words,
@@ -49,7 +49,7 @@ m AS (
 )
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-    AND 100 * (n_words - removed_words) >= 10 * n_words AS kept
+    AND 100 * (n_words - removed_words) >= 5 * n_words AS kept
 FROM m
 """
 
