@@ -79,6 +79,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     seen = found.withColumn("rank", _rank()).groupBy("digest", "length").agg(
         F.min("rank").alias("first"), F.max("rank").alias("last"), F.min("doc_id").alias("first_doc_id")
     ).where("first < last").select("digest", "length", "first", "first_doc_id")
+    # written, so that the join deals both sides out anew and can split a unit that every text has
+    seen = written(seen, "repeated-units")
     again = (
         found.join(seen, ["digest", "length"]).where(_rank() > F.col("first"))
         .select("doc_id", "text_hash", "n", "start", "end", "n_words", "first_doc_id").distinct()
