@@ -106,23 +106,25 @@ def single_value_check(c: str, expected: str | None = None) -> Check:
     return Check(f"single_{c}", seen, expected or "one value", ok)
 
 
+def _gate_row(name: str, table: str, expected: Column, actual: Column, ok: Column, severity: str) -> Column:
+    return F.struct(
+        F.lit(name).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.coalesce(expected.cast("string"), F.lit("null")).alias("expected_value"),
+        F.coalesce(actual.cast("string"), F.lit("null")).alias("actual_value"),
+        F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL").alias("status"),
+        F.lit(severity).alias("severity"),
+    )
+
+
+def _check_row(check: Check, table: str, column: str) -> Column:
+    actual = F.col(column)
+    return _gate_row(check.name, table, F.lit(str(check.expected)), actual, check.passes(actual), check.severity)
+
+
 def gate_rows(one_row: DataFrame, table: str, checks: Sequence[Check], actuals: Sequence[str]) -> DataFrame:
     """Gate rows from a one-row DataFrame holding the actual value of each check."""
-    rows = []
-    for check, column in zip(checks, actuals):
-        actual = F.col(column)
-        ok = F.coalesce(check.passes(actual), F.lit(False))
-        rows.append(
-            F.struct(
-                F.lit(check.name).alias("check_name"),
-                F.lit(table).alias("table_name"),
-                F.lit(str(check.expected)).alias("expected_value"),
-                F.coalesce(actual.cast("string"), F.lit("null")).alias("actual_value"),
-                F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-                F.lit(check.severity).alias("severity"),
-            )
-        )
-    return one_row.select(F.inline(F.array(*rows)))
+    return one_row.select(F.inline(F.array(*[_check_row(c, table, a) for c, a in zip(checks, actuals)])))
 
 
 def column_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
@@ -173,20 +175,36 @@ def equality_rows(
     one_row: DataFrame, table: str, pairs: Mapping[str, tuple[Column, Column]], severity: str = "ERROR"
 ) -> DataFrame:
     """Gate rows ``{name: (expected, actual)}`` whose expected values are computed themselves."""
-    rows = [
-        F.struct(
-            F.lit(name).alias("check_name"),
-            F.lit(table).alias("table_name"),
-            F.coalesce(expected.cast("string"), F.lit("null")).alias("expected_value"),
-            F.coalesce(actual.cast("string"), F.lit("null")).alias("actual_value"),
-            F.when(expected.eqNullSafe(actual), "PASS").otherwise("FAIL").alias("status"),
-            F.lit(severity).alias("severity"),
-        )
-        for name, (expected, actual) in pairs.items()
-    ]
+    rows = [_gate_row(n, table, want, got, want.eqNullSafe(got), severity) for n, (want, got) in pairs.items()]
     return one_row.select(F.inline(F.array(*rows)))
 
 
+def grain_totals(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """One row from one pass over ``df``: n_rows, duplicate_keys, duplicate_rows, and ``sums``, which
+    must be totals that add up over keys."""
+    n = F.col("__n")
+    per_key = df.groupBy(*keys).agg(row_count().alias("__n"), *[c.alias(name) for name, c in sums.items()])
+    return per_key.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(ones(n > 1)), F.lit(0)).cast("long").alias("duplicate_keys"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums],
+    )
+
+
+def table_checks(source: DataFrame, df: DataFrame, table: str, keys: Sequence[str], checks: Sequence[Check]) -> DataFrame:
+    """Row parity with ``source``, repeated keys, and ``checks`` that count rows, over one pass of
+    each table."""
+    names = [f"__check{i}" for i in range(len(checks))]
+    totals = grain_totals(df, keys, {n: c.actual for n, c in zip(names, checks)})
+    stacked = totals.unionByName(source.agg(row_count().alias("source")), allowMissingColumns=True)
+    one = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    want, got = F.col("source"), F.col("n_rows")
+    rows = [_gate_row("row_count_match", table, want, got, want.eqNullSafe(got), "ERROR")]
+    rows.append(_check_row(Check("duplicate_grain_rows", F.col("duplicate_keys"), 0, lambda a: a == 0), table, "duplicate_keys"))
+    return one.select(F.inline(F.array(*rows, *[_check_row(c, table, n) for c, n in zip(checks, names)])))
+
+
 def key_parity(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: distinct keys on each side, keys missing from ``b``, keys ``b`` has in addition,
     and repeated keys on each side. Both tables meet in a single aggregation."""

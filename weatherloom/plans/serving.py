@@ -13,15 +13,14 @@ from weatherloom.functions.cleaning import in_domain, ones, outside
 from weatherloom.operators.aggregate import row_count, table_stats
 from weatherloom.operators.columns import conform, stamp
 from weatherloom.operators.gates import (
-    column_checks,
     domain_check,
-    duplicate_check,
     duplicate_counts,
+    grain_totals,
     labelled_totals,
     not_null_check,
     range_check,
-    row_parity_check,
     run_gates,
+    table_checks,
 )
 
 SAMPLE_NAMES = ["ALL_PLAYS", "OBSERVED_ONLY"]
@@ -46,13 +45,7 @@ def serving_gates(label: str, source: DataFrame, served: DataFrame) -> DataFrame
     checks = [range_check(c, 0.0, 1.0) for c in SERVED_RATIOS[label]]
     checks.append(domain_check("weather_sample", SAMPLE_NAMES))
     checks += [not_null_check(c) for c in C.SERVING_NOT_NULL]
-    return run_gates(
-        [
-            row_parity_check(source, served, contract.name),
-            duplicate_check(served, contract.name, contract.grain),
-            column_checks(served, contract.name, checks),
-        ]
-    )
+    return table_checks(source, served, contract.name, contract.grain, checks)
 
 
 def stamp_serving(df: DataFrame, a_ts: str, b_ts: str, run_ts: str, run_id: str) -> DataFrame:
@@ -126,16 +119,22 @@ def reconcile_table(df: DataFrame, name: str, contract: C.Contract, expected_row
     # any ratio out of range counts the row once
     bad_ratio = reduce(lambda a, b: a | b, [outside(c, 0.0, 1.0) for c in contract.ratios])
     null_partition = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in contract.partitions])
-    totals = df.agg(
-        row_count().alias("actual_rows"),
-        F.coalesce(F.sum(ones(null_partition)), F.lit(0)).alias("null_partition_key_rows"),
-        F.coalesce(F.sum(ones(bad_ratio)), F.lit(0)).alias("metric_range_violations"),
-        F.min("season").alias("min_season"),
-        F.max("season").alias("max_season"),
+    n = F.col("n")
+    per_key = df.groupBy(*contract.grain).agg(
+        row_count().alias("n"),
+        F.sum(ones(null_partition)).alias("no_partition"),
+        F.sum(ones(bad_ratio)).alias("bad_ratio"),
+        F.min("season").alias("low"),
+        F.max("season").alias("high"),
+    )
+    one = per_key.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("actual_rows"),
+        F.coalesce(F.sum(n - 1), F.lit(0)).alias("duplicate_key_rows"),
+        F.coalesce(F.sum("no_partition"), F.lit(0)).alias("null_partition_key_rows"),
+        F.coalesce(F.sum("bad_ratio"), F.lit(0)).alias("metric_range_violations"),
+        F.min("low").alias("min_season"),
+        F.max("high").alias("max_season"),
     )
-    dups = duplicate_counts(df, contract.grain).select(F.col("duplicate_rows").alias("duplicate_key_rows"))
-    stacked = totals.unionByName(dups, allowMissingColumns=True)
-    one = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     expected, actual = F.lit(expected_rows), F.col("actual_rows")
 
     def complaint(column: str):
@@ -238,10 +237,8 @@ def readiness(
     )
     metadata = []
     for label, df in audits.items():
-        counts = df.agg(row_count().alias("n"))
-        dups = duplicate_counts(df, C.AUDITS[label].grain).select(F.col("duplicate_rows").alias("n"))
-        both = labelled_totals({"rows": counts, "dups": dups}, "n")
-        metadata.append(both.select(((F.col("rows") == audit_rows[label]) & (F.col("dups") == 0)).alias("ok")))
+        seen = grain_totals(df, C.AUDITS[label].grain, {})
+        metadata.append(seen.select(((F.col("n_rows") == audit_rows[label]) & (F.col("duplicate_rows") == 0)).alias("ok")))
     metadata_ok = reduce(DataFrame.unionByName, metadata).agg(F.every("ok").alias("ok"))
     contract_ok = contract_boundary(catalog, serving_schema).select(
         ((F.col("serving_tables") == n) & (F.col("stray_tables") == 0)).alias("ok")
