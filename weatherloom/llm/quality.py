@@ -78,7 +78,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
     return measured.select(
         "doc_id", "host", "ta", "tb", n.alias("n_words"), F.col("w.chars").alias("word_chars"), "n_symbols", "n_dup_lines",
         r.alias("n_repeat_words"),
-        ((n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)).alias("base_failed"),
+        _failed(n, r).alias("base_failed"),
     )
 
 
@@ -91,8 +91,8 @@ def normal_lines(text: Column) -> Column:
 
 
 def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
-    """(host, ta, tb, removed_words, removed): for every distinct text with lines above the limit,
-    the number of its words in them and the lines' hashes."""
+    """(host, ta, tb, all_words, removed_words, removed): for every distinct text with lines above
+    the limit, the number of its words, of those in them, and the lines' hashes."""
     text = F.coalesce("text", F.lit(""))
     line = F.transform(
         F.filter(normal_lines(text), lambda x: x != ""),
@@ -100,12 +100,17 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
             F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("w")
         ),
     )
-    mark = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("w")))  # counts the copies
+
+    def marked(lines: Column) -> Column:
+        """A row without hash goes ahead: it counts the copies and has the text's words."""
+        total = F.aggregate(lines, F.lit(0), lambda n, x: n + x["w"])
+        return F.concat(F.array(F.struct(F.lit(None).cast("long").alias("h"), total.alias("w"))), lines)
+
     units = (
         docs.select(
             F.xxhash64("source").alias("host"),
             *text_key(F.col("text")),
-            F.explode(F.concat(mark, line)).alias("line"),
+            F.explode(_let(line, marked)).alias("line"),
         )
         .groupBy("host", "ta", "tb", F.col("line.h").alias("h"))
         .agg(F.max("line.w").alias("w"), F.count(F.lit(1)).alias("n"))
@@ -116,21 +121,30 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
         .where(F.col("docs") > max_docs).select("host", "h")
     )
     hit = units.join(frequent, ["host", "h"], "left_semi").select(units.columns)
+    is_mark = F.col("h").isNull()
     return (
-        hit.union(units.where("h is null").select(units.columns))
+        hit.union(units.where(is_mark).select(units.columns))
         .groupBy("host", "ta", "tb")
         .agg(
-            F.sum(F.col("w") * F.col("n")).alias("all_removed"),
-            F.max(F.when(F.col("h").isNull(), F.col("n"))).alias("copies"),
+            F.sum(F.when(~is_mark, F.col("w") * F.col("n"))).alias("all_removed"),
+            F.max(F.when(is_mark, F.col("n"))).alias("copies"),
+            F.max(F.when(is_mark, F.col("w"))).cast("long").alias("all_words"),
             F.collect_list("h").alias("removed"),
         )
         .where("all_removed > 0")
-        .select(
-            "host", "ta", "tb", (F.col("all_removed") / F.col("copies")).cast("long").alias("removed_words"), "removed"
-        )
+        .withColumn("removed_words", (F.col("all_removed") / F.col("copies")).cast("long"))
+        .select("host", "ta", "tb", "all_words", "removed_words", "removed")
     )
 
 
+def _failed(n: Column, repeated: Column) -> Column:
+    return (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
+
+
+def _depleted(n: Column, removed: Column, min_left: int) -> Column:
+    return 100 * (n - removed) < min_left * n
+
+
 def verdicts(docs: DataFrame, max_docs: int = MAX_LINE_DOCS, min_left: int = MIN_LEFT_PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source, ...): measures, base_failed, kept.
 
@@ -139,35 +153,42 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_LINE_DOCS, min_left: int = MIN
     are ignored.
     """
     keys = ["host", "ta", "tb"]
-    joined = base_measures(docs).join(frequent_lines(docs, max_docs).drop("removed"), keys, "left")
-    left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
+    joined = base_measures(docs).join(frequent_lines(docs, max_docs).select(*keys, "removed_words"), keys, "left")
+    removed = F.coalesce("removed_words", F.lit(0))
     return joined.select(
         "doc_id", *keys, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (100 * left >= min_left * F.col("n_words"))).alias("kept"),
-        F.coalesce("removed_words", F.lit(0)).alias("removed_words"),
+        (~F.col("base_failed") & ~_depleted(F.col("n_words"), removed, min_left)).alias("kept"),
+        removed.alias("removed_words"),
     )
 
 
-def apply_rules(docs: DataFrame, clean: bool = False, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
+def apply_rules(
+    docs: DataFrame, clean: bool = False, max_docs: int = MAX_LINE_DOCS, min_left: int = MIN_LEFT_PERCENT
+) -> DataFrame:
     """``docs`` without the rejected rows; with ``clean``, texts without the frequent lines too.
 
-    The verdict depends on host and text alone, so rows meet it by their hashes, whatever their ids.
+    The base rules are a filter on the row itself. Depleted texts, few among all, are met by their
+    hashes, whatever their ids; their table is written first, so that its size decides the join.
     """
     keys = ["host", "ta", "tb"]
-    marks = dict(zip(keys, (F.xxhash64("source"), *text_key(F.col("text"))), strict=True))
-    kept = verdicts(docs, max_docs).where("kept").select(*keys).distinct()
+    marks = (F.xxhash64("source"), *text_key(F.col("text")))
+
+    def failed(w: Column) -> Column:
+        return _failed(F.size(w), _repeat_words(w))
+
+    def met(table: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        named = table.withColumnsRenamed({k: f"_{k}" for k in keys})
+        return of.join(named, [m == F.col(f"_{k}") for m, k in zip(marks, keys, strict=True)], how)
+
+    lines = frequent_lines(docs, max_docs)
+    lines = written(lines, "frequent-lines") if clean else lines
+    depleted = written(lines.where(_depleted(F.col("all_words"), F.col("removed_words"), min_left)).select(*keys), "depleted")
+    kept = met(depleted, "left_anti", docs.where(~_let(words(F.col("text")), failed)))
     if not clean:
-        return _semi(docs, kept, marks)
-    removed = frequent_lines(docs, max_docs).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("removed").alias("_removed"))
-    on = [marks[k] == F.col(f"_{k}") for k in keys]
-    normal = normal_lines(F.col("text"))
-    rest = _let(normal, lambda n: F.filter(
+        return kept
+    rest = _let(normal_lines(F.col("text")), lambda n: F.filter(
         F.split("text", "\n", -1), lambda x, i: (n[i] == "") | ~F.array_contains("_removed", F.xxhash64(n[i]))
     ))
     text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    return _semi(docs, kept, marks).join(removed, on, "left").withColumn("text", text).select(docs.columns)
-
-
-def _semi(docs: DataFrame, kept: DataFrame, marks: dict[str, Column]) -> DataFrame:
-    named = kept.select(*[F.col(k).alias(f"_{k}") for k in marks])
-    return docs.join(named, [marks[k] == F.col(f"_{k}") for k in marks], "left_semi")
+    removed = lines.select(*keys, F.col("removed").alias("_removed"))
+    return met(removed, "left", kept).withColumn("text", text).select(docs.columns)
