@@ -197,7 +197,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated rows."""
+    """``docs`` without the contaminated rows. Their texts' names are written first, so that their
+    size decides the join."""
     bad = contamination(docs, items).where("contaminated").select(F.col("ta").alias("_ta"), F.col("tb").alias("_tb")).distinct()
+    bad = written(bad, "contaminated")
     ta, tb = text_key(F.col("text"))
     return docs.join(bad, (ta == F.col("_ta")) & (tb == F.col("_tb")), "left_anti")
