@@ -216,6 +216,13 @@ def keep_one(docs: DataFrame, groups: int | None = None, cell_limit: int = CELL_
         .select(F.col("doc_id").alias("_id"), F.col("best.text_hash").alias("_hash"), F.col("best.n").alias("_n"))
     )
     best = written(best, "representatives")
-    kept = docs.join(best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
-    once, more = (kept.where(f"_n {how} 1").drop("_id", "_n") for how in ("=", ">"))
-    return once.drop("_hash").unionByName(more.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+
+    def kept(of: DataFrame) -> DataFrame:
+        on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+        return docs.join(of, on).drop("_id", "_n")
+
+    more = best.where("_n > 1")
+    if more.isEmpty():  # the texts are dealt out once
+        return kept(best).drop("_hash")
+    once = kept(best.where("_n = 1")).drop("_hash")
+    return once.unionByName(kept(more).dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
