@@ -17,6 +17,7 @@ SUCCESS_MARKER = "_SUCCESS"
 
 
 _scratch: list[str] = []
+_local: list[str] = []  # the temporary folder of local sessions, once one is needed
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -29,9 +30,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="weatherloom-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set(SHARED_DIR_CONF, base)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="weatherloom-"))
+            atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+        base = _local[0]
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _scratch.append(path)
     return path
