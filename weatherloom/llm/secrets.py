@@ -200,6 +200,7 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         candidates.join(secret, F.col("span.value") == F.col("token"), "left_semi")
         .groupBy("ta", "tb").agg(F.collect_set("span").alias("added"))
     )
+    added = written(added, "added-spans")  # few, so that its size decides the join
     count = lambda kind: F.size(F.filter("base", lambda s: s["order"] == KINDS.index(kind))).cast("long")
     whole = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
     return rows.join(added, ["ta", "tb"], "left").select(
