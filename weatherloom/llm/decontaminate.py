@@ -189,7 +189,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.coalesce(F.regexp_count("text", F.lit(TERM)), F.lit(0)).cast("long").alias("n_words"),
     )
     n_hit = F.coalesce("n_hit", F.lit(0))
-    return rows.join(hits.join(met, keys), keys, "left").select(
+    found = written(hits.join(met, keys), "hits")  # texts with a hit only, so that its size decides the join
+    return rows.join(found, keys, "left").select(
         "doc_id", *keys, "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"),
         sha256_hex(F.coalesce("ids", F.lit(""))).alias("items_sha256"),
         ((n_hit > 0) & (ONE_IN * n_hit >= F.col("n_words"))).alias("contaminated"),
