@@ -146,7 +146,72 @@ def op6(spark, sf_dir):
     return repeats.repeats(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-@query("op9_licence_scan")
+_TEMPLATES_SQL = ", ".join(
+    "('{}', {}, '{}')".format(licence, i, text.replace("'", "''")) for i, (licence, text) in enumerate(licences.TEMPLATES)
+)
+_OP9_SQL = r"""
+WITH template(licence, template, text) AS (VALUES """ + _TEMPLATES_SQL + r"""),
+template_tf AS (
+  SELECT licence, template, term, count(*) AS tf
+  FROM (SELECT licence, template, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM template)
+  GROUP BY ALL
+),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    CASE WHEN doc_id % 10000 = 0 THEN (doc_id // 10000) || '/LICENSE'
+      WHEN doc_id % 100 = 0 THEN (doc_id // 10000) || '/' || (doc_id // 100) || '/LICENSE'
+      ELSE (doc_id // 10000) || '/' || (doc_id // 100) || '/' || doc_id || '.txt' END AS path
+  FROM documents
+),
+n AS (SELECT count(*)::DOUBLE AS n FROM d),
+df AS (
+  SELECT term, count(*) AS df FROM (
+    SELECT unnest(list_distinct(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))) AS term FROM d)
+  WHERE term IN (SELECT term FROM template_tf) GROUP BY term
+),
+idf AS MATERIALIZED (
+  SELECT term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT term FROM template_tf) LEFT JOIN df USING (term), n
+),
+template_w AS (SELECT licence, template, term, tf * idf AS w FROM template_tf JOIN idf USING (term)),
+template_norm AS (SELECT template, sqrt(sum(w * w)) AS norm FROM template_w GROUP BY template),
+said AS MATERIALIZED (
+  SELECT DISTINCT r, s FROM (
+    SELECT r, unnest(string_split(regexp_replace(t, '([.!?])[\x20\t]+', '\1' || chr(10), 'g'), chr(10))) AS s FROM d)
+  WHERE regexp_matches(s, '""" + licences.ANCHOR + r"""')
+),
+said_w AS MATERIALIZED (
+  SELECT s, term, count(*) * coalesce(any_value(idf), ln(1 + any_value(n)) + 1) AS w
+  FROM (SELECT s, unnest(regexp_extract_all(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT s FROM said)) CROSS JOIN n
+  LEFT JOIN idf USING (term) GROUP BY s, term
+),
+cosines AS (
+  SELECT s, licence, round(sum(a.w * b.w / norm) / any_value(own), 6) AS c
+  FROM said_w a JOIN template_w b USING (term) JOIN template_norm USING (template)
+  JOIN (SELECT s, sqrt(sum(w * w)) AS own FROM said_w GROUP BY s) USING (s)
+  GROUP BY s, licence, template
+),
+best AS (
+  SELECT s, licence, c FROM cosines QUALIFY row_number() OVER (PARTITION BY s ORDER BY c DESC, licence) = 1 AND c >= 0.6
+),
+own AS (
+  SELECT r, licence, c FROM said JOIN best USING (s) QUALIFY row_number() OVER (PARTITION BY r ORDER BY c DESC, licence) = 1
+),
+stated AS MATERIALIZED (
+  SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, own.licence, own.c FROM d LEFT JOIN own USING (r)
+),
+speaking AS (
+  SELECT dir, min(licence) AS licence FROM stated WHERE path LIKE '%/LICENSE' AND licence IS NOT NULL GROUP BY dir
+)
+SELECT doc_id, path, s.licence AS own_licence, s.c AS cosine, coalesce(s.licence, near.licence, up.licence) AS licence,
+  CASE WHEN s.licence IS NULL THEN coalesce(near.dir, up.dir) END AS inherited_from
+FROM stated s LEFT JOIN speaking near ON near.dir = s.dir LEFT JOIN speaking up ON up.dir = regexp_extract(s.dir, '^(.*)/[^/]*$', 1)
+"""
+
+
+@query("op9_licence_scan", _OP9_SQL)
 def op9(spark, sf_dir):
     """Documents as files of a tree: a directory for each hundred ids below one for each ten
     thousand, the first document of each being its licence file."""
