@@ -141,7 +141,41 @@ def op7(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
-@query("op6_substring_dedup")
+# lines, then sentences: a mark goes before and one behind the spaces between two
+_OP6_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+line AS (
+  SELECT r, doc_id, li, line, coalesce(sum(length(line) + 1) OVER (
+    PARTITION BY r ORDER BY li ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM (SELECT r, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS li FROM d)
+),
+cut AS (
+  SELECT r, doc_id, li, off, string_split(regexp_replace(line, '([.!?])([\x20\t]+)', '\1' || chr(1) || '\2' || chr(2), 'g'), chr(1)) AS parts
+  FROM line
+),
+part AS (
+  SELECT *, coalesce(sum(length(replace(part, chr(2), ''))) OVER (
+    PARTITION BY r, li ORDER BY pi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    greatest(instr(part, chr(2)) - 1, 0) AS lead, part[instr(part, chr(2)) + 1:] AS body
+  FROM (SELECT r, doc_id, li, off, unnest(parts) AS part, generate_subscripts(parts, 1) AS pi FROM cut)
+),
+unit AS MATERIALIZED (
+  SELECT r, doc_id, row_number() OVER (PARTITION BY r ORDER BY li, pi) AS n, off + before + lead AS lo,
+    off + before + lead + length(body) AS hi, len(ws) AS words, array_to_string(ws, ' ') AS form
+  FROM (SELECT *, regexp_extract_all(lower(body), '[^\x20\x09-\x0D]+') AS ws FROM part) WHERE len(ws) > 0
+),
+again AS (
+  SELECT *, n - row_number() OVER (PARTITION BY r ORDER BY n) AS run FROM (
+    SELECT *, row_number() OVER (PARTITION BY form ORDER BY doc_id, n) AS k, min(doc_id) OVER (PARTITION BY form) AS first_id FROM unit)
+  WHERE k > 1
+)
+SELECT doc_id, min(first_id) AS first_doc_id, min(lo)::INTEGER AS start, max(hi)::INTEGER AS "end",
+  count(*) AS n_units, sum(words)::BIGINT AS n_words
+FROM again GROUP BY r, doc_id, run HAVING sum(CASE WHEN words >= 4 THEN words ELSE 0 END) >= 25
+"""
+
+
+@query("op6_substring_dedup", _OP6_SQL)
 def op6(spark, sf_dir):
     return repeats.repeats(table(spark, sf_dir, "documents")).drop("text_hash")
 
