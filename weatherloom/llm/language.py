@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weatherloom.llm.batches import sliced
 from weatherloom.llm.scratch import written
 
 #: Training texts per language, in expectation.
@@ -145,7 +146,7 @@ _COUNTS = "lang string, kind int, slot int, n long"
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text) -> counts of this task's trigrams (kind 0) and letters per script (kind 1)."""
     totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
+    for batch in sliced(batches):
         for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             packed, _, _ = tokens(text or "")
             grams, scripts = totals.setdefault(lang, (np.zeros(BUCKETS, np.int64), np.zeros(len(NAMES), np.int64)))
@@ -198,7 +199,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS floats
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [judge(t, shared.value) for t in batch.column(2).to_pylist()]
             spans = [",".join(f"{a}:{b}:{lang}" for a, b, lang in s) for *_, s in found]
             yield pa.RecordBatch.from_arrays(

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from weatherloom.llm.batches import sliced
+
 #: The production key is the caller's to give and to guard; this one serves tests and checks.
 KEY = b"example key"
 ROUNDS = 8
@@ -228,7 +230,7 @@ def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     at = base.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [(None, []) if t is None else pseudonymise(t, key) for t in batch.column(at).to_pylist()]
             columns = [batch.column(i) for i in range(batch.num_columns)]
             columns[at] = pa.array([t for t, _ in found], pa.string())

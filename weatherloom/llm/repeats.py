@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weatherloom.llm.batches import sliced
 from weatherloom.llm.scratch import written
 
 #: Words of a run of repeated units from which on it is removed.
@@ -41,7 +42,7 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _UNITS.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32()}
     types = [kinds[x.split()[1]] for x in _UNITS.split(", ")]
-    for batch in batches:
+    for batch in sliced(batches):
         columns: list[list] = [[] for _ in names]
         for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for n, (start, end, normal) in enumerate(split_units(text or "")):

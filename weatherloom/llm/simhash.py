@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weatherloom.llm.batches import sliced
 from weatherloom.llm.components import components
 from weatherloom.llm.scratch import written
 
@@ -57,7 +58,7 @@ def fingerprint(raw: bytes | None) -> int:
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         prints = pa.array([fingerprint(x) for x in batch.column(2).to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "text_hash", "fp"])
 
