@@ -124,7 +124,7 @@ def round_units(units: DataFrame) -> DataFrame:
             counts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("class") == F.col("_c"))
         ).withColumn("block", _block(F.col("unit"), F.col("n")))
         reduced = written(
-            placed.groupBy("source", "class", "block").applyInPandas(lambda g: _reduce(g), _REDUCED), "mixed"
+            placed.groupBy("source", "class", "block").applyInPandas(_reduce, _REDUCED), "mixed"
         )
         part = reduced.where("taken is not null").select("source", "unit", "taken")
         settled = part if settled is None else settled.unionByName(part)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import combinations
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pyarrow as pa

@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The characters between words: space and \x09 to \x0D.
-SPACES = " \t\n\x0b\x0c\r"
+#: The characters between words: space and \x09 to \x0D; and all others.
 SPACE, WORD_CHAR = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, UPPER, UPPER.lower())
-
-
 def words(text: Column) -> Column:
-    """The runs of other characters than :data:`SPACES`, in order; an empty array for null."""
+    """The runs of characters other than :data:`SPACE`, in order; an empty array for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
 
 
