@@ -69,6 +69,22 @@ def test_neighbours_do_not_hide_a_value():
     assert [k for *_, k in spans][:3] == ["card", "ipv4", "ssn"]
 
 
+@pytest.mark.parametrize("behind", ["BIC", "EUR", "2024", "X", "BANK 1234", "4417744280351547", "AT611904300234573201", "12 Main", "Bank"])
+@pytest.mark.parametrize("iban", [
+    "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT611904300234573201", "BE68539007547034", "BE68 5390 0754 7034",
+    "PL61 1090 1014 0000 0712 1981 2874", "HU42 1177 3016 1111 1018 0000 0000", "CY17 0020 0128 0000 0012 0052 7600",
+    "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "MT84MALT011000012345MTLCAST001S",
+    "XX83 1234 5678 9012 3456",
+])
+def test_iban_before_another_token(iban, behind):
+    text = f"to {iban} {behind}."
+    out, spans = pii.pseudonymise(text)
+    assert text[slice(*spans[0][:2])] == iban and spans[0][2] == "iban"
+    assert iban not in out and pii.pseudonymise(iban)[0] in out
+    assert [k for *_, k in spans[1:]] == {"4417744280351547": ["card"], "AT611904300234573201": ["iban"]}.get(behind, [])
+    assert pii.pseudonymise(out, reverse=True)[0] == text
+
+
 def test_rows(documents):
     long = "word " * 50_000 + "97.51.17.173" + "9" * 100_000 + "a" * 100_000 + "@x.org"
     rows = [(1, None), (2, ""), (None, "mail die.55@mail4.example.com"), (3, "none"), (3, "none"), (4, long)]

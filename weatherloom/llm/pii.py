@@ -77,25 +77,58 @@ def _card(value, key, reverse):
     return _refill(value, body + str(-_luhn(body + "0") % 10))
 
 
-def _iban(value, key, reverse):
-    plain = value.replace(" ", "")
+#: Characters of an IBAN without its spaces, by country.
+_IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def _iban_end(value):
+    """Where the account number at the start of ``value`` ends; the pattern may have taken in words
+    behind it. The country's length goes first, then every end of a group, the longest first; zero
+    if none passes mod 97."""
+    ends = [m.start() for m in re.finditer(r"\x20|\Z", value)][::-1]
+    size = {end: end - value.count(" ", 0, end) for end in ends}
+    own = _IBAN_LENGTHS.get(value[:2])
+    for end in sorted(ends, key=lambda e: size[e] != own):  # stable
+        plain = value[:end].replace(" ", "")
+        if 15 <= len(plain) <= 34 and _mod97(plain[4:] + plain[:4]) == 1:
+            return end
+    return 0
 
-    def number(text):
-        return int("".join(str(int(c, 36)) for c in text))
 
-    if not 15 <= len(plain) <= 34 or number(plain[4:] + plain[:4]) % 97 != 1:
+def _iban(value, key, reverse):
+    """The pseudonym of the number at the start, without the words behind it."""
+    end = _iban_end(value)
+    if not end:
         return None
+    plain, rest = value[:end].replace(" ", ""), value[end:]
     country, account = plain[:2], plain[4:]
     size, rank = 1, 0
     kinds = [(10, "0123456789") if c.isdigit() else (26, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in account]
     for c, (n, letters) in zip(account, kinds, strict=True):
         size, rank = size * n, rank * n + letters.index(c)
-    rank, out = permute(rank, size, key, b"iban", reverse), ""
-    for n, letters in reversed(kinds):
-        rank, at = divmod(rank, n)
-        out = letters[at] + out
-    fresh = iter(country + f"{98 - number(out + country + '00') % 97:02d}" + out)
-    return "".join(c if c == " " else next(fresh) for c in value)
+    while True:  # walked until the pseudonym ends at the same place
+        rank, out = permute(rank, size, key, b"iban", reverse), ""
+        at = rank
+        for n, letters in reversed(kinds):
+            at, k = divmod(at, n)
+            out = letters[k] + out
+        fresh = iter(country + f"{98 - _mod97(out + country + '00'):02d}" + out)
+        moved = "".join(c if c == " " else next(fresh) for c in value[:end])
+        if _iban_end(moved + rest) == end:
+            return moved
 
 
 def _phone(value, key, reverse):
@@ -202,8 +235,8 @@ def find(text: str, key: bytes = KEY, reverse: bool = False) -> Iterator[tuple[i
             if (kind == "email") != (place[0] == "@"):
                 continue
             if (m := pattern.match(text, start)) and (fresh := move(m[0], key, reverse)) is not None:
-                yield start, m.end(), kind, fresh
-                done = m.end()
+                done = start + len(fresh) if kind == "iban" else m.end()
+                yield start, done, kind, fresh
                 break
 
 
