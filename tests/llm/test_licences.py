@@ -94,3 +94,64 @@ def test_query(spark):
 
     found = got(QUERIES["op9_licence_scan"](spark, SF))
     assert found == plain([(d, path(d), t) for d, t in docs]) and any("MIT" in r or "CC-BY-NC" in r for r in found)
+
+
+def gnu(what, licence, version, mark=";"):
+    return (
+        f"This {what} is free software{mark} you can redistribute it and/or modify\nit under the terms of the GNU {licence} as published by\n"
+        f"the Free Software Foundation{mark if mark == ';' else ','} either version {version} of the License, or\n(at your option) any later version."
+    )
+
+
+HEADERS = [
+    ("GPL-2.0", gnu("program", "General Public License", "2")),
+    ("GPL-3.0", gnu("program", "General Public License", "3", ":")),
+    ("LGPL-2.1", gnu("library", "Lesser General Public License", "2.1")),
+    ("AGPL-3.0", gnu("program", "Affero General Public License", "3", ":")),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance\nwith the License.'),
+    ("GPL-2.0", "This file is distributed under the terms of version 2 of the\nGNU General Public License."),
+    ("CC-BY-3.0", "Licensed under CC BY 3.0."), ("CC-BY-NC-SA-3.0", "Licensed under CC BY-NC-SA 3.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("MIT", "SPDX-License-Identifier: MIT"), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"), ("Zlib", "SPDX-License-Identifier: Zlib"),
+    ("MIT OR Apache-2.0", "SPDX-License-Identifier: MIT OR Apache-2.0"),
+]
+BSD = """Copyright (c) 2020, A. Holder
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or
+   promote products derived from this software without specific prior written permission.
+"""
+WHOLE = [
+    ("GPL-2.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n"),
+    ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n"),
+    ("BSD-2-Clause", BSD), ("BSD-3-Clause", BSD + THIRD),
+    ("MIT", "MIT License\n\nCopyright (c) 2020 A. Holder\n\n" + licences._MIT.replace(", ", ",\n")),
+]
+
+
+def test_wrapped_headers_tags_and_whole_files(spark):
+    rows, want = [], {}
+    for licence, text in HEADERS:
+        for mark in ("", "# ", " * ", "// "):
+            body = "\n".join(mark + x for x in f"Copyright (C) 2020 A. Holder\n\n{text}\n\ncode".split("\n"))
+            rows.append((len(rows), f"src/{len(rows)}.c", body))
+            want[len(want)] = licence
+    for licence, text in WHOLE:
+        rows.append((len(rows), f"{len(rows)}/LICENSE", text))
+        want[len(want)] = licence
+    rows += [(1000 + i, f"x/{i}", f"plain words {i} the of and to in a file that are not a notice") for i in range(400)]
+    out = licences.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    got = {r.doc_id: r.own_licence for r in out if r.doc_id < 1000}
+    texts = {r[0]: r[2] for r in rows}
+    assert {k: (v, texts[k]) for k, v in got.items() if v != want[k]} == {}
+    assert all(r.own_licence is None for r in out if r.doc_id >= 1000)
