@@ -56,6 +56,30 @@ def test_frequent_lines_of_a_host(documents):
     assert thin.n_words == 53 and thin.removed_words == 52 and not thin.kept
 
 
+def test_long_frequent_lines(documents):
+    """A notice of over 25 words on pages of their own goes; pages of notices alone are rejected; near copies stay."""
+
+    def own(i, n=60):
+        return " ".join(f"w{chr(97 + i)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n))
+
+    def notice(c):
+        return " ".join(f"{c}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(30))
+
+    rows = [(i, f"{own(i)}\n{notice('x')}\n{own(i, 20)[::-1]}\n{notice('y')[:90]}", None, "a") for i in range(22)]
+    rows += [(50, f"{notice('x')}\n{notice('x').upper()}", None, "a")]
+    copy = [" ".join(f"c{chr(97 + j)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(30)) for j in range(20)]
+    for i in range(40):  # each changes one of its twenty lines
+        lines = list(copy)
+        lines[i % 20] = own(0, 30) + f" {chr(97 + i // 20)}"
+        rows += [(100 + i, "\n".join(lines), None, "a")]
+    out = {r.doc_id: r for r in quality.verdicts(documents(rows)).collect()}
+    assert all(out[i].removed_words >= 30 and out[i].kept for i in range(22))
+    assert out[50].removed_words == 60 and not out[50].kept
+    assert all(out[100 + i].removed_words == 0 and out[100 + i].kept for i in range(40))
+    cleaned = {r.doc_id: r.text for r in quality.apply_rules(documents(rows), clean=True).collect()}
+    assert 50 not in cleaned and all(notice("x") not in cleaned[i] and own(i) in cleaned[i] for i in range(22))
+
+
 def test_apply(documents):
     menu = "Home News 12 About"
     rows = [(i, f"{PROSE} {i}\n{menu}\n\nend{chr(97 + i)}", None, "a") for i in range(25)] + [(None, "short", None, None), (7, None)]

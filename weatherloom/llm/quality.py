@@ -21,8 +21,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Distinct documents of one host that may share a line before it is removed.
 MAX_LINE_DOCS = 20
-#: Longer lines are passages rather than page furniture; what repeats them are copies and near
-#: copies of documents, of which deduplication keeps one, so they do not count.
+#: Longer lines are often passages, repeated by near copies of documents, of which deduplication
+#: keeps one. Only texts that are no near copies count for them: most of their words stand in lines
+#: that at most half of MAX_LINE_DOCS distinct texts of the host have.
 MAX_LINE_WORDS = 25
 #: Percent of a document's words that must remain after the removal.
 MIN_LEFT_PERCENT = 5
@@ -116,9 +117,24 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_LINE_DOCS) -> DataFrame:
         .agg(F.max("line.w").alias("w"), F.count(F.lit(1)).alias("n"))
     )
     units = written(units, "lines")
-    frequent = (
-        units.where(F.col("h").isNotNull() & (F.col("w") <= MAX_LINE_WORDS)).groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
-        .where(F.col("docs") > max_docs).select("host", "h")
+    lines = units.where("h is not null")
+    counts = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.max("w").alias("w"))
+    counts = written(counts.where(F.col("docs") > max_docs // 2), "line-counts")
+    often = counts.where(F.col("docs") > max_docs)
+    long = written(often.where(F.col("w") > MAX_LINE_WORDS).select("host", "h"), "long-lines")
+    # texts that have a long frequent line, with the words in all lines that others have too
+    text = ["host", "ta", "tb"]
+    met = written(lines.join(long, ["host", "h"], "left_semi").select(*text, "h"), "long-line-texts")
+    of_met = units.join(met.select(*text).distinct(), text, "left_semi")
+    shared = of_met.join(counts.select("host", "h", F.lit(True).alias("shared")), ["host", "h"], "left")
+    words_of = shared.groupBy(*text).agg(
+        F.sum(F.when(F.col("h").isNotNull(), F.col("w") * F.col("n"))).alias("all"),
+        F.sum(F.when(F.col("shared"), F.col("w") * F.col("n"))).alias("shared"),
+    )
+    own = words_of.where(2 * F.coalesce("shared", F.lit(0)) < F.col("all")).select(*text)
+    voted = met.join(own, text, "left_semi").groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+    frequent = often.where(F.col("w") <= MAX_LINE_WORDS).select("host", "h").union(
+        voted.where(F.col("docs") > max_docs).select("host", "h")
     )
     hit = units.join(frequent, ["host", "h"], "left_semi").select(units.columns)
     is_mark = F.col("h").isNull()
