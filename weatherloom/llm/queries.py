@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weatherloom.llm import chat, decontaminate, language, licences, mixing, pii, quality, repeats, secrets, simhash
+from weatherloom.llm import (
+    chat, decontaminate, language, licences, mixing, negatives, periodic, pii, quality, redirects, repeats, secrets, simhash,
+)
 from weatherloom.llm.registry import ORACLES, QUERIES, query, table
+from weatherloom.llm.text import sha256_hex, words
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -264,3 +267,153 @@ def op9(spark, sf_dir):
 def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.identify(docs, language.train(docs))
+
+
+_OP11_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+  SELECT a.r AS anchor, a.id AS anchor_id, c.id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.r <> c.r WHERE a.id % 50 = 0
+),
+p AS (
+  SELECT anchor, anchor_id, id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place
+  FROM s WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY anchor, place ORDER BY score DESC, id)::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query("op11_hard_negatives", _OP11_SQL)
+def op11(spark, sf_dir):
+    finite = "not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
+    rows = table(spark, sf_dir, "embeddings").where(f"embedding is not null and {finite}")
+    return negatives.mine(rows.selectExpr(
+        "vec_id as id", "if(vec_id % 7 = 0, (label + 1) % 10, label) as label",
+        "transform(embedding, x -> floor(256 * double(x))) as v", "vec_id % 50 = 0 as is_anchor",
+    ))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    """One document in ten, by hash, gets words that repeat from some place on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", hashed.alias("h"), F.expr("h div 10").alias("g"))
+    chosen = docs.where("h % 10 = 0").withColumn("ws", words(F.col("text"))).withColumn("n", F.size("ws"))
+    place = F.when(F.col("n") > 0, F.expr("int(g % n)")).otherwise(0)
+    chosen = chosen.withColumn("a", place).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    again = F.flatten(F.array_repeat(F.expr("slice(ws, a + 1, p)"), F.expr("int(ceil((n - a) / p))")))
+    text = F.array_join(F.slice(F.concat(F.expr("slice(ws, 1, a)"), again), 1, F.greatest("n", F.lit(1))), " ")
+    docs = docs.where("h % 10 <> 0 or h is null").select("doc_id", "text").union(chosen.select("doc_id", text.alias("text")))
+    found = periodic.periodic_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("a"), (-r["period"]).alias("q"))))
+    rows = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    listed = F.concat(F.array_join(rows, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "collapsed"
+    ).select(
+        "doc_id", "n_runs", (-F.col("best.a")).alias("start"), F.col("best.n").alias("length"), (-F.col("best.q")).alias("period"),
+        F.expr("(1000 * best.n) div -best.q").alias("exponent_milli"),
+        sha256_hex(F.col("listed")).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+URL_RULES = [
+    redirects.Rule("com", "/", True),
+    redirects.Rule("example.com", "/en/", False),
+    redirects.Rule("www.example.com", "/en/", True),
+    redirects.Rule("net", "/es/", False),
+    redirects.Rule("net", "/fr/", False),
+]
+
+_OP13_SQL = r"""
+WITH RECURSIVE p AS MATERIALIZED (
+  SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) END AS rest FROM pages
+),
+tag AS (
+  SELECT rest AS base, unnest(regexp_extract_all(
+    regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM p WHERE rest IS NOT NULL AND regexp_matches(html, '(?i)canonical|http-equiv')
+),
+said AS (
+  SELECT base, replace(trim(CASE
+    WHEN regexp_matches(tag, '(?is)^<link\b.*\srel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?is)\shref\s*=\s*["'']?([^"''\s>]*)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta\b.*\shttp-equiv\s*=\s*["'']?refresh\b')
+      THEN regexp_extract(tag, '(?is)\scontent\s*=\s*["'']?\s*[\d.]*\s*[;,]\s*url\s*=\s*["'']?([^"''>]*)', 1) END), '&amp;', '&') AS link
+  FROM tag
+),
+target AS (
+  SELECT base, CASE WHEN regexp_matches(link, '^(?i:https?)://') THEN substring(link, instr(link, '://') + 3)
+    WHEN link LIKE '//%' THEN substring(link, 3)
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN link LIKE '/%' THEN regexp_extract(base, '^[^/?#]*') || link
+    WHEN link LIKE '?%' THEN regexp_extract(base, '^[^?#]*') || link
+    WHEN link LIKE '#%' THEN base
+    ELSE regexp_extract(base, '^[^/?#]*') || '/' || regexp_extract(regexp_extract(base, '^[^/?#]*([^?#]*)', 1), '^/?(.*/)?[^/]*$', 1) || link END AS rest
+  FROM said WHERE link <> ''
+),
+plain AS (
+  SELECT rest, regexp_replace(regexp_replace(trim(rest), '#.*$', ''), '^[^/?#@]*@', '') AS bare
+  FROM (SELECT rest FROM p UNION SELECT rest FROM target UNION SELECT base FROM target) WHERE rest IS NOT NULL
+),
+address AS MATERIALIZED (
+  SELECT rest, host || CASE path WHEN '' THEN '/' ELSE path END || regexp_extract(bare, '^[^?]*(\?.+)?$', 1) AS address
+  FROM (SELECT *, regexp_replace(translate(regexp_extract(bare, '^[^/?]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '\.?(?::(?:80|443))?$', '') AS host, regexp_extract(bare, '^[^/?]*([^?]*)', 1) AS path FROM plain)
+  WHERE host <> ''
+),
+usual AS (
+  SELECT address, path || CASE search WHEN '' THEN '' ELSE '?' || search END AS form
+  FROM (SELECT address,
+      regexp_replace(regexp_replace(regexp_replace(regexp_extract(address, '^[^?]*'),
+        '/index\.(?:html?|php)$', '/'), '\.html?$', ''), '^([^/]+/.*[^/])/$', '\1') AS path,
+      regexp_replace(regexp_replace(regexp_extract(address, '^[^?]*\?(.*)$', 1),
+        '(?:^|&)(?:utm_[a-z]+|gclid|fbclid|msclkid|mc_[ce]id|ref)=[^&]*', '', 'g'), '^&+', '') AS search
+    FROM (SELECT DISTINCT address FROM address))
+),
+edge AS (
+  SELECT x.address AS a, y.address AS b FROM target t JOIN address x ON x.rest = t.base JOIN address y ON y.rest = t.rest
+  UNION SELECT address, form FROM usual
+),
+sym AS MATERIALIZED (SELECT a, b FROM edge WHERE a <> b UNION SELECT b, a FROM edge WHERE a <> b),
+name AS (SELECT address AS a, rest FROM address UNION SELECT form, form FROM usual),
+hp AS MATERIALIZED (
+  SELECT a, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM name
+),
+rule(rule_host, rule_path, allow) AS (VALUES ('com', '/', true), ('example.com', '/en/', false), ('www.example.com', '/en/', true),
+  ('net', '/es/', false), ('net', '/fr/', false)),
+ruled AS (
+  SELECT host, path, rule_host || rule_path AS rule, allow FROM (SELECT DISTINCT host, path FROM hp) JOIN rule
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule_host || rule_path) DESC) = 1
+),
+node AS MATERIALIZED (SELECT a, bool_or(allow) AS allow FROM hp JOIN ruled USING (host, path) GROUP BY a),
+reach(a, b) AS (SELECT DISTINCT address, address FROM address UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
+alias AS (SELECT reach.a, bool_or(node.allow) AS allow FROM reach JOIN node ON node.a = reach.b GROUP BY reach.a),
+page AS (
+  SELECT page_id, rest, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p
+)
+SELECT page_id, host, path, rule, CASE WHEN coalesce(ruled.allow, alias.allow, true) THEN 'allow' ELSE 'block' END AS verdict
+FROM page LEFT JOIN ruled USING (host, path) LEFT JOIN address USING (rest) LEFT JOIN alias ON alias.a = address.address
+"""
+
+
+@query("op13_url_filters", _OP13_SQL)
+def op13(spark, sf_dir):
+    judged = redirects.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    names = F.array(*[F.lit(r.host + r.path) for r in URL_RULES])
+    return judged.select(
+        "page_id", "host", "path", F.get(names, F.col("rule")).alias("rule"),
+        F.when(F.col("allowed"), "allow").otherwise("block").alias("verdict"),
+    )
