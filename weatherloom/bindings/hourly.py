@@ -21,6 +21,7 @@ from weatherloom.functions.cleaning import any_present
 from weatherloom.functions.geo import haversine
 from weatherloom.functions.weather import PRESSURE_GUARDS, apparent_temp, humidity, trend, valid_flag, vector_uv, wet_bulb
 from weatherloom.operators.aggregate import null_rates
+from weatherloom.operators.asof import asof_tier, join_asof
 from weatherloom.operators.hourly import complete_grid, hour_grid, lag_delta
 from weatherloom.operators.joins import join_hour, join_interval, join_tier, lookup
 from weatherloom.operators.nearby import join_distance, nearest
@@ -302,8 +303,23 @@ _TIER_SQL = (
 )
 def event_hour_join(t: Tables):
     """Events as plays; some are put years before the weather, so every tier occurs."""
+    out = join_hour(
+        _event_plays(t), hourly_obs(t), "station_key", "play_hour_utc", "obs_hour_utc",
+        {"air_temp_c": "air_temp_c", "obs_present_flag": "obs_present_flag"}, "event_id",
+    )
+    out = out.withColumns(
+        {
+            "weather_key_match_flag": F.when(any_present("weather_hour_utc"), 1).otherwise(0),
+            "weather_observed_flag": F.coalesce("obs_present_flag", F.lit(0)),
+            "weather_join_tier": _event_tier(),
+        }
+    ).drop("obs_present_flag")
+    return ntz(out, "play_ts_utc", "play_hour_utc", "weather_hour_utc")
+
+
+def _event_plays(t: Tables):
     n = F.col("event_id")
-    play = t.events.select(
+    return t.events.select(
         "event_id",
         F.when(n % 11 != 0, event_station()).alias("station_key"),
         F.when(n % 13 == 0, F.col("ts").cast("timestamp") - F.expr("interval 2000 days"))
@@ -312,20 +328,61 @@ def event_hour_join(t: Tables):
         .alias("play_ts_utc"),
         F.when(n % 7 != 0, "time_of_day").when(n % 5 != 0, "start_time").otherwise("none").alias("play_ts_source"),
     ).withColumn("play_hour_utc", F.date_trunc("hour", "play_ts_utc"))
+
+
+def _event_tier():
+    return join_tier("station_key", "play_ts_utc", "weather_hour_utc", "obs_present_flag", "play_ts_source")
+
+
+@query(
+    "event_asof_join",
+    _TIER_SQL
+    + """, filled AS (
+    SELECT j.*, CASE WHEN coalesce(j.obs_present_flag, 0) = 0 AND j.play_hour_utc - o.obs_hour_utc <= INTERVAL 6 HOUR THEN o.obs_hour_utc END AS weather_asof_hour_utc,
+      o.air_temp_c AS earlier_temp_c
+    FROM joined j ASOF LEFT JOIN (SELECT station_key, obs_hour_utc, air_temp_c FROM obs WHERE obs_present_flag = 1) o
+      ON j.station_key = o.station_key AND j.play_hour_utc >= o.obs_hour_utc)
+  SELECT event_id, station_key, play_hour_utc, weather_asof_hour_utc, CASE WHEN weather_asof_hour_utc IS NULL THEN air_temp_c ELSE earlier_temp_c END AS air_temp_c,
+    CAST(CASE WHEN obs_present_flag = 1 THEN 0 ELSE date_diff('hour', weather_asof_hour_utc, play_hour_utc) END AS INTEGER) AS weather_age_hours,
+    CASE WHEN station_key IS NULL THEN 'no_station_mapping' WHEN play_ts_utc IS NULL THEN 'no_play_time' WHEN weather_asof_hour_utc IS NOT NULL THEN 'earlier_observation'
+      WHEN weather_hour_utc IS NULL THEN 'no_weather_hour_key' WHEN obs_present_flag = 0 THEN 'weather_hour_no_observation' WHEN play_ts_source = 'time_of_day' THEN 'direct_play_hour'
+      WHEN play_ts_source = 'start_time' THEN 'kickoff_fallback' ELSE 'matched_observed' END AS weather_join_tier FROM filled""",
+)
+def event_asof_join(t: Tables):
+    """Hours without an observation take one of up to six hours before."""
+    obs = materialize(hourly_obs(t), "obs")
     out = join_hour(
-        play, hourly_obs(t), "station_key", "play_hour_utc", "obs_hour_utc",
+        _event_plays(t), obs, "station_key", "play_hour_utc", "obs_hour_utc",
         {"air_temp_c": "air_temp_c", "obs_present_flag": "obs_present_flag"}, "event_id",
     )
-    out = out.withColumns(
-        {
-            "weather_key_match_flag": F.when(any_present("weather_hour_utc"), 1).otherwise(0),
-            "weather_observed_flag": F.coalesce("obs_present_flag", F.lit(0)),
-            "weather_join_tier": join_tier(
-                "station_key", "play_ts_utc", "weather_hour_utc", "obs_present_flag", "play_ts_source"
-            ),
-        }
-    ).drop("obs_present_flag")
-    return ntz(out, "play_ts_utc", "play_hour_utc", "weather_hour_utc")
+    observed = F.coalesce("obs_present_flag", F.lit(0)) == 1
+    out = join_asof(
+        out.withColumn("gap_hour", F.when(~observed, F.col("play_hour_utc"))), obs.filter("obs_present_flag = 1"),
+        "station_key", "gap_hour", "obs_hour_utc", {"air_temp_c": "earlier_temp_c"}, "event_id", 6, "weather_asof_hour_utc",
+    )
+    taken = F.col("weather_asof_hour_utc")
+    age = (F.unix_timestamp("play_hour_utc") - F.unix_timestamp(taken)) / 3600
+    out = out.select(
+        "event_id", "station_key", "play_hour_utc", "weather_asof_hour_utc",
+        F.when(taken.isNull(), F.col("air_temp_c")).otherwise(F.col("earlier_temp_c")).alias("air_temp_c"),
+        F.when(observed, 0).otherwise(age.cast("int")).alias("weather_age_hours"),
+        asof_tier(_event_tier(), taken).alias("weather_join_tier"),
+    )
+    return ntz(out, "play_hour_utc", "weather_asof_hour_utc")
+
+
+@query(
+    "asof_match",
+    """SELECT e.event_id, CASE WHEN e.ts - r.ts <= INTERVAL 12 HOUR THEN r.ts END AS error_ts, CASE WHEN e.ts - r.ts <= INTERVAL 12 HOUR THEN r.value END AS error_value
+    FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'error' GROUP BY user_id, ts) r
+      ON e.user_id = r.user_id AND e.ts >= r.ts""",
+)
+def asof_match(t: Tables):
+    """Every event beside the last error of its user, of up to twelve hours before."""
+    e = t.events.select("event_id", "event_type", "ts", "value", F.col("user_id").cast("string").alias("user"))
+    errors = e.filter("event_type = 'error'").groupBy("user", "ts").agg(F.max("value").alias("value"))
+    out = join_asof(e.drop("value"), errors, "user", "ts", "ts", {"value": "error_value"}, "event_id", 12, "error_ts")
+    return ntz(out.select("event_id", "error_ts", "error_value"), "error_ts")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.functions.cleaning import all_present, bin_category, bin_numeric, flag, present_flag, safe_ratio, side_value
 from weatherloom.functions.timestamps import first_ts, text_to_utc
+from weatherloom.operators.asof import asof_tier, join_asof
 from weatherloom.operators.aggregate import (
     collapse_units,
     coverage,
@@ -125,7 +126,11 @@ def play_weather_fact(
     station_map: DataFrame,
     weather: DataFrame,
     run_ts: str,
+    asof_hours: int | None = None,
 ) -> DataFrame:
+    """Plays with the weather of their station and hour. With ``asof_hours``, a play whose hour has no
+    observation takes the nearest earlier one of up to so many hours before; see
+    :func:`with_earlier_weather`."""
     timed = timed_plays(located_plays(plays, games, venue, station_map))
     fact = join_hour(
         timed,
@@ -136,14 +141,16 @@ def play_weather_fact(
         FACT_WEATHER,
         F.concat_ws("/", "game_id", "play_id"),
     )
+    tier = join_tier("station_key", "play_ts_utc", "weather_hour_utc", "weather_obs_present_flag", "play_ts_source")
+    if asof_hours is not None:
+        fact = with_earlier_weather(fact, weather, asof_hours)
+        tier = asof_tier(tier, "weather_asof_hour_utc")
     return stamp(
         fact.withColumns(
             {
                 "weather_key_match_flag": present_flag("weather_hour_utc"),
                 "weather_observed_flag": F.coalesce("weather_obs_present_flag", F.lit(0)),
-                "weather_join_tier": join_tier(
-                    "station_key", "play_ts_utc", "weather_hour_utc", "weather_obs_present_flag", "play_ts_source"
-                ),
+                "weather_join_tier": tier,
                 "temp_bin": bin_numeric("air_temp_c", C.TEMP_EDGES, C.TEMP_LABELS),
                 "wind_bin": bin_numeric("wind_speed_mps", C.WIND_EDGES, C.WIND_LABELS),
                 # precipitation is not in the hourly table
@@ -155,6 +162,28 @@ def play_weather_fact(
     )
 
 
+def with_earlier_weather(fact: DataFrame, weather: DataFrame, hours: int) -> DataFrame:
+    """Hour-matched plays in which gaps are filled from the nearest earlier observed hour of the station.
+
+    Only weather columns without a value at the play's hour change. ``weather_asof_hour_utc`` is the
+    hour taken, ``weather_age_hours`` how old it is: 0 for an observation of the hour itself, null
+    without one. The flags of the hour match keep their meaning: such a play is not observed.
+    """
+    observed = F.coalesce("weather_obs_present_flag", F.lit(0)) == 1
+    taken = {c: n for c, n in FACT_WEATHER.items() if c != "weather_obs_present_flag"}
+    out = join_asof(
+        fact.withColumn("__hour", F.when(~observed, F.col("play_hour_utc"))),
+        weather.filter(F.col("weather_obs_present_flag") == 1),
+        "station_key", "__hour", "obs_hour_utc", {c: f"__asof_{n}" for c, n in taken.items()},
+        F.concat_ws("/", "game_id", "play_id"), hours, "weather_asof_hour_utc",
+    )
+    age = (F.unix_timestamp("play_hour_utc") - F.unix_timestamp("weather_asof_hour_utc")) / 3600
+    filled = {n: F.when(F.col("weather_asof_hour_utc").isNotNull(), F.col(f"__asof_{n}")).otherwise(F.col(n)) for n in taken.values()}
+    return out.withColumns({**filled, "weather_age_hours": F.when(observed, 0).otherwise(age.cast("int"))}).drop(
+        "__hour", *[f"__asof_{n}" for n in taken.values()]
+    )
+
+
 def bin_dimension(spark: SparkSession) -> DataFrame:
     return literal_dimension(spark, C.BIN_ROWS, C.BIN_DIMENSION.schema)
 

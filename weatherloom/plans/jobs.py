@@ -57,6 +57,7 @@ class Workspace:
     clock: Clock = utc_now
     year_span: tuple[int, int] = C.YEAR_SPAN  # years the hourly weather must start and end with
     catalog: str = "serving"  # database in which published tables are registered
+    asof_hours: int | None = None  # how old an observation may be that stands in for a missing one; None: no stand-ins
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -197,6 +198,7 @@ def build_fact(ws: Workspace, run_ts: str, rates: dict[str, float] | None = None
         ws.load("silver", C.VENUE_STATION_MAP.name, C.VENUE_STATION_MAP),
         weather,
         run_ts,
+        ws.asof_hours,
     )
     ws.save(fact, "gold", FACT, ["season"])
     ws.save(gold.bin_dimension(ws.spark), "gold", C.BIN_DIMENSION.name)
