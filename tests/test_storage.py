@@ -139,3 +139,114 @@ def test_path_part(spark):
     df = spark.createDataFrame([("file:/b/source=isd/year=2023/station_key=007-1/x.gz",), ("file:/b/x",)], "u string")
     out = df.select(path_part("u", "station_key").alias("k"), path_part("u", "year", "int").alias("y")).collect()
     assert [tuple(r) for r in out] == [("007-1", 2023), (None, None)]
+
+
+def test_of_two_publishes_at_once_one_learns_of_the_other(spark, tmp_path):
+    """The second publish starts and ends while the first one is still at its gates."""
+    target = str(tmp_path / "pub")
+    publish.publish_swap(rows(spark, 0.1), target, TABLE, "v1", 400)
+
+    class Meanwhile:
+        """A gate that is looked at between staging and switching."""
+
+        def select(self, *columns):
+            publish.publish_swap(rows(spark, 0.2), target, TABLE, "v2", 400)
+            return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+    with pytest.raises(publish.PublishConflict, match="v3 was made on top of entry 1, but entry 2, version v2"):
+        publish.publish_swap(rows(spark, 0.3), target, TABLE, "v3", 400, [Meanwhile()])
+    live = publish.read_published(spark, target, TABLE)
+    assert (live.agg(F.max("rate")).first()[0], live.count()) == (0.2, 400)
+    assert [(e.number, e.version, e.rows) for e in publish.history(spark, target)] == [(1, "v1", 400), (2, "v2", 400)]
+
+
+def test_a_version_that_stands_alone_is_retried(spark, tmp_path):
+    target = str(tmp_path / "pub")
+
+    class Meanwhile:
+        def select(self, *columns):
+            publish.publish_swap(rows(spark, 0.2), target, TABLE, "v1", 400)
+            return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+    publish.publish_swap(rows(spark, 0.3), target, TABLE, "v2", 400, [Meanwhile()], retry=True)
+    assert [e.version for e in publish.history(spark, target)] == ["v1", "v2"]
+    assert publish.read_published(spark, target, TABLE).agg(F.max("rate")).first()[0] == 0.3
+
+
+def test_two_publishes_under_one_id_do_not_mix(spark, tmp_path):
+    target = str(tmp_path / "pub")
+
+    class Meanwhile:
+        def select(self, *columns):
+            publish.publish_swap(rows(spark, 0.2), target, TABLE, "v1", 400)
+            return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+    with pytest.raises(publish.PublishConflict):
+        publish.publish_swap(rows(spark, 0.3), target, TABLE, "v1", 400, [Meanwhile()])
+    live = publish.read_published(spark, target, TABLE)
+    assert live.count() == 400 and live.agg(F.max("rate")).first()[0] == 0.2
+
+
+def test_entries_are_created_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "log" / "000000000001")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: publish.create_if_absent(spark, path, f"writer {i}\n"), range(8)))
+    assert sum(won) == 1
+    assert spark.read.text(path).first().value == f"writer {won.index(True)}"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")] == ["000000000001"]
+    plain = str(tmp_path / "log2" / "1")  # the way of stores without rename
+    _, fs = sink._hadoop_path(spark, plain)
+    first = sink._hadoop_path(spark, plain)[0]
+    assert publish._create(spark, fs, first, "a\n") and not publish._create(spark, fs, first, "b\n")
+    assert spark.read.text(plain).first().value == "a"
+
+
+def test_old_versions_go_and_staged_ones_stay(spark, tmp_path):
+    target = str(tmp_path / "pub")
+    for v in ("v1", "v2", "v3"):
+        publish.publish_swap(rows(spark), target, TABLE, v, 400)
+    staging = tmp_path / "pub" / "version=v4" / "someone"
+    rows(spark).write.parquet(str(staging))
+    assert publish.drop_old_versions(spark, target) == 2 and staging.exists()
+    assert [e.version for e in publish.history(spark, target)] == ["v3"]
+    assert publish.read_published(spark, target, TABLE).count() == 400
+    assert publish.drop_old_versions(spark, str(tmp_path / "none")) == 0
+
+
+def test_checks_measured_while_writing(spark, tmp_path):
+    from weatherloom.operators import gates
+    from weatherloom.operators.observed import ObservedChecks
+
+    df = rows(spark, 0.5)
+    checks = [
+        gates.range_check("rate", 0.0, 0.4), gates.not_null_check("team"), gates.domain_check("season", [2000, 2001]), gates.filled_check("rate"),
+        gates.non_empty_check(), gates.span_check("season", 2000, 2003), gates.single_value_check("rate", "0.5"),
+        gates.zero_denominator_check("rate", F.col("season") - 2000), gates.rate_check("share", F.col("season") > 2000, 0.7),
+        gates.formula_check("f", "season", "season", "rate"), gates.agreement_check("team", "team"),
+    ]
+    for frame, name in ((df, "full"), (df.where("season < 0"), "empty"), (spark.createDataFrame([], df.schema), "none")):
+        measured = ObservedChecks(checks, "t")
+        sink.write_partitioned(frame, str(tmp_path / name), ["season"], clustered=True, measured=measured)
+        want = gates.column_checks(frame, "t", checks).collect()
+        assert measured.report(spark).collect() == want and measured.rows == frame.count()
+    with pytest.raises(ValueError, match="already"):
+        measured.attach(df)
+    with pytest.raises(ValueError, match="nothing"):
+        ObservedChecks(checks, "t").report(spark)
+
+
+def test_publish_reads_the_staged_files_once(spark, tmp_path):
+    """Only the check for repeated keys reads them, and only the key columns."""
+    import weatherloom.sources.publish as module
+
+    seen = []
+    original = module.run_gates
+    module.run_gates = lambda gates: seen.append(original(gates)) or seen[-1]
+    try:
+        publish.publish_swap(rows(spark), str(tmp_path / "pub"), TABLE, "v1", 400)
+    finally:
+        module.run_gates = original
+    plan = seen[-1]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<team:string>" in plan

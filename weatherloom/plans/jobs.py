@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from weatherloom import contracts as C
 from weatherloom.operators.aggregate import category_distribution, null_rates, qc_metrics, row_count
 from weatherloom.operators.columns import conform, stamp, unique_columns
-from weatherloom.operators.gates import GateError, enforce, failures, required_columns_check, run_gates
+from weatherloom.operators.gates import GateError, duplicate_check, enforce, failures, required_columns_check, run_gates
+from weatherloom.operators.observed import ObservedChecks
 from weatherloom.operators.rows import union_named
 from weatherloom.plans import gold, serving, silver
 from weatherloom.plans.validators import (
@@ -28,7 +29,7 @@ from weatherloom.plans.validators import (
     validate_marts,
     validate_serving,
 )
-from weatherloom.sources.publish import contract_gates, publish_metadata, publish_swap, read_published, version_path
+from weatherloom.sources.publish import contract_checks, publish_metadata, publish_swap, published_path, read_published, schema_gate
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines
 from weatherloom.sources.sink import append_audit, commit_marker_exists, write_partitioned
 
@@ -62,12 +63,15 @@ class Workspace:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def save(self, df: DataFrame, layer: str, table: str, keys: list[str] | None = None, dynamic: bool = False) -> None:
+    def save(
+        self, df: DataFrame, layer: str, table: str, keys: list[str] | None = None, dynamic: bool = False,
+        measured: ObservedChecks | None = None,
+    ) -> None:
         path = self.path(layer, table)
         if keys:
-            write_partitioned(df, path, keys, clustered=True, dynamic=dynamic)
+            write_partitioned(df, path, keys, clustered=True, dynamic=dynamic, measured=measured)
         else:
-            df.write.mode("overwrite").parquet(path)
+            (measured.attach(df) if measured else df).write.mode("overwrite").parquet(path)
 
     def load(self, layer: str, table: str, contract: C.Contract | None = None) -> DataFrame:
         df = scan(self.spark, self.path(layer, table))
@@ -77,8 +81,10 @@ class Workspace:
         """Tables as their files have them, for the checks of columns and types."""
         return {x: self.load(layer, c.name) for x, c in contracts.items()}
 
-    def save_contract(self, df: DataFrame, layer: str, contract: C.Contract, dynamic: bool = False) -> DataFrame:
-        self.save(df, layer, contract.name, contract.partitions, dynamic)
+    def save_contract(
+        self, df: DataFrame, layer: str, contract: C.Contract, dynamic: bool = False, measured: ObservedChecks | None = None
+    ) -> DataFrame:
+        self.save(df, layer, contract.name, contract.partitions, dynamic, measured)
         return self.load(layer, contract.name, contract)
 
 
@@ -163,8 +169,10 @@ def build_station_map(ws: Workspace, venues: DataFrame, stations: DataFrame) ->
 def build_hourly(ws: Workspace, run_ts: str, parity: bool = False) -> DataFrame:
     lines = scan_text_lines(ws.spark, ws.weather_text)
     manifest = scan(ws.spark, ws.manifest)
-    obs = ws.save_contract(silver.hourly_observations(lines, manifest, run_ts, parity), "silver", C.HOURLY)
-    enforce(contract_gates(obs, C.HOURLY, files=ws.load("silver", C.HOURLY.name)), C.HOURLY.name)
+    measured = ObservedChecks(contract_checks(C.HOURLY), C.HOURLY.name)
+    obs = ws.save_contract(silver.hourly_observations(lines, manifest, run_ts, parity), "silver", C.HOURLY, measured=measured)
+    schema, repeats = schema_gate(ws.load("silver", C.HOURLY.name), C.HOURLY), duplicate_check(obs, C.HOURLY.name, C.HOURLY.grain, surplus=True)
+    enforce(run_gates([schema, measured.report(ws.spark), repeats]), C.HOURLY.name)
     ws.save(silver.hourly_summary(obs), "qc", "noaa_hourly_summary")
     ws.save(silver.hourly_missing(obs), "qc", "noaa_hourly_missing")
     return obs
@@ -292,16 +300,17 @@ def publish(ws: Workspace) -> DataFrame:
     append_audit(serving.reconcile_run(recon), ws.path("audit", "batch_c2_run_audit_v1"))
     published = {x: read_published(ws.spark, f"{root}{c.name}", c) for x, c in C.AUDITS.items()}
     for c in C.SERVING.values():
-        register(ws, c.name, version_path(f"{root}{c.name}", last.serving_run_id))
+        register(ws, c, published_path(ws.spark, f"{root}{c.name}"))
     catalog = serving.catalog_tables(ws.spark)
     return serving.readiness(ws.load("audit", C.RECON_TABLE.name), published, catalog, serving_schema=ws.catalog)
 
 
-def register(ws: Workspace, name: str, path: str) -> None:
-    """Name a published version in the catalog, in place of an earlier one."""
+def register(ws: Workspace, contract: C.Contract, path: str) -> None:
+    """Name a published version in the catalog. A view over its files takes the place of an earlier one
+    in one step of the catalog, so readers find the old version or the new one at any time."""
     ws.spark.sql(f"CREATE DATABASE IF NOT EXISTS {ws.catalog} LOCATION '{ws.path('published', 'catalog')}'")
-    ws.spark.sql(f"DROP TABLE IF EXISTS {ws.catalog}.{name}")
-    ws.spark.catalog.createTable(f"{ws.catalog}.{name}", path=path, source="parquet")
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in contract.schema.fields)
+    ws.spark.sql(f"CREATE OR REPLACE VIEW {ws.catalog}.{contract.name} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def run_all(ws: Workspace, fact_rates: dict[str, float] | None = None, parity: bool = False) -> DataFrame:

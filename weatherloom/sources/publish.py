@@ -1,13 +1,18 @@
-"""Publish a table behind gates: stage a new version, check it, then switch a pointer to it.
+"""Publish a table behind gates: stage a new version, check it, then enter it in the table's log.
 
-Readers follow the pointer, so they see the old version or the new one and never a half-written
-mix. Switching replaces one small file, which is safe on object stores where renaming a directory
-is not.
+The log is a folder of numbered entries; the greatest number is the current version. An entry is
+complete from the moment it exists and is created only if its number is free, so of publishers that
+compete for a number one wins and the others learn of it. Readers follow the log: they see the old
+version or the new one and never a half-written mix, and nothing a reader may hold is replaced.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,31 +29,114 @@ from weatherloom.operators.gates import (
     not_null_check,
     range_check,
     run_gates,
-    schema_check,
+    schema_rows,
 )
+from weatherloom.operators.observed import ObservedChecks
 from weatherloom.operators.aggregate import row_count
 from weatherloom.sources.sink import _hadoop_path, path_exists, write_partitioned
 
 # not a leading underscore: Spark readers skip such names
-POINTER = "CURRENT"
+LOG = "LOG"
 
 
-def version_path(target: str, version: str) -> str:
-    return f"{target.rstrip('/')}/version={version}"
+class PublishConflict(GateError):
+    """Somebody else published in between; what they published stays current."""
 
 
-def current_version(spark: SparkSession, target: str) -> str | None:
-    pointer = f"{target.rstrip('/')}/{POINTER}"
-    if not path_exists(spark, pointer):
+@dataclass(frozen=True)
+class Entry:
+    """One line of a table's history: the folder, below the table, that holds a version."""
+
+    number: int
+    version: str
+    folder: str
+    rows: int
+    published_at: str
+
+
+def _log_entry(target: str, number: int) -> str:
+    return f"{target.rstrip('/')}/{LOG}/{number:012d}"
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step; False if ``path`` exists already.
+
+    Local files are linked into place and other file systems with an atomic rename rename into place,
+    both of which refuse an existing name. Object stores create the object on the condition that none
+    is there; their connector must support that, as it must for any log of this kind.
+    """
+    final, fs = _hadoop_path(spark, path)
+    scheme = fs.getUri().getScheme()
+    if not scheme.startswith(("file", "hdfs", "viewfs")):
+        return _create(spark, fs, final, text)
+    draft, _ = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    _create(spark, fs, draft, text)
+    try:
+        if scheme == "file":
+            local = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (final, draft)]
+            spark._jvm.java.nio.file.Files.createLink(*local)
+            return True
+        return bool(fs.rename(draft, final)) and not fs.exists(draft)
+    except Exception as exc:
+        if "FileAlreadyExists" in str(exc):
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
+
+
+def _create(spark: SparkSession, fs, path, text: str) -> bool:
+    try:
+        stream = fs.create(path, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return True
+    except Exception as exc:
+        if "FileAlreadyExists" in str(exc) or "PreconditionFailed" in str(exc) or "412" in str(exc):
+            return False
+        raise
+
+
+def history(spark: SparkSession, target: str) -> list[Entry]:
+    """The entries of the log, oldest first. One line a publish; :func:`drop_old_versions` shortens it."""
+    folder = f"{target.rstrip('/')}/{LOG}"
+    if not path_exists(spark, folder):
+        return []
+    root, fs = _hadoop_path(spark, folder)
+    names = [f"{folder}/{s.getPath().getName()}" for s in fs.listStatus(root) if s.getPath().getName().isdigit()]
+    lines = spark.read.text(names).collect() if names else []
+    return sorted((Entry(**json.loads(r.value)) for r in lines), key=lambda e: e.number)
+
+
+def current_entry(spark: SparkSession, target: str) -> Entry | None:
+    """The entry of the greatest number; reads that one alone."""
+    folder = f"{target.rstrip('/')}/{LOG}"
+    if not path_exists(spark, folder):
         return None
-    return spark.read.text(pointer).first()["value"]
+    root, fs = _hadoop_path(spark, folder)
+    numbers = [int(n) for s in fs.listStatus(root) if (n := s.getPath().getName()).isdigit()]
+    if not numbers:
+        return None
+    return Entry(**json.loads(spark.read.text(_log_entry(target, max(numbers))).first().value))
 
 
-def read_published(spark: SparkSession, target: str, contract: Contract) -> DataFrame:
-    version = current_version(spark, target)
-    if version is None:
+def current_version(spark: SparkSession, target: str) -> str | None:
+    entry = current_entry(spark, target)
+    return entry.version if entry else None
+
+
+def published_path(spark: SparkSession, target: str) -> str:
+    """Folder of the current version."""
+    entry = current_entry(spark, target)
+    if entry is None:
         raise FileNotFoundError(f"nothing published at {target}")
-    return _read_version(spark, version_path(target, version), contract)
+    return f"{target.rstrip('/')}/{entry.folder}"
+
+
+def read_published(spark: SparkSession, target: str, contract: Contract) -> DataFrame:
+    return _read_version(spark, published_path(spark, target), contract)
 
 
 def _read_version(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
@@ -71,36 +159,38 @@ def as_written(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[F.col(c).try_cast(parts[c]).alias(c) if c in parts else F.col(c) for c in order + rest])
 
 
-def _point_to(spark: SparkSession, target: str, version: str) -> None:
-    """Write the pointer beside its place and rename it over the old one."""
-    fresh, fs = _hadoop_path(spark, f"{target.rstrip('/')}/{POINTER}.{version}")
-    pointer, _ = _hadoop_path(spark, f"{target.rstrip('/')}/{POINTER}")
-    stream = fs.create(fresh, True)
-    try:
-        stream.writeBytes(version + "\n")
-    finally:
-        stream.close()
-    jvm = spark._jvm
-    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    context.rename(fresh, pointer, overwrite)
+def commit_version(
+    spark: SparkSession, target: str, version: str, folder: str, rows: int, base: int, retry: bool = False
+) -> Entry:
+    """Enter a staged version behind entry ``base`` (0: nothing published).
+
+    If another publisher took that number, the data at hand may be older than what is current now:
+    raises :class:`PublishConflict`. With ``retry``, for versions that do not depend on the one before,
+    the next free number is taken instead.
+    """
+    number = base + 1
+    while True:
+        at = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+        entry = Entry(number, version, folder, rows, at)
+        if create_if_absent(spark, _log_entry(target, number), json.dumps(asdict(entry)) + "\n"):
+            return entry
+        now = current_entry(spark, target)
+        if not retry:
+            raise PublishConflict(
+                f"{target}: version {version} was made on top of entry {base}, but entry {now.number}, version {now.version}, "
+                f"was published at {now.published_at}; it stays current"
+            )
+        number = max(number, now.number) + 1
 
 
 def drop_old_versions(spark: SparkSession, target: str) -> int:
-    """Delete every version but the current one; returns how many. For when no reader is left on
-    an older version."""
-    root, fs = _hadoop_path(spark, target)
-    keep = version_path(target, current_version(spark, target) or "")
-    old = [
-        s.getPath()
-        for s in fs.listStatus(root)
-        if s.getPath().getName().startswith("version=") and s.getPath().getName() != keep.rsplit("/", 1)[-1]
-    ]
-    for path in old:
-        fs.delete(path, True)
+    """Delete the versions the log lists before the current one, and their entries; returns how many.
+    For when no reader is left on an older version. What other publishers are staging is not touched."""
+    *old, _ = history(spark, target) or [None]
+    for entry in old:
+        for name in (f"{target.rstrip('/')}/{entry.folder}", _log_entry(target, entry.number)):
+            path, fs = _hadoop_path(spark, name)
+            fs.delete(path, True)
     return len(old)
 
 
@@ -108,18 +198,29 @@ def row_count_check(expected: int) -> Check:
     return Check("row_count", row_count(), expected, lambda a: a == F.lit(expected))
 
 
-def contract_gates(
-    df: DataFrame, contract: Contract, expected_rows: int | None = None, files: DataFrame | None = None
-) -> DataFrame:
-    """Every check a contract implies, as gate rows. ``files`` is the table as read, before it was
-    conformed: conforming would hide a missing or mistyped column from the schema check."""
+def contract_checks(contract: Contract, expected_rows: int | None = None) -> list[Check]:
+    """The checks a contract implies that are plain aggregates of the rows."""
     checks = [not_null_check(c) for c in contract.not_null]
     checks += [range_check(c, 0.0, 1.0) for c in contract.ratios]
     if contract.partitions:
         checks.append(any_null_check("null_partition_keys", contract.partitions))
     if expected_rows is not None:
         checks.append(row_count_check(expected_rows))
-    gates = [schema_check(df if files is None else as_written(files, contract), contract.name, contract.schema)]
+    return checks
+
+
+def schema_gate(files: DataFrame, contract: Contract) -> DataFrame:
+    """Names, order and types as the files have them, before the table is conformed."""
+    return schema_rows(as_written(files, contract), contract.name, contract.schema)
+
+
+def contract_gates(
+    df: DataFrame, contract: Contract, expected_rows: int | None = None, files: DataFrame | None = None
+) -> DataFrame:
+    """Every check a contract implies, as gate rows. ``files`` is the table as read, before it was
+    conformed: conforming would hide a missing or mistyped column from the schema check."""
+    checks = contract_checks(contract, expected_rows)
+    gates = [schema_gate(df if files is None else files, contract)]
     gates.append(duplicate_check(df, contract.name, contract.grain, surplus=True))
     if checks:
         gates.append(column_checks(df, contract.name, checks))
@@ -133,36 +234,38 @@ def publish_swap(
     version: str,
     expected_rows: int | None = None,
     extra_gates: Sequence[DataFrame] = (),
+    retry: bool = False,
 ) -> DataFrame:
-    """Stage, gate, switch. Raises and leaves the old version current on any failure.
+    """Stage, gate, enter in the log. Raises and leaves the current version current on any failure.
 
-    A version that was staged before but never became current is staged afresh, so a failed publish
-    can be repeated under its id; the current version is never touched. The switch moves a pointer
-    to files that were just gated, so after it only pointer and row count are looked at again.
-    Returns the gate report, a row per check.
+    Row counts, nulls and ranges are measured on the rows while they are written; only the check for
+    repeated keys reads the staged files again. Every publish stages into a folder of its own, so a
+    failed one can be repeated under its id, and two of the same id do not meet. If another version
+    was published since this call began, raises :class:`PublishConflict`; ``retry`` publishes on top of
+    it instead. Returns the gate report, a row per check.
     """
     spark = df.sparkSession
-    staged_path = version_path(target, version)
-    if current_version(spark, target) == version:
+    base = current_entry(spark, target)
+    if base and base.version == version:
         raise GateError(f"{contract.name}: version {version} is current and stays as it is")
-    left, fs = _hadoop_path(spark, staged_path)
-    if fs.exists(left):
-        fs.delete(left, True)
-    if contract.partitions:
-        write_partitioned(df, staged_path, contract.partitions, mode="errorifexists", clustered=True)
+    folder = f"version={version}/{uuid.uuid4().hex}"
+    staged_path = f"{target.rstrip('/')}/{folder}"
+    missing = [c for c in contract.columns if c not in df.columns]
+    measured = ObservedChecks([] if missing else contract_checks(contract, expected_rows), contract.name)
+    if contract.partitions and not set(contract.partitions) & set(missing):
+        write_partitioned(df, staged_path, contract.partitions, mode="errorifexists", clustered=True, measured=measured)
     else:
-        df.write.mode("errorifexists").parquet(staged_path)
+        measured.attach(df).write.mode("errorifexists").parquet(staged_path)
     files = spark.read.parquet(staged_path)
+    enforce(schema_gate(files, contract), f"{contract.name} {version} not published")
     staged = conform(files, contract.schema)
-    gates = run_gates([contract_gates(staged, contract, expected_rows, files), *extra_gates])
+    rereads = [duplicate_check(staged, contract.name, contract.grain, surplus=True), *extra_gates]
+    gates = run_gates([schema_gate(files, contract), measured.report(spark), *rereads])
     report = spark.createDataFrame(gates.collect(), gates.schema)  # evaluated once
     enforce(report, f"{contract.name} {version} not published")
-    n_staged = files.count()
-    _point_to(spark, target, version)
-    if current_version(spark, target) != version:
-        raise GateError(f"{contract.name}: pointer does not show {version}")
-    if read_published(spark, target, contract).count() != n_staged:
-        raise GateError(f"{contract.name} {version}: row count changed with the switch")
+    entry = commit_version(spark, target, version, folder, measured.rows, base.number if base else 0, retry)
+    if (now := current_entry(spark, target)).number < entry.number:
+        raise GateError(f"{contract.name}: the log ends at {now.number} after entry {entry.number}")
     return report
 
 

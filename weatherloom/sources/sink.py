@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from weatherloom.operators.observed import ObservedChecks
+
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 SUCCESS_MARKER = "_SUCCESS"
 
@@ -53,14 +55,17 @@ def write_partitioned(
     mode: str = "overwrite",
     clustered: bool = False,
     dynamic: bool = False,
+    measured: ObservedChecks | None = None,
 ) -> None:
     """Write Hive-style partitions.
 
     ``clustered`` sends rows of one partition value together before the write, so a value does not
     get one small file per task; the rebalance still splits a value too large for one task.
     ``dynamic`` replaces only the partition values present in ``df`` and keeps the others.
+    ``measured`` sees every row that is written.
     """
     out = df.hint("rebalance", *[F.col(k) for k in keys]) if clustered else df
+    out = measured.attach(out) if measured else out
     writer = out.write.mode(mode).partitionBy(*keys)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
