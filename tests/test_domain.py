@@ -219,7 +219,8 @@ def test_play_files_of_nested_folders_and_one_branch_per_schema(built, spark, tm
         spark.range(2).selectExpr("cast(id as double) as play_id", f"'g{i}' as game_id").coalesce(1).write.parquet(f"{tmp_path}/deep/season={i}")
     spark.range(1).selectExpr("cast(id as int) as play_id", "'h' as game_id").coalesce(1).write.parquet(str(tmp_path / "top"))
     other = jobs.Workspace(**{**ws.__dict__, "plays": str(tmp_path)})
-    assert len(jobs._play_files(other)) == 2
+    schemas = jobs.file_schemas(spark, [r.path for r in jobs.list_files(spark, other.plays).collect()])
+    assert len(schemas) == 4 and len(jobs.read_by_schema(spark, schemas)) == 2
     assert jobs.raw_plays(other).count() == 7
 
 

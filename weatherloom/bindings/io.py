@@ -272,7 +272,7 @@ def publish_metadata_query(t: Tables):
     """Table audits of two runs appended, then only the current run's rows published."""
     root = scratch_path(t.spark, "metadata")
     base = star_base(t)
-    marts = gold.marts(base, B_TS)
+    marts = gold.marts(base, B_TS, [A_TS])
     pairs = {x: (df, serving.serve(df, C_TS, RUN_ID)) for x, df in marts.items()}
     audit = serving.table_audit(pairs, **META)
     older = audit.withColumn("serving_run_id", F.lit("c1_20230101T000000Z"))

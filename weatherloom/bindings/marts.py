@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.bindings.registry import Tables, query
 from weatherloom.bindings.star import (
+    A_TS,
     B_TS,
     BASE_SQL,
     FACT_SQL,
@@ -57,17 +58,17 @@ def sample_expand(t: Tables):
 
 @query("mart_team_season", MARTS_SQL + " SELECT * FROM team_mart")
 def mart_team_season(t: Tables):
-    return gold.mart_team_season(star_base(t), B_TS)
+    return gold.mart_team_season(star_base(t), B_TS, [A_TS])
 
 
 @query("mart_play_calling", MARTS_SQL + " SELECT * FROM playcall_mart")
 def mart_play_calling(t: Tables):
-    return star_marts(t)["playcall"]
+    return gold.mart_play_calling(star_base(t), B_TS, [A_TS])
 
 
 @query("mart_env_compare", MARTS_SQL + " SELECT * FROM indoor_mart")
 def mart_env_compare(t: Tables):
-    return star_marts(t)["indoor"]
+    return gold.mart_env_compare(star_base(t), B_TS, [A_TS])
 
 
 @query(
@@ -210,7 +211,7 @@ def fact_summary(t: Tables):
     CAST(sum(n_rush_attempts) AS BIGINT) AS sum_n_rush_attempts FROM team_mart GROUP BY weather_sample""",
 )
 def sample_totals(t: Tables):
-    return gold.sample_totals(gold.mart_team_season(star_base(t), B_TS))
+    return gold.sample_totals(gold.mart_team_season(star_base(t), B_TS, [A_TS]))
 
 
 @query(
@@ -275,7 +276,7 @@ def qc_metrics_query(t: Tables):
     CAST(count(DISTINCT weather_sample) AS BIGINT) AS n_weather_samples, CAST(sum(n_plays) AS BIGINT) AS sum_n_plays, 'team' AS table_name FROM team_mart""",
 )
 def table_stats_query(t: Tables):
-    return table_stats(gold.mart_team_season(star_base(t), B_TS), "team")
+    return table_stats(gold.mart_team_season(star_base(t), B_TS, [A_TS]), "team")
 
 
 @query(

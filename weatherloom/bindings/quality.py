@@ -187,7 +187,7 @@ def dq_rate_threshold(t: Tables):
     + " FROM playcall_mart UNION ALL SELECT " + _zero("off", "playcall", "count(*) FILTER (WHERE abs(pass_rate - rush_rate_baseline - pass_rate_shift_vs_team_season) > 1e-9)") + " FROM playcall_mart",
 )
 def dq_formula(t: Tables):
-    mart = gold.mart_play_calling(star_base(t), B_TS)
+    mart = gold.mart_play_calling(star_base(t), B_TS, [A_TS])
     shift = "pass_rate_shift_vs_team_season"
     return column_checks(
         mart,
@@ -210,7 +210,7 @@ def dq_formula(t: Tables):
 )
 def dq_reconcile(t: Tables):
     base = star_base(t)
-    return totals_agree(base, gold.marts(base, B_TS))
+    return totals_agree(base, gold.marts(base, B_TS, [A_TS]))
 
 
 @query(
@@ -231,7 +231,7 @@ def dq_summary_match(t: Tables):
 )
 def dq_zero_denominator(t: Tables):
     """The second check pairs a ratio with the wrong denominator and must fire."""
-    mart = gold.mart_team_season(star_base(t), B_TS)
+    mart = gold.mart_team_season(star_base(t), B_TS, [A_TS])
     checks = [
         zero_denominator_check("completion_pct", "n_pass_attempts"),
         zero_denominator_check("pass_rate", "n_pass_attempts"),
@@ -350,7 +350,7 @@ _META_SQL = f"'{A_TS}' AS source_batch_a_build_run_ts, '{B_TS}' AS source_batch_
 
 @query("serving_table", MARTS_SQL + f" SELECT *, {_META_SQL} FROM team_mart")
 def serving_table(t: Tables):
-    return serving.serve(gold.mart_team_season(star_base(t), B_TS), C_TS, RUN_ID)
+    return serving.serve(gold.mart_team_season(star_base(t), B_TS, [A_TS]), C_TS, RUN_ID)
 
 
 def _dq_audit_sql() -> str:
@@ -543,7 +543,7 @@ def dq_run_alignment(t: Tables):
 def validation_report(t: Tables):
     """The mart validator over two injected faults: a wrong summary, and rates beyond 1."""
     base = star_base(t)
-    marts = {x: materialize(df, x) for x, df in gold.marts(base, B_TS).items()}
+    marts = {x: materialize(df, x) for x, df in gold.marts(base, B_TS, [A_TS]).items()}
     broken = F.when(F.col("n_games") > 1, F.col("pass_rate") + 1.5).otherwise(F.col("pass_rate"))
     marts["team"] = marts["team"].withColumn("pass_rate", broken)
     summaries = {x: gold.mart_summary(df, C.MARTS[x].name) for x, df in marts.items()}

@@ -66,7 +66,7 @@ def star_base(t: Tables) -> DataFrame:
 
 
 def star_marts(t: Tables) -> dict[str, DataFrame]:
-    return gold.marts(star_base(t), B_TS)
+    return gold.marts(star_base(t), B_TS, [A_TS])
 
 
 FACT_SQL = f"""

@@ -118,22 +118,54 @@ SAMPLES = {"ALL_PLAYS": None, "OBSERVED_ONLY": "weather_observed_flag"}
 
 
 RUN_STAMP = "batch_a_build_run_ts"
+STAMP_NUMBER = "__stamp"
+#: Build stamps a table may hold; there is one for each build whose rows it keeps.
+MAX_STAMPS = 1000
 # how the totals of units add up: counts and sums by sum, the rest by max
 SUMMED = ["n_plays", "n_pass_attempts", "n_rush_attempts", "n_completions", "n_epa_plays", "epa_sum"]
-LARGEST = ["points", RUN_STAMP]
+LARGEST = ["points", STAMP_NUMBER]
+
+
+def run_stamps(df: DataFrame) -> list[str]:
+    """The distinct run stamps of a table, in order. One job over one column."""
+    found = [r[0] for r in df.select(RUN_STAMP).distinct().limit(MAX_STAMPS + 2).collect() if r[0] is not None]
+    if len(found) > MAX_STAMPS:
+        raise ValueError(f"more than {MAX_STAMPS} run stamps in one table")
+    return sorted(found)
+
+
+def number_stamps(df: DataFrame, stamps: Sequence[str]) -> DataFrame:
+    """The run stamp, any text, as its place among ``stamps``: Spark can take the largest number of a
+    group in a hash table, but must sort for the largest text."""
+    listed = F.array(*[F.lit(s) for s in stamps]) if stamps else F.array().cast("array<string>")
+    place = F.nullif(F.array_position(listed, F.col(RUN_STAMP)), F.lit(0)).cast("int")
+    return df.withColumn(STAMP_NUMBER, place).drop(RUN_STAMP)
+
+
+def name_stamps(df: DataFrame, stamps: Sequence[str]) -> DataFrame:
+    """Undo :func:`number_stamps`."""
+    listed = F.array(*[F.lit(s) for s in stamps]) if stamps else F.array().cast("array<string>")
+    return df.withColumn(RUN_STAMP, F.get(listed, F.col(STAMP_NUMBER) - 1)).drop(STAMP_NUMBER)
 
 
 def unit_totals(
-    base: DataFrame, grain: Sequence[str], unit: Sequence[str], samples: Mapping[str, str | None] = SAMPLES
+    base: DataFrame, grain: Sequence[str], unit: Sequence[str], samples: Mapping[str, str | None] = SAMPLES,
+    stamps: Sequence[str] | None = None,
 ) -> DataFrame:
     """Totals per grain, unit (a game, or a team's game) and sample.
 
     The facts are read and shuffled once: each sample is a set of conditional sums, and rows are
     repeated per sample only after this reduction. All buffers are numbers, so tasks combine rows
-    in hash tables before the shuffle; the run stamp, a text, is a key there, and its largest value
-    is taken over the units, which are few.
+    in hash tables before the shuffle. ``stamps`` are the run stamps that ``base`` holds, if the caller
+    knows them; otherwise they are looked up first.
     """
+    stamps = run_stamps(base) if stamps is None else stamps
+    return name_stamps(_unit_totals(number_stamps(base, stamps), grain, unit, samples), stamps)
+
 
+def _unit_totals(
+    base: DataFrame, grain: Sequence[str], unit: Sequence[str], samples: Mapping[str, str | None] = SAMPLES
+) -> DataFrame:
     def totals(member: str | None) -> Column:
         def when_in(c: Column) -> Column:
             return c if member is None else F.when(F.col(member) == 1, c)
@@ -146,23 +178,18 @@ def unit_totals(
             F.count(when_in(F.col("epa"))).alias("n_epa_plays"),
             F.sum(when_in(F.col("epa"))).alias("epa_sum"),
             F.max(when_in(F.col("team_points_final"))).alias("points"),
+            F.max(when_in(F.col(STAMP_NUMBER))).alias(STAMP_NUMBER),
         )
 
-    per_unit = base.groupBy(*grain, *unit, RUN_STAMP).agg(*[totals(m).alias(s) for s, m in samples.items()])
+    per_unit = base.groupBy(*grain, *unit).agg(*[totals(m).alias(s) for s, m in samples.items()])
     repeated = per_unit.select(
-        *grain,
-        *unit,
-        RUN_STAMP,
-        F.explode(
-            F.array(*[F.struct(F.lit(s).alias("name"), F.col(s).alias("t")) for s in samples])
-        ).alias("__s"),
+        *grain, *unit, F.explode(F.array(*[F.struct(F.lit(s).alias("name"), F.col(s).alias("t")) for s in samples])).alias("__s")
     )
-    rows = repeated.select(*grain, *unit, RUN_STAMP, F.col("__s.name").alias(SAMPLE), "__s.t.*")
-    return collapse_units(rows.filter(F.col("n_plays") > 0), [*grain, *unit, SAMPLE])
+    return repeated.select(*grain, *unit, F.col("__s.name").alias(SAMPLE), "__s.t.*").filter(F.col("n_plays") > 0)
 
 
 def collapse_units(units: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Unit totals at fewer keys; counts, sums and maxima all combine."""
+    """Unit totals, with numbered stamps, at fewer keys; counts, sums and maxima all combine."""
     return units.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in SUMMED], *[F.max(c).alias(c) for c in LARGEST]
     )
@@ -174,16 +201,19 @@ def mart(
     samples: Mapping[str, str | None] = SAMPLES,
     team: str = "team",
     game: str = "game_id",
+    stamps: Sequence[str] | None = None,
 ) -> DataFrame:
     """All mart measures at ``grain`` + sample; callers select the columns their contract has."""
+    stamps = run_stamps(base) if stamps is None else stamps
     unit = [game] if team in grain else [team, game]
-    return mart_of_units(unit_totals(base, grain, unit, samples), grain, team, game)
+    units = _unit_totals(number_stamps(base, stamps), grain, unit, samples)
+    return name_stamps(mart_of_units(units, grain, team, game), stamps)
 
 
 def mart_of_units(
     units: DataFrame, grain: Sequence[str], team: str = "team", game: str = "game_id"
 ) -> DataFrame:
-    """A mart from unit totals at its own grain.
+    """A mart from unit totals at its own grain, both with numbered stamps.
 
     Games are counted, and points averaged, over one row per team and game, so no second pass over
     the facts and no join of two aggregates is needed.
@@ -205,7 +235,7 @@ def mart_of_units(
         # aggregate would repeat every unit row instead
         games = units.groupBy(*keys, game).agg(
             *[F.sum(c).alias(c) for c in SUMMED],
-            F.max(RUN_STAMP).alias(RUN_STAMP),
+            F.max(STAMP_NUMBER).alias(STAMP_NUMBER),
             F.lit(1).alias("n_games"),
             F.max(ones(F.col("points").isNotNull())).alias("n_games_points"),
             F.count("points").alias("n_team_games_points"),
@@ -215,7 +245,7 @@ def mart_of_units(
         rows = games.unionByName(teams, allowMissingColumns=True)
     counts = [*[c for c in SUMMED if c != "epa_sum"], "n_games", "n_games_points", "n_team_games_points", "n_teams"]
     aggs = {c: F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in counts}
-    aggs |= {"epa_sum": F.sum("epa_sum"), "points_sum": F.sum("points_sum"), RUN_STAMP: F.max(RUN_STAMP)}
+    aggs |= {"epa_sum": F.sum("epa_sum"), "points_sum": F.sum("points_sum"), STAMP_NUMBER: F.max(STAMP_NUMBER)}
     attempts = F.col("n_pass_attempts") + F.col("n_rush_attempts")
     out = summarize(rows, aggs, keys).withColumns(
         {

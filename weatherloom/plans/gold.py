@@ -14,8 +14,11 @@ from weatherloom.operators.aggregate import (
     coverage,
     mart,
     mart_of_units,
+    name_stamps,
     null_rates,
+    number_stamps,
     row_count,
+    run_stamps,
     summarize,
     summarize_distinct,
     unit_totals,
@@ -306,38 +309,40 @@ PLAYCALL_KEYS = _without_sample(C.PLAYCALL_GRAIN)
 ENV_KEYS = _without_sample(C.ENV_GRAIN)
 
 
-def mart_team_season(base: DataFrame, run_ts: str) -> DataFrame:
-    return _team_columns(mart(base, TEAM_KEYS), run_ts)
+def mart_team_season(base: DataFrame, run_ts: str, stamps: list[str] | None = None) -> DataFrame:
+    return _team_columns(mart(base, TEAM_KEYS, stamps=stamps), run_ts)
 
 
-def mart_play_calling(base: DataFrame, run_ts: str) -> DataFrame:
-    return _playcall_columns(mart(base, PLAYCALL_KEYS), run_ts)
+def mart_play_calling(base: DataFrame, run_ts: str, stamps: list[str] | None = None) -> DataFrame:
+    return _playcall_columns(mart(base, PLAYCALL_KEYS, stamps=stamps), run_ts)
 
 
-def mart_env_compare(base: DataFrame, run_ts: str) -> DataFrame:
-    return _env_columns(mart(base, ENV_KEYS), run_ts)
+def mart_env_compare(base: DataFrame, run_ts: str, stamps: list[str] | None = None) -> DataFrame:
+    return _env_columns(mart(base, ENV_KEYS, stamps=stamps), run_ts)
 
 
-def mart_units(base: DataFrame) -> DataFrame:
+def mart_units(base: DataFrame, stamps: list[str] | None = None) -> DataFrame:
     """Totals per game at the finest mart grain: the one pass over the facts all marts share."""
-    return unit_totals(base, TEAM_KEYS, ["game_id"])
+    return unit_totals(base, TEAM_KEYS, ["game_id"], stamps=stamps)
 
 
-def marts_of_units(units: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+def marts_of_units(units: DataFrame, run_ts: str, stamps: list[str] | None = None) -> dict[str, DataFrame]:
     """The three marts from shared unit totals (written once by the caller, see ``materialize``)."""
     sample = "weather_sample"
-    playcall = collapse_units(units, [*PLAYCALL_KEYS, "game_id", sample])
-    env = collapse_units(units, [*ENV_KEYS, "team", "game_id", sample])
+    stamps = run_stamps(units) if stamps is None else stamps
+    numbered = number_stamps(units, stamps)
+    playcall = collapse_units(numbered, [*PLAYCALL_KEYS, "game_id", sample])
+    env = collapse_units(numbered, [*ENV_KEYS, "team", "game_id", sample])
     return {
-        "team": _team_columns(mart_of_units(units, TEAM_KEYS), run_ts),
-        "playcall": _playcall_columns(mart_of_units(playcall, PLAYCALL_KEYS), run_ts),
-        "indoor": _env_columns(mart_of_units(env, ENV_KEYS), run_ts),
+        "team": _team_columns(name_stamps(mart_of_units(numbered, TEAM_KEYS), stamps), run_ts),
+        "playcall": _playcall_columns(name_stamps(mart_of_units(playcall, PLAYCALL_KEYS), stamps), run_ts),
+        "indoor": _env_columns(name_stamps(mart_of_units(env, ENV_KEYS), stamps), run_ts),
     }
 
 
-def marts(base: DataFrame, run_ts: str) -> dict[str, DataFrame]:
+def marts(base: DataFrame, run_ts: str, stamps: list[str] | None = None) -> dict[str, DataFrame]:
     """All three marts; the facts are read once and the unit totals written once."""
-    return marts_of_units(materialize(mart_units(base), "mart_units"), run_ts)
+    return marts_of_units(materialize(mart_units(base, stamps), "mart_units"), run_ts, stamps)
 
 
 def mart_summary(df: DataFrame, name: str) -> DataFrame:

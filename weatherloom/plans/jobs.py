@@ -12,10 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weatherloom import contracts as C
-from weatherloom.operators.aggregate import category_distribution, null_rates, qc_metrics, row_count
+from weatherloom.operators.aggregate import category_distribution, null_rates, qc_metrics, row_count, run_stamps
 from weatherloom.operators.columns import conform, stamp, unique_columns
 from weatherloom.operators.gates import GateError, duplicate_check, enforce, failures, required_columns_check, run_gates
 from weatherloom.operators.observed import ObservedChecks
@@ -29,9 +28,10 @@ from weatherloom.plans.validators import (
     validate_marts,
     validate_serving,
 )
+from weatherloom.sources.inputs import Changes, file_schemas, is_one_of, list_files, pending, read_by_schema
 from weatherloom.sources.publish import contract_checks, publish_metadata, publish_swap, published_path, read_published, schema_gate
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines
-from weatherloom.sources.sink import append_audit, commit_marker_exists, write_partitioned
+from weatherloom.sources.sink import append_audit, commit_marker_exists, drop_partitions, materialize, write_partitioned
 
 Clock = Callable[[], dt.datetime]
 
@@ -88,42 +88,54 @@ class Workspace:
         return self.load(layer, contract.name, contract)
 
 
-def raw_plays(ws: Workspace) -> DataFrame:
-    """Plays of all files. Files of different years differ in columns and types, so the files of
-    each schema are read together and conformed before the union."""
-    parts = [conform(ws.spark.read.schema(s).parquet(*files), C.PLAYS.schema) for s, files in _play_files(ws)]
-    return union_named(*parts)
+PLAY_SLICE = "season"
 
 
-def build_plays(ws: Workspace, seasons: list[int] | None = None) -> DataFrame:
-    """Offensive plays of all seasons, or of the given ones; other seasons on disk stay."""
-    plays = silver.plays_core(raw_plays(ws))
+def play_changes(ws: Workspace) -> Changes:
+    """Play files that are new, changed or gone since the last recorded build, and their seasons."""
+    return pending(ws.spark, ws.plays, ws.path("qc", "play_files"), PLAY_SLICE)
+
+
+def raw_plays(ws: Workspace, changes: Changes | None = None) -> DataFrame:
+    """Plays of all files, or those of the changed seasons. Files of different years differ in columns
+    and types, so the files of each schema are read together and conformed before the union."""
+    if changes is None:
+        names = [r.path for r in list_files(ws.spark, ws.plays).select("path").collect()]
+        parts = read_by_schema(ws.spark, file_schemas(ws.spark, names))
+    else:
+        parts = changes.read(ws.spark)
+    empty = ws.spark.createDataFrame([], C.PLAYS.schema)
+    plays = union_named(empty, *[conform(df, C.PLAYS.schema) for _, df in parts])
+    return plays if changes is None else plays.filter(changes.holds(F.col(PLAY_SLICE)))
+
+
+def _save_seasons(ws: Workspace, df: DataFrame, layer: str, table: str, keys: list[str], seasons: list | None) -> None:
+    """Write all of a table, or replace the given seasons; those without a row any more disappear."""
+    if seasons is None:
+        ws.save(df, layer, table, keys)
+        return
+    df = materialize(df, table)
+    left = {r[0] for r in df.select(PLAY_SLICE).distinct().collect()}
+    ws.save(df, layer, table, keys, dynamic=True)
+    drop_partitions(ws.spark, ws.path(layer, table), PLAY_SLICE, [s for s in seasons if s not in left])
+
+
+def build_plays(ws: Workspace, seasons: list[int] | None = None, changes: Changes | None = None) -> DataFrame:
+    """Offensive plays of all seasons, of the given ones, or of those whose files changed; other seasons
+    on disk stay."""
+    plays = silver.plays_core(raw_plays(ws, changes))
+    if changes is not None:
+        _save_seasons(ws, plays, "silver", C.PLAYS.name, C.PLAYS.partitions, changes.slices)
+        return ws.load("silver", C.PLAYS.name, C.PLAYS)
     if seasons:
         plays = plays.filter(F.col("season").isin(*seasons))
     return ws.save_contract(plays, "silver", C.PLAYS, dynamic=True)
 
 
-def _play_files(ws: Workspace) -> list[tuple[T.StructType, list[str]]]:
-    """Input files at any depth below the folder, by schema. Branches of the plan are thus as many
-    as there are schemas, however many files."""
-    jvm = ws.spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(ws.plays)
-    fs = path.getFileSystem(ws.spark.sparkContext._jsc.hadoopConfiguration())
-    found, names = fs.listFiles(path, True), []
-    while found.hasNext():
-        name = found.next().getPath().toString()
-        if name.endswith(".parquet"):
-            names.append(name)
-    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
-    for name in sorted(names):
-        schema = ws.spark.read.parquet(name).schema
-        by_schema.setdefault(schema.json(), (schema, []))[1].append(name)
-    return list(by_schema.values())
-
-
-def build_games(ws: Workspace) -> DataFrame:
-    """Game totals from all plays, before the filter on the team with the ball."""
-    ws.save(silver.games(raw_plays(ws)), "silver", "pbp_game_level")
+def build_games(ws: Workspace, changes: Changes | None = None) -> DataFrame:
+    """Game totals from all plays, before the filter on the team with the ball. A game has one season."""
+    games = silver.games(raw_plays(ws, changes))
+    _save_seasons(ws, games, "silver", "pbp_game_level", [PLAY_SLICE], None if changes is None else changes.slices)
     return ws.load("silver", "pbp_game_level")
 
 
@@ -194,8 +206,13 @@ def build_features(ws: Workspace, obs: DataFrame, run_ts: str, parity: bool = Fa
 FACT = "fact_play_weather_hourly_v1"
 
 
-def build_fact(ws: Workspace, run_ts: str, rates: dict[str, float] | None = None) -> DataFrame:
+def build_fact(
+    ws: Workspace, run_ts: str, rates: dict[str, float] | None = None, seasons: list | None = None
+) -> DataFrame:
+    """The fact of all seasons, or of the given ones beside the others on disk; gates look at what was built."""
     plays = ws.load("silver", C.PLAYS.name, C.PLAYS)
+    if seasons is not None:
+        plays = plays.filter(is_one_of(F.col(PLAY_SLICE), seasons))
     weather = gold.weather_wide(
         ws.load("silver", C.HOURLY.name, C.HOURLY), ws.load("silver", C.FEATURES.name, C.FEATURES)
     )
@@ -208,38 +225,83 @@ def build_fact(ws: Workspace, run_ts: str, rates: dict[str, float] | None = None
         run_ts,
         ws.asof_hours,
     )
-    ws.save(fact, "gold", FACT, ["season"])
+    _save_seasons(ws, fact, "gold", FACT, [PLAY_SLICE], seasons)
     ws.save(gold.bin_dimension(ws.spark), "gold", C.BIN_DIMENSION.name)
     built = ws.load("gold", FACT)
     ws.save(gold.fact_summary(built), "qc", "fact_summary")
     ws.save(gold.season_coverage(built), "qc", "fact_coverage_season")
     ws.save(gold.stadium_coverage(built), "qc", "fact_coverage_stadium")
     ws.save(gold.fact_null_rates(built), "qc", "fact_null_rates")
+    summary = ws.load("qc", "fact_summary")
+    if seasons is not None:
+        part = built.filter(is_one_of(F.col(PLAY_SLICE).try_cast("int"), seasons))
+        if part.isEmpty():  # the seasons are gone; what is left was gated when it was built
+            return built
+        built, summary = part, gold.fact_summary(part)
     report = validate_fact(
-        plays, built, ws.load("gold", C.BIN_DIMENSION.name), ws.load("qc", "fact_summary"),
+        plays, built, ws.load("gold", C.BIN_DIMENSION.name), summary,
         gold.REQUIRED_FACT_COLUMNS, **(rates or {}),
     )
     enforce(report, FACT)
     return built
 
 
-def build_marts(ws: Workspace, run_ts: str) -> dict[str, DataFrame]:
+def build_marts(ws: Workspace, run_ts: str, seasons: list | None = None) -> dict[str, DataFrame]:
+    """The marts, from unit totals that are kept by season: of all seasons, or the given ones made anew
+    beside the others on disk. Every mart has the season in its grain."""
     fact = unique_columns(ws.load("gold", FACT))
-    enforce(column_copies_agree(fact, FACT), FACT)
+    if seasons is not None:
+        fact = fact.filter(is_one_of(F.col(PLAY_SLICE).try_cast("int"), seasons))
+    gone = seasons is not None and fact.isEmpty()  # the seasons lost their last play
+    if not gone:
+        enforce(column_copies_agree(fact, FACT), FACT)
     base = gold.base_rows(fact)
-    ws.save(gold.mart_units(base), "scratch", "mart_units")
-    built = {
-        x: ws.save_contract(df, "gold", C.MARTS[x])
-        for x, df in gold.marts_of_units(ws.load("scratch", "mart_units"), run_ts).items()
-    }
+    _save_seasons(ws, gold.mart_units(base, run_stamps(fact)), "gold", "mart_units", [PLAY_SLICE], seasons)
+    units = ws.load("gold", "mart_units")
+    if seasons is not None:
+        units = units.filter(is_one_of(F.col(PLAY_SLICE), seasons))
+    for x, df in gold.marts_of_units(units, run_ts).items():
+        _save_seasons(ws, df, "gold", C.MARTS[x].name, C.MARTS[x].partitions, seasons)
+    built = {x: ws.load("gold", c.name, c) for x, c in C.MARTS.items()}
     for x, df in built.items():
         ws.save(gold.mart_summary(df, C.MARTS[x].name), "qc", f"{C.MARTS[x].name}_summary")
         ws.save(gold.sample_totals(df), "qc", f"{C.MARTS[x].name}_samples")
+    if seasons is not None:  # gates look at what was built, against summaries of the same
+        if not gone:
+            part = {x: df.filter(is_one_of(F.col(PLAY_SLICE), seasons)) for x, df in built.items()}
+            summaries = {x: gold.mart_summary(df, C.MARTS[x].name) for x, df in part.items()}
+            enforce(validate_marts(base, part, summaries, ws.load_files("gold", C.MARTS)), "marts")
+        return built
     summaries = {x: ws.load("qc", f"{C.MARTS[x].name}_summary") for x in built}
     enforce(validate_marts(base, built, summaries, ws.load_files("gold", C.MARTS)), "marts")
     return built
 
 
+def refresh(ws: Workspace, rates: dict[str, float] | None = None) -> list:
+    """Bring plays, games, fact, units and marts in line with the play files; returns the seasons rebuilt.
+
+    Only files that changed are opened, and only their seasons, of now and of before, are built again.
+    Without a change nothing is written. The rebuilt seasons carry the stamps of the build they complete, so
+    the marts equal those of a full build. If another refresh was recorded meanwhile, raises
+    PublishConflict, and the seasons are due again. Serving and publishing are steps of their own.
+    """
+    changes = play_changes(ws)
+    if not changes:
+        return []
+    team = ws.load("gold", C.TEAM_MART.name, C.TEAM_MART)
+    a_ts, b_ts = team.agg(*[F.max(c) for c in C.STAMPS]).first()
+    if a_ts is None or b_ts is None:
+        raise GateError("nothing to refresh: the marts hold no build")
+    seasons = sorted(changes.slices, key=lambda s: (s is None, s))
+    if seasons:
+        build_plays(ws, changes=changes)
+        build_games(ws, changes)
+        build_fact(ws, a_ts, rates, seasons)
+        build_marts(ws, b_ts, seasons)
+    changes.commit(ws.spark)
+    return seasons
+
+
 def build_serving(ws: Workspace) -> dict[str, DataFrame]:
     """Serving tables and audits. A failed gate leaves a FAIL row in the run audit before raising."""
     started = ws.clock()
@@ -315,6 +377,7 @@ def register(ws: Workspace, contract: C.Contract, path: str) -> None:
 
 def run_all(ws: Workspace, fact_rates: dict[str, float] | None = None, parity: bool = False) -> DataFrame:
     run_ts = run_stamp(ws.clock())
+    inputs = play_changes(ws)  # as they are before the build; recorded when the marts stand
     build_plays(ws)
     build_games(ws)
     venues, stations = build_venues(ws), build_stations(ws)
@@ -323,5 +386,6 @@ def run_all(ws: Workspace, fact_rates: dict[str, float] | None = None, parity: b
     build_features(ws, obs, run_ts, parity)
     build_fact(ws, run_ts, fact_rates)
     build_marts(ws, run_ts)
+    inputs.commit(ws.spark)
     build_serving(ws)
     return publish(ws)

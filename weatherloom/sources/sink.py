@@ -72,6 +72,16 @@ def write_partitioned(
     writer.parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, key: str, values: Sequence) -> int:
+    """Delete the first-level partitions of ``values`` (None: null); returns how many there were."""
+    dropped = 0
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        part, fs = _hadoop_path(spark, f"{path.rstrip('/')}/{key}={name}")
+        dropped += bool(fs.exists(part) and fs.delete(part, True))
+    return dropped
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     """Append a few audit rows as one file. Only for row counts fixed by design."""
     df.coalesce(1).write.mode("append").parquet(path)
