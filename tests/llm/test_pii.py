@@ -15,7 +15,7 @@ VALID = {
     "phone": ["+1 (132) 555-1352", "(202) 555-0141", "202-555-0141", "+49 30 1234567"],
     "card": ["4417744280351547", "4417 7442 8035 1547", "4417-7442-8035-1547", "3782 822463 10005"],
     "ipv4": ["97.51.17.173", "10.0.0.1"],
-    "date": ["2024-02-29", "31.12.1999", "12/31/1999", "1900-1-1"],
+    "date": ["2024-02-29", "31.12.1999", "12/31/1999", "1900-1-1", "25/12/1990", "25-12-1990", "25 December 1990", "Dec 25, 1990", "March 3rd, 2001", "7th of August 2011"],
     "ssn": ["123-45-6789"],
     "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
 }
@@ -56,7 +56,9 @@ def test_permutation(size):
 
 
 def test_one_date_in_all_its_forms():
-    days = set()
+    named = re.fullmatch(r"(\d+) ([A-Z][a-z]+) (\d+)", pii.pseudonymise("29 February 2024")[0])
+    month = "January February March April May June July August September October November December".split().index(named[2]) + 1
+    days = {date(int(named[3]), month, int(named[1]))}
     for text, order in (("2024-02-29", "ymd"), ("29.02.2024", "dmy"), ("02/29/2024", "mdy")):
         numbers = dict(zip(order, map(int, re.findall(r"\d+", pii.pseudonymise(text)[0])), strict=True))
         days.add(date(numbers["y"], numbers["m"], numbers["d"]))
@@ -85,6 +87,17 @@ def test_iban_before_another_token(iban, behind):
     assert pii.pseudonymise(out, reverse=True)[0] == text
 
 
+def test_the_session_names_the_key(spark, documents):
+    frame = documents([(1, "97.51.17.173")])
+    with pytest.warns(UserWarning, match="example key"):
+        assert pii.pseudonyms(frame).first().text == pii.pseudonymise("97.51.17.173")[0]
+    spark.conf.set(pii.KEY_CONF, "a secret")
+    try:
+        assert pii.pseudonyms(frame).first().text == pii.pseudonymise("97.51.17.173", b"a secret")[0]
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+
 def test_rows(documents):
     long = "word " * 50_000 + "97.51.17.173" + "9" * 100_000 + "a" * 100_000 + "@x.org"
     rows = [(1, None), (2, ""), (None, "mail die.55@mail4.example.com"), (3, "none"), (3, "none"), (4, long)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
@@ -11,7 +12,7 @@ import test_quality
 import test_simhash
 
 import corpus_pipeline
-from weatherloom.llm import pii
+from weatherloom.llm import pii, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +66,24 @@ def test_stages_keep_columns_and_bear_edge_rows(spark, documents):
         last = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
         assert len(last) == docs.count()
     assert [n for n, _ in corpus_pipeline.STAGES] == list(Counter(n for n, _ in corpus_pipeline.STAGES))
+
+
+def test_stages_with_columns_of_any_name(spark, documents):
+    """Names that the stages' own joins might use, as columns of the caller."""
+    names = ["_id", "_hash", "_n", "_ta", "_tb", "_host", "_removed", "_mark0", "host", "ta", "tb", "n", "hash", "removed", "fp", "root", "copies", "item_id"]
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(7))
+    text = " ".join(word() for _ in range(80))
+    rows = [(1, text, "en", "s"), (2, text, "en", "s"), (2, text, "en", None), (3, " ".join(word() for _ in range(80)), "en", "s"), (4, None, None, None), (None, "", None, None)]
+    frame = documents(rows).selectExpr("*", *[f"'{x}' as `{x}`" for x in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, SF)
+        assert set(frame.columns) <= set(out.columns), name
+        for r in out.collect():
+            assert all(r[x] == x for x in names), name
+    assert sorted(r.doc_id for r in corpus_pipeline.quality_rules(spark, frame, SF).collect()) == [1, 2, 2, 3]
+    kept = corpus_pipeline.near_dedup(spark, frame, SF).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+    cleaned = quality.apply_rules(frame, clean=True)
+    assert cleaned.columns == frame.columns and cleaned.count() == 4
+    assert corpus_pipeline.mixed(spark, frame, SF).count() == len(rows)

@@ -14,16 +14,21 @@ from weatherloom.llm.scratch import written
 
 
 def _rewire(links: DataFrame) -> DataFrame:
-    """``links`` (u, v) with u > v -> links of the next round, same form."""
+    """``links`` (u, v) with u > v -> links of the next round, same form.
+
+    The least neighbours are written before they meet the links again: both sides of the join are then
+    dealt out by it, and a node with a third of all links is split over tasks.
+    """
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least-of-all")
     # large star: neighbours greater than u, and u itself, point to u's least neighbour
-    large = (
+    large = written(
         both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
+        .union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct(),
+        "large-star",
     )
     # small star: lesser neighbours of u point to the least of them
-    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    low = written(large.groupBy("u").agg(F.min("v").alias("m")), "least-below")
     return (
         large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         .union(low.select("u", F.col("m").alias("v"))).where("u > v").distinct()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weatherloom.llm.scratch import written
-from weatherloom.llm.text import UPPER, sha256_hex, text_key
+from weatherloom.llm.text import UPPER, meet, sha256_hex, text_key
 
 WINDOW = 13
 #: Rare terms of a window whose shifted posting lists are intersected.
@@ -199,8 +199,10 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows. Their texts' names are written first, so that their
-    size decides the join."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("ta").alias("_ta"), F.col("tb").alias("_tb")).distinct()
-    bad = written(bad, "contaminated")
-    ta, tb = text_key(F.col("text"))
-    return docs.join(bad, (ta == F.col("_ta")) & (tb == F.col("_tb")), "left_anti")
+    size decides the join.
+
+    Rows are told apart by their text: repeated rows and rows with null or equal ids stay or go by it.
+    Null and empty texts stay. All columns stay, whatever their names.
+    """
+    bad = written(contamination(docs, items).where("contaminated").select("ta", "tb").distinct(), "contaminated")
+    return meet(docs, text_key(F.col("text")), bad, "left_anti")

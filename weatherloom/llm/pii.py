@@ -11,18 +11,21 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+import warnings
 from calendar import monthrange
 from collections.abc import Callable, Iterable, Iterator
 from datetime import date, timedelta
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from weatherloom.llm.batches import sliced
 
-#: The production key is the caller's to give and to guard; this one serves tests and checks.
+#: Session setting that holds the key; whoever knows the key can undo the pseudonyms.
+KEY_CONF = "spark.weatherloom.pii.key"
+#: Stands in where no key is set, for tests and checks. Everybody knows it: it protects nothing.
 KEY = b"example key"
 ROUNDS = 8
 FIRST_DAY, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
@@ -152,7 +155,7 @@ def _ssn(value, key, reverse):
 
 
 def _address(value, key, reverse):
-    """An IPv4 address; those that name no host on the net (local, reserved) are left."""
+    """An IPv4 address; one of a host on the net stays such a one, a local or reserved one likewise."""
     try:
         rank = int(ipaddress.IPv4Address(value))
     except ValueError:
@@ -163,15 +166,27 @@ def _address(value, key, reverse):
             return str(ipaddress.IPv4Address(rank))
 
 
-def _date(parts: str) -> Callable:
-    """Dates whose three numbers come in the order of ``parts``, from "ymd"."""
+def _day(y: int, m: int, d: int) -> date | None:
+    return date(y, m, d) if 1900 <= y < 2100 and 1 <= m <= 12 and 1 <= d <= monthrange(y, m)[1] else None
+
+
+def _moved(day: date, key: bytes, reverse: bool, least: int = 1) -> date:
+    """Another date, walked until its day of the month is ``least`` or more, as that of ``day`` must be."""
+    while True:
+        day = FIRST_DAY + timedelta(permute((day - FIRST_DAY).days, DAYS, key, b"date", reverse))
+        if day.day >= least:
+            return day
+
+
+def _date(parts: str, least: int = 1) -> Callable:
+    """Dates whose three numbers come in the order of ``parts``, from "ymd", with days from ``least`` on."""
 
     def move(value, key, reverse):
         numbers = dict(zip(parts, map(int, re.findall(r"\d+", value)), strict=True))
-        y, m, d = (numbers[p] for p in "ymd")
-        if not (1900 <= y < 2100 and 1 <= m <= 12 and 1 <= d <= monthrange(y, m)[1]):
+        day = _day(*(numbers[p] for p in "ymd"))
+        if day is None or day.day < least:
             return None
-        day = FIRST_DAY + timedelta(permute((date(y, m, d) - FIRST_DAY).days, DAYS, key, b"date", reverse))
+        day = _moved(day, key, reverse, least)
         fresh = {"y": f"{day.year:04d}", "m": f"{day.month:02d}", "d": f"{day.day:02d}"}
         gaps = re.split(r"\d+", value)
         return gaps[0] + "".join(fresh[p] + gap for p, gap in zip(parts, gaps[1:], strict=True))
@@ -179,6 +194,26 @@ def _date(parts: str) -> Callable:
     return move
 
 
+_MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "|".join(_MONTHS) + "|" + "|".join(m[:3] for m in _MONTHS if m != "May")
+
+
+def _named_date(value, key, reverse):
+    """A date with the month's name; a name in full stays in full, a short one short, and May is either."""
+    name = re.search(_MONTH, value)[0]
+    month = next(i for i, m in enumerate(_MONTHS) if m.startswith(name))
+    d, y = map(int, re.findall(r"\d+", value))
+    day = _day(y, month + 1, d)
+    if day is None:
+        return None
+    day = _moved(day, key, reverse)
+    fresh = _MONTHS[day.month - 1]
+    if name != "May":  # the pseudonym of May is written in full
+        fresh = fresh if name in _MONTHS else fresh[:3]
+    out = iter((f"{day.day:02d}" if re.search(r"(?<!\d)0\d(?!\d)", value) else str(day.day), f"{day.year:04d}"))
+    return re.sub(r"\d+", lambda _: next(out), value.replace(name, fresh))
+
+
 def _email(value, key, reverse):
     """Letters and digits of the local part move, case and punctuation stay."""
     local, at, domain = value.rpartition("@")
@@ -206,6 +241,10 @@ _KINDS: list[tuple[str, str, Callable]] = [
     ("date", r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?![0-9]|[-/.][0-9])", _date("ymd")),
     ("date", r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![0-9]|\.[0-9])", _date("dmy")),
     ("date", r"[0-9]{1,2}([-/])[0-9]{1,2}\1[0-9]{4}(?![0-9]|[-/][0-9])", _date("mdy")),
+    # no month-first date: the day comes first, and is above 12, as that of the pseudonym
+    ("date", r"[0-9]{1,2}([-/])[0-9]{1,2}\1[0-9]{4}(?![0-9]|[-/][0-9])", _date("dmy", 13)),
+    ("date", rf"[0-9]{{1,2}}(?:st|nd|rd|th)?\x20(?:of\x20)?(?:{_MONTH})\.?,?\x20[0-9]{{4}}(?![0-9A-Za-z])", _named_date),
+    ("date", rf"(?:{_MONTH})\.?\x20[0-9]{{1,2}}(?:st|nd|rd|th)?,?\x20[0-9]{{4}}(?![0-9A-Za-z])", _named_date),
     ("card", r"[0-9]{13,19}(?![0-9A-Za-z]|-[0-9])", _card),
     ("card", r"[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])", _card),
     ("card", r"[0-9]{4}([\x20-])[0-9]{6}\1[0-9]{4,5}(?![0-9])", _card),
@@ -215,7 +254,7 @@ _KINDS: list[tuple[str, str, Callable]] = [
 ]
 _TRIED = [(kind, re.compile(pattern), move) for kind, pattern, move in _KINDS]
 # Where a value may start: no letter, digit or sign of a longer token stands before it.
-_PLACE = re.compile(r"(?<![A-Za-z0-9_@.+-])(?=[0-9(+]|[A-Z]{2}[0-9]{2})|(?<=[A-Za-z0-9])@")
+_PLACE = re.compile(rf"(?<![A-Za-z0-9_@.+-])(?=[0-9(+]|[A-Z]{{2}}[0-9]{{2}}|(?:{_MONTH})\b)|(?<=[A-Za-z0-9])@")
 _LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\Z")
 
 
@@ -250,13 +289,22 @@ def pseudonymise(text: str, key: bytes = KEY, reverse: bool = False) -> tuple[st
     return "".join([*out, text[at:]]), spans
 
 
-def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session; without one the example key, with a warning."""
+    text = spark.conf.get(KEY_CONF, None)
+    if not text:
+        warnings.warn(f"{KEY_CONF} is not set: pseudonyms by the example key can be undone by anybody", stacklevel=3)
+    return text.encode() if text else KEY
+
+
+def pseudonyms(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``docs`` with ``text`` pseudonymised, n_found and ``spans`` (kind:start:end of the original).
 
     Narrow work, row by row: null stays null, empty stays empty, repeated rows get equal results.
     Columns of ``docs`` other than the text come back unchanged; one named like a column made here
-    is replaced by it.
+    is replaced by it. Without ``key`` the session's is taken, see :data:`KEY_CONF`.
     """
+    key = key or session_key(docs.sparkSession)
     made = ("n_found", "spans")
     base = docs.drop(*made)
     schema = StructType([*base.schema.fields, StructField("n_found", LongType()), StructField("spans", StringType())])
@@ -274,7 +322,7 @@ def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
-def replace_pii(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replace_pii(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``docs`` with its columns as they were, texts pseudonymised and ``n_chars`` kept true."""
     return pseudonyms(docs, key).select(
         *[F.length("text").cast(t).alias(c) if c == "n_chars" else c for c, t in docs.dtypes]

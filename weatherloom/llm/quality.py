@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm.scratch import written
-from weatherloom.llm.text import UPPER, WORD_CHAR, text_key, words
+from weatherloom.llm.text import UPPER, WORD_CHAR, free_name, meet, text_key, words
 
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
@@ -183,7 +183,9 @@ def apply_rules(
 ) -> DataFrame:
     """``docs`` without the rejected rows; with ``clean``, texts without the frequent lines too.
 
-    The base rules are a filter on the row itself. Depleted texts, few among all, are met by their
+    Null, empty and short texts fail the base rules. Null sources are one host. Rows are told apart by
+    host and text, so repeated rows and rows with null or equal ids stay or go together. All columns
+    stay, whatever their names. The base rules are a filter on the row itself. Depleted texts, few among all, are met by their
     hashes, whatever their ids; their table is written first, so that its size decides the join.
     """
     keys = ["host", "ta", "tb"]
@@ -192,19 +194,16 @@ def apply_rules(
     def failed(w: Column) -> Column:
         return _failed(F.size(w), _repeat_words(w))
 
-    def met(table: DataFrame, how: str, of: DataFrame) -> DataFrame:
-        named = table.withColumnsRenamed({k: f"_{k}" for k in keys})
-        return of.join(named, [m == F.col(f"_{k}") for m, k in zip(marks, keys, strict=True)], how)
-
     lines = frequent_lines(docs, max_docs)
     lines = written(lines, "frequent-lines") if clean else lines
     depleted = written(lines.where(_depleted(F.col("all_words"), F.col("removed_words"), min_left)).select(*keys), "depleted")
-    kept = met(depleted, "left_anti", docs.where(~_let(words(F.col("text")), failed)))
+    kept = meet(docs.where(~_let(words(F.col("text")), failed)), marks, depleted, "left_anti")
     if not clean:
         return kept
+    gone = free_name(docs, "removed")
     rest = _let(normal_lines(F.col("text")), lambda n: F.filter(
-        F.split("text", "\n", -1), lambda x, i: (n[i] == "") | ~F.array_contains("_removed", F.xxhash64(n[i]))
+        F.split("text", "\n", -1), lambda x, i: (n[i] == "") | ~F.array_contains(gone, F.xxhash64(n[i]))
     ))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    removed = lines.select(*keys, F.col("removed").alias("_removed"))
-    return met(removed, "left", kept).withColumn("text", text).select(docs.columns)
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    removed = lines.select(*keys, F.col("removed").alias(gone))
+    return meet(kept, marks, removed, "left").withColumn("text", text).select(docs.columns)

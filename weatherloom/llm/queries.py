@@ -171,10 +171,14 @@ again AS (
   SELECT *, n - row_number() OVER (PARTITION BY r ORDER BY n) AS run FROM (
     SELECT *, row_number() OVER (PARTITION BY form ORDER BY doc_id, n) AS k, min(doc_id) OVER (PARTITION BY form) AS first_id FROM unit)
   WHERE k > 1
+),
+sized AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY r, run, form ORDER BY n) = 1
+    THEN greatest(words, len(regexp_extract_all(form, '[""" + repeats.UNSPACED + r"""]')) // 2) ELSE 0 END AS size FROM again
 )
 SELECT doc_id, min(first_id) AS first_doc_id, min(lo)::INTEGER AS start, max(hi)::INTEGER AS "end",
   count(*) AS n_units, sum(words)::BIGINT AS n_words
-FROM again GROUP BY r, doc_id, run HAVING sum(CASE WHEN words >= 4 THEN words ELSE 0 END) >= 25
+FROM sized GROUP BY r, doc_id, run HAVING sum(size) >= 25
 """
 
 

@@ -3,7 +3,9 @@
 Units are lines, cut further at the ends of sentences so that a passage inside a line is found.
 They are normalised and hashed, digests are grouped over the whole corpus, and the occurrence of
 the least rank (doc_id, text, place) is kept. Consecutive repeated units form a run; runs of enough
-words are removed, with their offsets in the original text, while short stock phrases stay.
+words are removed, with their offsets in the original text. Every unit counts, however short, but
+once for each run, so a stock phrase said over and over is no passage. Scripts without spaces count
+in characters.
 """
 
 from __future__ import annotations
@@ -22,10 +24,14 @@ from weatherloom.llm.scratch import written
 
 #: Words of a run of repeated units from which on it is removed.
 MIN_WORDS = 25
-#: Shorter units neither count towards a run's words nor end it.
-MIN_UNIT_WORDS = 4
+#: Characters of scripts without spaces that stand for a word.
+WORD_CHARS = 2
+# Thai and Lao, Tibetan, Burmese, Khmer, kana, and Chinese characters
+UNSPACED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0002fa1f"
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_LOW = (1 << 64) - 1
 _CUT = re.compile(r"\n|(?<=[.!?])[ \t]+")
-_UNITS = "doc_id long, text_hash long, n int, start int, end int, n_words int, digest long, length int"
+_UNITS = "doc_id long, text_hash long, n int, start int, end int, n_words int, size int, before int, da long, db long"
 
 
 def split_units(text: str) -> Iterator[tuple[int, int, str]]:
@@ -38,6 +44,12 @@ def split_units(text: str) -> Iterator[tuple[int, int, str]]:
         start = m.end() if m else end
 
 
+def unit_size(normal: str) -> int:
+    """Words of a unit, or what its characters of unspaced scripts stand for, if that is more."""
+    words = normal.count(" ") + 1
+    return words if normal.isascii() else max(words, len(_UNSPACED.findall(normal)) // WORD_CHARS)
+
+
 def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _UNITS.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32()}
@@ -45,10 +57,12 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         columns: list[list] = [[] for _ in names]
         for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            seen: dict[int, int] = {}  # where the text had a unit last
             for n, (start, end, normal) in enumerate(split_units(text or "")):
-                raw = normal.encode()
-                digest = xxhash.xxh3_64_intdigest(raw)
-                row = (doc, key, n, start, end, normal.count(" ") + 1, digest - (digest >> 63 << 64), len(raw))
+                digest = xxhash.xxh3_128_intdigest(normal.encode())
+                halves = (x - (x >> 63 << 64) for x in (digest >> 64, digest & _LOW))
+                row = (doc, key, n, start, end, normal.count(" ") + 1, unit_size(normal), seen.get(digest, -1), *halves)
+                seen[digest] = n
                 for column, x in zip(columns, row, strict=True):
                     column.append(x)
             if len(columns[0]) > 200_000:
@@ -77,20 +91,23 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ranks after all others. Extra columns are ignored.
     """
     found = written(units(docs), "units")
-    seen = found.withColumn("rank", _rank()).groupBy("digest", "length").agg(
+    digest = ["da", "db"]
+    seen = found.withColumn("rank", _rank()).groupBy(*digest).agg(
         F.min("rank").alias("first"), F.max("rank").alias("last"), F.min("doc_id").alias("first_doc_id")
-    ).where("first < last").select("digest", "length", "first", "first_doc_id")
+    ).where("first < last").select(*digest, "first", "first_doc_id")
     # written, so that the join deals both sides out anew and can split a unit that every text has
     seen = written(seen, "repeated-units")
     again = (
-        found.join(seen, ["digest", "length"]).where(_rank() > F.col("first"))
-        .select("doc_id", "text_hash", "n", "start", "end", "n_words", "first_doc_id").distinct()
+        found.join(seen, digest).where(_rank() > F.col("first"))
+        .select("doc_id", "text_hash", "n", "start", "end", "n_words", "size", "before", "first_doc_id").distinct()
     )
     text = ["doc_id", "text_hash"]
-    run = F.col("n") - F.row_number().over(Window.partitionBy(*text).orderBy("n"))
-    counted = F.when(F.col("n_words") >= MIN_UNIT_WORDS, F.col("n_words")).otherwise(0)
+    in_order = Window.partitionBy(*text).orderBy("n")
+    opens = F.when(F.coalesce(F.col("n") - F.lag("n").over(in_order), F.lit(0)) != 1, F.col("n"))
+    # a unit counts where it stands for the first time in its run
+    counted = F.when(F.col("before") < F.col("run"), F.col("size")).otherwise(0)
     return (
-        again.withColumn("run", run).groupBy(*text, "run")
+        again.withColumn("opens", opens).withColumn("run", F.max("opens").over(in_order)).groupBy(*text, "run")
         .agg(
             F.min("first_doc_id").alias("first_doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),
             F.count(F.lit(1)).alias("n_units"), F.sum("n_words").alias("n_words"), F.sum(counted).alias("counted"),
@@ -106,16 +123,21 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Texts without repeats, null and empty ones included, stay as they are, with no offsets.
     """
     spans = repeats(docs, min_words).groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans")
-    text = F.col("text")
-    ends = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length(text)))
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")
+    ).select("doc_id", "text_hash", "spans")
+    # the row's columns in a struct: no name of theirs can clash
+    row, text = F.col("row"), F.col("row.text")
+    ends = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["end"]))
+    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.length(text)))
     kept = F.array_join(F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a)), "")
     no_spans = F.array().cast("array<struct<start:int,end:int>>")
+    docs = docs.drop("removed")
     return (
-        docs.drop("removed")
-        .join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-        .withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(kept))
-        .withColumn("removed", F.coalesce("_spans", no_spans)).drop("_id", "_hash", "_spans")
+        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+        .join(spans, row["doc_id"].eqNullSafe(F.col("doc_id")) & (F.xxhash64(text) == F.col("text_hash")), "left")
+        .withColumn("cut", F.when(F.col("spans").isNull(), text).otherwise(kept))
+        .select(
+            *[(F.col("cut") if c == "text" else row[c]).alias(c) for c in docs.columns],
+            F.coalesce("spans", no_spans).alias("removed"),
+        )
     )

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from weatherloom.llm.batches import sliced
 from weatherloom.llm.components import components
 from weatherloom.llm.scratch import written
+from weatherloom.llm.text import free_name, meet
 
 SHINGLE = 4
 SEED = 42
@@ -187,7 +188,9 @@ def _classes(docs: DataFrame, groups: int | None, cell_limit: int) -> DataFrame:
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    placed = written(placed, "placed-prints")
+    # written, so that the join can split a component with a third of all prints
+    least = written(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     named = written(placed.join(least, "root").select("fp", "root", "component_id"), "named-prints")
     return prints.join(named, "fp")
 
@@ -214,16 +217,17 @@ def keep_one(docs: DataFrame, groups: int | None = None, cell_limit: int = CELL_
         _classes(docs, groups, cell_limit).where("doc_id <=> component_id")
         .groupBy("doc_id", "root", "text_hash").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("doc_id", "root").agg(F.min(F.struct("text_hash", "n")).alias("best"))
-        .select(F.col("doc_id").alias("_id"), F.col("best.text_hash").alias("_hash"), F.col("best.n").alias("_n"))
+        .select("doc_id", "best.text_hash", "best.n")
     )
     best = written(best, "representatives")
+    marks = (F.col("doc_id").cast("long"), F.xxhash64("text"))
 
     def kept(of: DataFrame) -> DataFrame:
-        on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-        return docs.join(of, on).drop("_id", "_n")
+        return meet(docs, marks, of.select("doc_id", "text_hash"), "inner")
 
-    more = best.where("_n > 1")
+    more = best.where("n > 1")
     if more.isEmpty():  # the texts are dealt out once
-        return kept(best).drop("_hash")
-    once = kept(best.where("_n = 1")).drop("_hash")
-    return once.unionByName(kept(more).dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+        return kept(best)
+    again = free_name(docs, "hash")
+    of_more = kept(more).withColumn(again, F.xxhash64("text")).dropDuplicates(["doc_id", again]).drop(again)
+    return kept(best.where("n = 1")).unionByName(of_more)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The characters between words: space and \x09 to \x0D; and all others.
@@ -27,3 +29,20 @@ def text_key(text: Column) -> tuple[Column, Column]:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "utf-8"), 256)
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or a longer name, that no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def meet(df: DataFrame, marks: Sequence[Column], table: DataFrame, how: str) -> DataFrame:
+    """Join ``df`` to ``table`` where its first columns equal ``marks``, nulls included; of ``table`` only
+    the columns behind them come along. No name in ``df`` can clash with those of the keys."""
+    names = [free_name(df, f"_mark{i}") for i in range(len(marks))]
+    named = table.withColumnsRenamed(dict(zip(table.columns, names, strict=False)))
+    joined = df.join(named, [m.eqNullSafe(F.col(n)) for m, n in zip(marks, names, strict=True)], how)
+    return joined if how.startswith("left_") else joined.drop(*names)
