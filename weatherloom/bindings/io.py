@@ -10,12 +10,29 @@ from weatherloom.bindings.cleaning import VALIDATED_SQL, _validated
 from weatherloom.bindings.registry import Tables, query
 from weatherloom.bindings.star import A_TS, B_TS, C_TS, MARTS_SQL, RUN_ID, star_base, star_marts, station_number
 from weatherloom.operators.aggregate import row_count
-from weatherloom.operators.rows import split_rejects
+from weatherloom.operators.rows import split_rejects, union_named
 from weatherloom.operators.textparse import parse_delimited, parse_fixed_width
 from weatherloom.plans import gold, serving
-from weatherloom.sources.publish import publish_metadata, publish_swap, read_published
+from weatherloom.sources.inputs import pending
+from weatherloom.sources.publish import (
+    PublishConflict,
+    commit_version,
+    current_entry,
+    history,
+    publish_metadata,
+    publish_swap,
+    read_published,
+)
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines, with_path_parts
-from weatherloom.sources.sink import append_audit, commit_marker_exists, materialize, scratch_path, write_partitioned
+from weatherloom.sources.sink import (
+    append_audit,
+    commit_marker_exists,
+    drop_partitions,
+    materialize,
+    replace_slices,
+    scratch_path,
+    write_partitioned,
+)
 
 
 def season_orders(t: Tables) -> DataFrame:
@@ -282,3 +299,61 @@ def publish_metadata_query(t: Tables):
     publish_metadata({"table": scan(t.spark, appended)}, root, C.AUDITS, RUN_ID, C.AUDIT_ROWS)
     live = read_published(t.spark, f"{root}/{C.TABLE_AUDIT.name}", C.TABLE_AUDIT)
     return live.drop(*[c for c in C.SERVING_METADATA if c != "serving_run_id"])
+
+
+@query(
+    "rebuild_changed",
+    """SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) = 1996 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus,
+      CAST(year(o_orderdate) AS INTEGER) AS season, year(o_orderdate) IN (1996, 1997) AS rebuilt, '1996,1997,1999' AS stale FROM orders WHERE year(o_orderdate) <> 1999
+    UNION ALL SELECT o_orderkey + 100000000, o_custkey, o_totalprice, o_orderstatus, 1997, true, '1996,1997,1999' FROM orders WHERE year(o_orderdate) = 1995 AND o_orderkey % 7 = 0""",
+)
+def rebuild_changed(t: Tables):
+    """A table of season slices after its input files changed: one was replaced, one added, one removed.
+    Only the seasons these files hold, or held, are made again."""
+    root = scratch_path(t.spark, "inputs")
+    files, target, manifest = f"{root}/in", f"{root}/table", f"{root}/manifest"
+    rows = season_orders(t).withColumn("part", F.col("season"))
+    write_partitioned(rows, files, ["part"], clustered=True)
+
+    def build(run: int) -> list:
+        changes = pending(t.spark, files, manifest, "season")
+        parts = [df.filter(changes.holds(F.col("season"))).withColumn("run", F.lit(run)) for _, df in changes.read(t.spark)]
+        replace_slices(union_named(*parts), target, ["season"], changes.slices)
+        changes.commit(t.spark)
+        return sorted(changes.slices)
+
+    build(1)
+    redo = rows.filter("season = 1996").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    write_partitioned(redo, files, ["part"], clustered=True, dynamic=True)
+    more = rows.filter("season = 1995 and o_orderkey % 7 = 0").withColumns(
+        {"o_orderkey": F.col("o_orderkey") + 100000000, "season": F.lit(1997), "part": F.lit(0)}
+    )
+    write_partitioned(more, files, ["part"], clustered=True, dynamic=True)
+    drop_partitions(t.spark, files, "part", [1999])
+    stale = build(2)
+    if pending(t.spark, files, manifest, "season"):
+        raise RuntimeError("a second look at unchanged files finds work")
+    out = scan(t.spark, target).withColumns({"rebuilt": F.col("run") == 2, "stale": F.lit(",".join(map(str, stale)))})
+    return out.drop("part", "run")
+
+
+@query(
+    "publish_log",
+    f"""SELECT number, version, rows_published, winner FROM (VALUES (1, 'v1', 0), (2, 'v2', 1)) v(number, version, winner),
+    (SELECT CAST(count(*) AS BIGINT) AS rows_published FROM ({MARTS_SQL} SELECT * FROM indoor_mart))""",
+)
+def publish_log(t: Tables):
+    """The log after two publishers met: both began on version 1, the one that ended first is version 2
+    and the other was refused."""
+    target = scratch_path(t.spark, "competing")
+    mart = materialize(star_marts(t)["indoor"], "indoor")
+    publish_swap(mart, target, C.ENV_MART, "v1")
+    base = current_entry(t.spark, target).number
+    publish_swap(mart, target, C.ENV_MART, "v2")
+    try:
+        commit_version(t.spark, target, "v3", "version=v3/late", 0, base)
+        raise RuntimeError("a late publisher was not refused")
+    except PublishConflict:
+        pass
+    rows = [(e.number, e.version, e.rows, int(e.number == current_entry(t.spark, target).number)) for e in history(t.spark, target)]
+    return t.spark.createDataFrame(rows, "number int, version string, rows_published long, winner int")

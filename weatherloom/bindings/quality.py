@@ -12,6 +12,7 @@ from weatherloom.bindings.hourly import F_TS, FEATURES_SQL, hourly_obs
 from weatherloom.bindings.registry import Tables, query
 from weatherloom.bindings.star import A_TS, B_TS, C_TS, FACT_SQL, MARTS_SQL, RUN_ID, star_base, star_fact, star_marts
 from weatherloom.operators.aggregate import null_rates, row_count
+from weatherloom.operators.difference import table_difference
 from weatherloom.operators.gates import (
     agreement_check,
     any_null_check,
@@ -36,9 +37,10 @@ from weatherloom.operators.gates import (
     span_check,
     zero_denominator_check,
 )
+from weatherloom.operators.observed import ObservedChecks
 from weatherloom.plans import gold, serving, silver
 from weatherloom.plans.validators import bins_complete, run_alignment, summary_match, totals_agree, validate_marts
-from weatherloom.sources.sink import materialize
+from weatherloom.sources.sink import materialize, scratch_path, write_partitioned
 
 META = {"a_ts": A_TS, "b_ts": B_TS, "run_ts": C_TS, "run_id": RUN_ID}
 
@@ -267,6 +269,67 @@ def dq_key_parity(t: Tables):
     return key_parity(source, other, ["k"])
 
 
+_CHANGED_SQL = """(SELECT CASE WHEN o_orderkey % 1013 = 0 THEN o_orderkey + 100000000 ELSE o_orderkey END AS o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus,
+      CASE WHEN o_orderkey % 997 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 1009 <> 0
+    UNION ALL SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P'), o_totalprice FROM orders WHERE o_orderkey % 2003 = 1)"""
+
+
+@query(
+    "table_difference",
+    f"""WITH a AS (SELECT o_orderkey, count(*) AS n, sum(hash(o_custkey, nullif(o_orderstatus, 'P'), o_totalprice)) AS h FROM orders GROUP BY 1),
+    b AS (SELECT o_orderkey, count(*) AS n, sum(hash(o_custkey, o_orderstatus, o_totalprice)) AS h FROM {_CHANGED_SQL} GROUP BY 1)
+    SELECT o_orderkey, CASE WHEN b.n IS NULL THEN 'only_left' WHEN a.n IS NULL THEN 'only_right' ELSE 'changed' END AS kind,
+      CAST(coalesce(a.n, 0) AS BIGINT) AS n_left, CAST(coalesce(b.n, 0) AS BIGINT) AS n_right
+    FROM a FULL JOIN b USING (o_orderkey) WHERE a.n IS DISTINCT FROM b.n OR a.h IS DISTINCT FROM b.h""",
+)
+def table_difference_query(t: Tables):
+    """Orders against a copy in which some are changed, gone, under another key, or there twice."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    orders = t.orders.select(*columns).withColumn("o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P")))
+    key = F.col("o_orderkey")
+    other = orders.filter(key % 1009 != 0).withColumns(
+        {
+            "o_totalprice": F.when(key % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderkey": F.when(key % 1013 == 0, key + 100000000).otherwise(key),
+        }
+    )
+    return table_difference(orders, other.unionByName(orders.filter(key % 2003 == 1)), ["o_orderkey"])
+
+
+@query(
+    "dq_observed",
+    "SELECT "
+    + " FROM lineitem UNION ALL SELECT ".join(
+        [
+            _zero("metric_range_l_discount", "lineitem", "count(*) FILTER (WHERE l_discount < 0 OR l_discount > 0.05)"),
+            _zero("null_partition_keys", "lineitem", "count(*) FILTER (WHERE l_shipdate IS NULL OR l_returnflag IS NULL)"),
+            _zero("l_returnflag_domain", "lineitem", "count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N'))"),
+            _row("single_l_linestatus", "lineitem", "'one value'", "min(l_linestatus) || '..' || max(l_linestatus)", "false"),
+            _zero("zero_denominator_l_tax", "lineitem", "count(*) FILTER (WHERE l_linenumber - 1 = 0 AND l_tax IS NOT NULL)"),
+            _row("not_all_null_l_quantity", "lineitem", "'> 0'", "count(l_quantity)", "count(l_quantity) > 0"),
+            _row("non_empty", "lineitem", "'> 0'", "count(*)", "count(*) > 0"),
+            _row("span_l_linenumber", "lineitem", "'1..7'", "min(l_linenumber) || '..' || max(l_linenumber)", "min(l_linenumber) = 1 AND max(l_linenumber) = 7"),
+        ]
+    )
+    + " FROM lineitem",
+)
+def dq_observed(t: Tables):
+    """Gates of a table measured while it is written: the report needs no look at the files."""
+    checks = [
+        range_check("l_discount", 0.0, 0.05),
+        any_null_check("null_partition_keys", ["l_shipdate", "l_returnflag"]),
+        domain_check("l_returnflag", ["A", "N"]),
+        single_value_check("l_linestatus"),
+        zero_denominator_check("l_tax", F.col("l_linenumber") - 1),
+        filled_check("l_quantity"),
+        non_empty_check(),
+        span_check("l_linenumber", 1, 7),
+    ]
+    measured = ObservedChecks(checks, "lineitem")
+    write_partitioned(t.lineitem, scratch_path(t.spark, "observed"), ["l_returnflag"], clustered=True, measured=measured)
+    return measured.report(t.spark)
+
+
 @query(
     "dq_bins_complete",
     "WITH used AS (SELECT count(*) FILTER (WHERE l_linenumber = 7) AS n FROM lineitem) SELECT "

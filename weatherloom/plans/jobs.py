@@ -31,7 +31,7 @@ from weatherloom.plans.validators import (
 from weatherloom.sources.inputs import Changes, file_schemas, is_one_of, list_files, pending, read_by_schema
 from weatherloom.sources.publish import contract_checks, publish_metadata, publish_swap, published_path, read_published, schema_gate
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines
-from weatherloom.sources.sink import append_audit, commit_marker_exists, drop_partitions, materialize, write_partitioned
+from weatherloom.sources.sink import append_audit, commit_marker_exists, replace_slices, write_partitioned
 
 Clock = Callable[[], dt.datetime]
 
@@ -113,11 +113,8 @@ def _save_seasons(ws: Workspace, df: DataFrame, layer: str, table: str, keys: li
     """Write all of a table, or replace the given seasons; those without a row any more disappear."""
     if seasons is None:
         ws.save(df, layer, table, keys)
-        return
-    df = materialize(df, table)
-    left = {r[0] for r in df.select(PLAY_SLICE).distinct().collect()}
-    ws.save(df, layer, table, keys, dynamic=True)
-    drop_partitions(ws.spark, ws.path(layer, table), PLAY_SLICE, [s for s in seasons if s not in left])
+    else:
+        replace_slices(df, ws.path(layer, table), keys, seasons)
 
 
 def build_plays(ws: Workspace, seasons: list[int] | None = None, changes: Changes | None = None) -> DataFrame:

@@ -82,6 +82,16 @@ def drop_partitions(spark: SparkSession, path: str, key: str, values: Sequence)
     return dropped
 
 
+def replace_slices(df: DataFrame, path: str, keys: Sequence[str], slices: Sequence, measured: ObservedChecks | None = None) -> None:
+    """Replace the first-level partitions of ``slices`` (None: null) by the rows of ``df``, which must
+    belong to them; those without a row any more disappear, all others keep their files. The rows are
+    written aside first, since they may come from the table itself."""
+    rows = materialize(df, "slices")
+    left = {r[0] for r in rows.select(keys[0]).distinct().collect()}
+    write_partitioned(rows, path, keys, clustered=True, dynamic=True, measured=measured)
+    drop_partitions(df.sparkSession, path, keys[0], [s for s in slices if s not in left])
+
+
 def append_audit(df: DataFrame, path: str) -> None:
     """Append a few audit rows as one file. Only for row counts fixed by design."""
     df.coalesce(1).write.mode("append").parquet(path)
