@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from weatherloom.operators.aggregate import null_rates
 from weatherloom.operators.asof import asof_tier, join_asof
 from weatherloom.operators.hourly import complete_grid, hour_grid, lag_delta
 from weatherloom.operators.joins import join_hour, join_interval, join_tier, lookup
+from weatherloom.operators.intervals import join_overlaps, join_points
 from weatherloom.operators.nearby import join_distance, nearest
 from weatherloom.operators.rows import pick_first, union_named, unmatched
 from weatherloom.plans import gold, silver
@@ -247,9 +250,13 @@ def feature_null_rates(t: Tables):
     return null_rates(features(t), C.FEATURE_MEASURES, ["station_key", "obs_year"])
 
 
+# both sides of the join are computed once, before it
+_JOIN_SQL = re.sub(r"\b(formulas|lagged|deltas|trends|picked|features) AS \(", r"\1 AS MATERIALIZED (", FEATURES_SQL)
+
+
 @query(
     "join_inner",
-    FEATURES_SQL
+    _JOIN_SQL
     + """ SELECT o.station_key, o.obs_hour_utc, o.obs_present_flag AS weather_obs_present_flag, o.air_temp_c, o.sea_level_pressure_hpa, f.relative_humidity_pct, f.pressure_delta_1h_hpa, f.feature_version
     FROM obs o JOIN features f ON o.station_key = f.station_key AND o.obs_hour_utc = f.obs_hour_utc""",
 )
@@ -494,3 +501,45 @@ def nearest_unmatched(t: Tables):
     close = nearest(star_venues(t), star_stations(t), *_POINTS, "station_key", 25.0)
     rest = unmatched(star_venues(t), close, ["stadium_id"])
     return _pair(nearest(rest, star_stations(t), *_POINTS, "station_key"))
+
+
+_SPANS_SQL = """WITH span AS (SELECT s_suppkey, DATE '1995-01-01' + CAST(s_suppkey * 37 % 2000 AS INTEGER) AS first_day,
+    DATE '1995-01-01' + CAST(s_suppkey * 37 % 2000 + s_suppkey % 60 - 5 AS INTEGER) AS last_day FROM supplier)"""
+
+
+def _span(key: str, step: int, length: int) -> tuple[Column, Column]:
+    day = F.lit("1995-01-01").cast("date")
+    first = (F.col(key) * step % 2000).cast("int")
+    return F.date_add(day, first), F.date_add(day, (first + F.col(key) % length - 5).cast("int"))
+
+
+def _supplier_spans(t: Tables):
+    first, last = _span("s_suppkey", 37, 60)
+    return t.supplier.select("s_suppkey", first.alias("first_day"), last.alias("last_day"))
+
+
+@query(
+    "join_interval_no_key",
+    _SPANS_SQL
+    + """ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, s_suppkey, first_day, last_day
+    FROM orders LEFT JOIN span ON CAST(o_orderdate AS DATE) BETWEEN first_day AND last_day""",
+)
+def join_interval_no_key(t: Tables):
+    """Orders inside the suppliers' periods; nothing but the day relates the two."""
+    orders = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_day"))
+    return join_points(orders, _supplier_spans(t), "order_day", "first_day", "last_day", row_id="o_orderkey")
+
+
+@query(
+    "join_overlaps",
+    _SPANS_SQL
+    + """, stay AS (SELECT c_custkey, DATE '1995-01-01' + CAST(c_custkey * 13 % 2000 AS INTEGER) AS arrival,
+      DATE '1995-01-01' + CAST(c_custkey * 13 % 2000 + c_custkey % 30 - 5 AS INTEGER) AS departure FROM customer)
+    SELECT c_custkey, arrival, departure, s_suppkey, first_day, last_day FROM stay JOIN span ON arrival <= departure AND first_day <= last_day
+      AND arrival <= last_day AND first_day <= departure""",
+)
+def join_overlaps_query(t: Tables):
+    """Stays of customers that overlap periods of suppliers."""
+    arrival, departure = _span("c_custkey", 13, 30)
+    stays = t.customer.select("c_custkey", arrival.alias("arrival"), departure.alias("departure"))
+    return join_overlaps(stays, _supplier_spans(t), ("arrival", "departure"), ("first_day", "last_day"))
