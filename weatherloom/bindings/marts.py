@@ -31,8 +31,10 @@ from weatherloom.operators.aggregate import (
     table_stats,
 )
 from weatherloom.operators.joins import with_baseline
+from weatherloom.operators.rollup import SKETCH_ERROR, roll_up, sketched_cells
 from weatherloom.operators.rows import expand_samples
 from weatherloom.plans import gold, silver
+from weatherloom.sources.sink import materialize
 
 BASE_COLUMNS = (
     "season, game_id, play_id, team, is_pass, is_rush, is_complete, CAST(epa AS DOUBLE) AS epa, temp_bin, wind_bin, precip_bin, "
@@ -304,3 +306,53 @@ def dim_bins(t: Tables):
     used = used.select("n", F.inline(F.array(*pairs))).groupBy("bin_type", "bin_value").agg(F.sum("n").alias("n_plays"))
     dim = gold.bin_dimension(t.spark)
     return dim.join(used, C.BIN_DIMENSION.grain, "left").withColumn("n_plays", F.coalesce("n_plays", F.lit(0)).cast("long"))
+
+
+LEVELS = [["season", "team"], ["season", "roof_env_bin"], ["temp_bin", "wind_bin"], ["season"], []]
+_LEVEL_KEYS = ["season", "team", "roof_env_bin", "temp_bin", "wind_bin"]
+_LEVEL_SQL = (
+    "CASE "
+    + " ".join(
+        "WHEN " + " AND ".join(f"grouping({k}) = {int(k not in level)}" for k in _LEVEL_KEYS) + f" THEN '{','.join(level) or 'total'}'" for level in LEVELS
+    )
+    + " END AS level"
+)
+_SETS_SQL = "GROUP BY GROUPING SETS (" + ", ".join(f"({', '.join(['weather_sample', *level])})" for level in LEVELS) + ")"
+
+
+def _cells(t: Tables):
+    return sketched_cells(gold.mart_units(star_base(t), [A_TS]), [*gold.TEAM_KEYS, "weather_sample"])
+
+
+@query(
+    "mart_levels",
+    BASE_SQL
+    + f""" SELECT weather_sample, {_LEVEL_SQL}, {', '.join(_LEVEL_KEYS)}, CAST(count(*) AS BIGINT) AS n_plays, CAST(sum(is_pass) AS BIGINT) AS n_pass_attempts,
+    CAST(sum(is_rush) AS BIGINT) AS n_rush_attempts, CAST(sum(is_complete) AS BIGINT) AS n_completions, CAST(count(epa) AS BIGINT) AS n_epa_plays,
+    CAST(sum(is_pass) AS DOUBLE) / sum(is_pass + is_rush) AS pass_rate, CAST(sum(is_rush) AS DOUBLE) / sum(is_pass + is_rush) AS rush_rate,
+    CASE WHEN sum(is_pass) > 0 THEN CAST(sum(is_complete) AS DOUBLE) / sum(is_pass) END AS completion_pct,
+    CASE WHEN count(epa) > 0 THEN CAST(sum(epa) AS DOUBLE) / count(epa) END AS epa_per_play FROM samples {_SETS_SQL}""",
+)
+def mart_levels(t: Tables):
+    """Five levels of the marts from one pass over their cells, ratios weighted by what they divide."""
+    return roll_up(_cells(t).drop("unit_sketch"), LEVELS).drop("epa_sum")
+
+
+@query(
+    "games_by_sketch",
+    BASE_SQL
+    + f""" SELECT weather_sample, {_LEVEL_SQL}, {', '.join(_LEVEL_KEYS)}, CAST(count(DISTINCT game_id) AS BIGINT) AS n_games, true AS within_error FROM samples {_SETS_SQL}""",
+)
+def games_by_sketch(t: Tables):
+    """Distinct games of five levels by merged sketches, beside the exact counts: within four standard errors."""
+    units = materialize(gold.mart_units(star_base(t), [A_TS]), "units")
+    cells = sketched_cells(units, [*gold.TEAM_KEYS, "weather_sample"])
+    keys = ["weather_sample", "level", *_LEVEL_KEYS]
+    estimate = roll_up(cells, LEVELS).select(*keys, "n_units_estimate")
+    games = units.select(*_LEVEL_KEYS, "weather_sample", "game_id").distinct()
+    spread = roll_up(games.withColumn("n", F.lit(1)), [[*x, "game_id"] for x in LEVELS], sums=["n"], ratios={})
+    level = F.regexp_replace(F.regexp_replace("level", ",?game_id$", ""), "^$", "total")
+    exact = spread.withColumn("level", level).groupBy(*keys).agg(row_count().alias("n_games"))
+    same = [estimate[k].eqNullSafe(exact[k]) for k in keys]
+    off = F.abs(F.col("n_units_estimate") - F.col("n_games")) <= F.greatest(F.lit(1.0), 4 * SKETCH_ERROR * F.col("n_games"))
+    return exact.join(estimate, same).select(*[exact[k] for k in keys], "n_games", off.alias("within_error"))
