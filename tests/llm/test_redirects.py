@@ -97,10 +97,10 @@ def plain(pages, rules, observed=()):
     return sorted(map(repr, out))
 
 
-def got(df, rules):
+def got(rows, rules):
     return sorted(
         repr((r.page_id, r.host, r.path, None if r.rule is None else rules[r.rule].host + rules[r.rule].path, "allow" if r.allowed else "block"))
-        for r in df.collect()
+        for r in rows
     )
 
 
@@ -145,18 +145,18 @@ def test_against_plain(spark):
     frame = spark.createDataFrame([(*p, 1, 2, 3, 4) for p in PAGES], "page_id long, url string, html string, node int, rule int, root int, a int")
     observed = [("http://i.org/r", "http://shop.net/es/1"), ("http://k.org/", "x"), (None, "http://shop.net/es/1")]
     table = spark.createDataFrame(observed, "url string, target string")
-    found = got(redirects.judge(frame, URL_RULES, table), URL_RULES)
-    assert found == plain(PAGES, URL_RULES, [o for o in observed if o[0]])
-    verdict = {r.page_id: r.allowed for r in redirects.judge(frame, URL_RULES, table).collect()}
+    rows = redirects.judge(frame, URL_RULES, table).collect()
+    assert got(rows, URL_RULES) == plain(PAGES, URL_RULES, [o for o in observed if o[0]])
+    verdict = {r.page_id: r.allowed for r in rows}
     blocked = {1, 2, 3, 5, 6, 7, 10, 13, 15, 22, 24, 25, 26, 27, None}
     assert {k for k, v in verdict.items() if not v} == blocked
 
 
 def test_a_hub_and_a_chain(spark):
     pages = [(i, f"http://p{i}.org/", link("http://hub.org/")) for i in range(300)]
-    pages += [(1000 + i, f"http://q.org/{i}", link(f"/{i + 1}")) for i in range(12)] + [(1012, "http://q.org/12", link("http://x.net/fr/1"))]
+    pages += [(1000 + i, f"http://q.org/{i}", link(f"/{i + 1}")) for i in range(6)] + [(1006, "http://q.org/6", link("http://x.net/fr/1"))]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
-    assert got(redirects.judge(frame, URL_RULES), URL_RULES) == plain(pages, URL_RULES)
+    assert got(redirects.judge(frame, URL_RULES).collect(), URL_RULES) == plain(pages, URL_RULES)
 
 
 def test_no_pages_and_no_rules(spark):
