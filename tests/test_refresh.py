@@ -67,6 +67,7 @@ def test_an_empty_folder(spark, tmp_path):
 def built(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("refresh")
     write_all(spark, root)
+    add_season(spark, root, 2021)
     ticks, start = iter(range(10_000)), dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
     def workspace(out):
@@ -85,6 +86,14 @@ def built(spark, tmp_path_factory):
     return ws, workspace, root
 
 
+def add_season(spark, root, season):
+    """A play file that holds one play of a season of its own."""
+    plays = spark.read.parquet(str(root / "play_files/play_by_play_2022.parquet")).limit(1)
+    plays = plays.withColumns({"season": F.lit(season), "game_id": F.lit(f"{season}_01_MIA_BUF")})
+    put(spark, root, f"only_{season}", [tuple(r) for r in plays.collect()], plays.schema)
+    os.replace(root / f"in/only_{season}.parquet", root / f"play_files/only_{season}.parquet")
+
+
 def from_plays(ws):
     jobs.build_plays(ws)
     jobs.build_games(ws)
@@ -114,21 +123,22 @@ def test_refresh(built, spark):
     assert jobs.refresh(ws, RATES) == []
     assert files(ws.root) == before
 
-    # one season gets a play less, and another file brings a new season
+    # one season gets a play less, another file brings a new season, and the file of a third goes
     plays = spark.read.parquet(f"{ws.plays}/play_by_play_2022.parquet")
     put(spark, root, "play_by_play_2022", [tuple(r) for r in plays.collect()][:1], plays.schema)
     os.replace(root / "in/play_by_play_2022.parquet", root / "play_files/play_by_play_2022.parquet")
-    more = plays.limit(1).withColumns({"season": F.lit(2021), "game_id": F.lit("2021_01_MIA_BUF")})
-    put(spark, root, "more", [tuple(r) for r in more.collect()], more.schema)
-    os.replace(root / "in/more.parquet", root / "play_files/more.parquet")
-    assert jobs.refresh(ws, RATES) == [2021, 2022]
+    add_season(spark, root, 2020)
+    os.remove(root / "play_files/only_2021.parquet")
+    assert jobs.refresh(ws, RATES) == [2020, 2021, 2022]
     after = files(ws.root)
     tables = [C.PLAYS.name, "pbp_game_level", jobs.FACT, "mart_units", *[c.name for c in C.MARTS.values()]]
     for table in tables:
         mine = {p: t for p, t in before.items() if f"/{table}/season=2023" in p}
         assert mine and all(after[p] == t for p, t in mine.items()), table
-    for table in tables:
-        assert any(f"/{table}/season=2021" in p for p in after), table
+        assert any(f"/{table}/season=2021" in p for p in before), table
+        assert any(f"/{table}/season=2020" in p for p in after), table
+        assert not any(f"/{table}/season=2021" in p for p in after), table
+    assert jobs.refresh(ws, RATES) == []
 
     full = workspace("full")  # the same weather, and all plays anew
     for table in (C.VENUES, C.VENUE_STATION_MAP, C.HOURLY, C.FEATURES):
@@ -136,11 +146,6 @@ def test_refresh(built, spark):
     from_plays(full)
     assert marts(ws) == marts(full)
 
-    os.remove(root / "play_files/more.parquet")  # a season that is gone leaves no partition behind
-    assert jobs.refresh(ws, RATES) == [2021]
-    assert not any("season=2021" in p for p in files(ws.root) if any(f"/{t}/" in p for t in tables))
-    assert jobs.refresh(ws, RATES) == []
-
 
 def test_fact_of_the_build_has_earlier_weather(built):
     fact = built[0].load("gold", jobs.FACT)
