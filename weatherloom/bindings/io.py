@@ -23,6 +23,7 @@ from weatherloom.sources.publish import (
     publish_swap,
     read_published,
 )
+from weatherloom.sources.csvsplit import scan_csv_split
 from weatherloom.sources.scan import scan, scan_csv, scan_text_lines, with_path_parts
 from weatherloom.sources.sink import (
     append_audit,
@@ -61,6 +62,26 @@ def scan_csv_quoted(t: Tables):
     return scan_csv(t.spark, path, ["p_partkey", "note", "p_type"], quoted=True)
 
 
+@query(
+    "scan_csv_split",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'status "' || o_orderstatus || '", ' || CASE WHEN o_orderkey % 5 = 0 THEN chr(13) || chr(10) || chr(10) ELSE '' END || o_orderpriority AS "order
+note", CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS o_orderstatus FROM orders""",
+)
+def scan_csv_split_query(t: Tables):
+    """As before, with a line break in the header too, and each file read by several tasks."""
+    path = scratch_path(t.spark, "csv_split")
+    key = F.col("o_orderkey")
+    breaks = F.when(key % 5 == 0, "\r\n\n").otherwise("")
+    note = F.concat(F.lit('status "'), "o_orderstatus", F.lit('", '), breaks, "o_orderpriority")
+    rows = t.orders.select(
+        F.when(key % 4 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+        key.cast("string").alias("o_orderkey"),
+        note.alias("order\nnote"),
+    )
+    rows.write.options(header="true", escape='"', emptyValue="").csv(path)
+    return scan_csv_split(t.spark, path, ["o_orderkey", "order\nnote", "o_orderstatus"])
+
+
 @query(
     "scan_csv_typed",
     "SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS usaf, c_mktsegment AS station_name, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS lat FROM customer",

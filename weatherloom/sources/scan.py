@@ -32,7 +32,7 @@ def scan_csv(
     """CSV as strings, columns by the names in the header, in whatever order it has them.
 
     Files read together must share one header. ``quoted`` accepts line breaks inside quotes, at the
-    price of one task per file; plain files are split.
+    price of one task per file (``csvsplit.scan_csv_split`` has none); plain files are split.
     """
     dialect = CSV_QUOTED if quoted else CSV_PLAIN
     found = scan(spark, path, "csv", **{**dialect, "enforceSchema": "false", **options})
