@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ from weatherloom.sources.sink import (
     scratch_path,
     write_partitioned,
 )
+from weatherloom.sources.zorder import file_extents, files_in_ranges, scan_ranges, write_zordered
 
 
 def season_orders(t: Tables) -> DataFrame:
@@ -232,6 +235,22 @@ def sink_clustered(t: Tables):
     return back.groupBy("season", "o_orderstatus").agg(row_count().alias("n_rows"), F.sum(F.col("o_custkey") % 1000).alias("sum_keys"))
 
 
+@query(
+    "sink_zordered",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, true AS few_files FROM lineitem,
+    (SELECT max(p_partkey) AS n FROM part) WHERE l_partkey BETWEEN n // 4 AND n // 2 AND l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-06-30'""",
+)
+def sink_zordered(t: Tables):
+    """A range of parts and days from lines laid out over both, and whether a minority of the files held it."""
+    root = scratch_path(t.spark, "zordered")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    write_zordered(lines, root, ["l_partkey", "l_shipdate"], files=64)
+    n = t.part.agg(F.max("p_partkey")).first()[0] or 0
+    ranges = {"l_partkey": (n // 4, n // 2), "l_shipdate": (dt.datetime(1996, 1, 1), dt.datetime(1997, 6, 30))}
+    few = 2 * files_in_ranges(t.spark, root, ranges).count() < file_extents(t.spark, root).count()
+    return scan_ranges(t.spark, root, ranges).withColumn("few_files", F.lit(few))
+
+
 @query(
     "sink_dynamic_overwrite",
     "SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) IN (1996, 1999) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders",
