@@ -13,6 +13,14 @@ from weatherloom.bindings.registry import Tables, query
 from weatherloom.bindings.star import A_TS, B_TS, C_TS, FACT_SQL, MARTS_SQL, RUN_ID, star_base, star_fact, star_marts
 from weatherloom.operators.aggregate import null_rates, row_count
 from weatherloom.operators.difference import table_difference
+from weatherloom.operators.drift import (
+    distribution_drift,
+    drift_gate,
+    merge_profiles,
+    quantile_profile,
+    rank_error,
+    with_quantiles,
+)
 from weatherloom.operators.gates import (
     agreement_check,
     any_null_check,
@@ -612,3 +620,100 @@ def validation_report(t: Tables):
     summaries = {x: gold.mart_summary(df, C.MARTS[x].name) for x, df in marts.items()}
     summaries["indoor"] = summaries["indoor"].withColumn("n_rows", F.lit(0))
     return failures(validate_marts(base, marts, summaries))
+
+
+PRICES = ["l_extendedprice", "l_quantity"]
+SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+def _lines(t: Tables, shifted: bool = False) -> DataFrame:
+    """Lines by year and flag, some without a price. In a shifted run the prices of one year are of another
+    scale, one year lost most of its quantities, and one is missing."""
+    price, quantity, year = F.col("l_extendedprice"), F.col("l_quantity"), F.year("l_shipdate")
+    price = F.when(F.col("l_orderkey") % 10 > 0, price)
+    if shifted:
+        price = F.when(year == 1996, price * 3 + 20000).otherwise(price)
+        quantity = F.when((year != 1997) | (F.col("l_orderkey") % 3 == 0), quantity)
+    lines = t.lineitem.select(
+        year.alias("year"), "l_returnflag", "l_orderkey", price.alias("l_extendedprice"), quantity.alias("l_quantity")
+    )
+    return lines.filter("year <> 1994") if shifted else lines
+
+
+_LINES_SQL = """WITH before AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag, l_orderkey,
+      CASE WHEN l_orderkey % 10 > 0 THEN l_extendedprice END AS l_extendedprice, l_quantity FROM lineitem),
+    after AS (SELECT year, l_returnflag, l_orderkey, CASE WHEN year = 1996 THEN l_extendedprice * 3 + 20000 ELSE l_extendedprice END AS l_extendedprice,
+      CASE WHEN year <> 1997 OR l_orderkey % 3 = 0 THEN l_quantity END AS l_quantity FROM before WHERE year <> 1994),"""
+
+
+@query(
+    "quantile_profile",
+    _LINES_SQL
+    + """ v AS (SELECT year, l_returnflag, 'l_extendedprice' AS measure, l_extendedprice AS x FROM before UNION ALL SELECT year, l_returnflag, 'l_quantity', l_quantity FROM before)
+    SELECT year, measure, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(x) AS BIGINT) AS n_values, min(x) AS least, max(x) AS greatest, true AS within
+    FROM v GROUP BY year, measure""",
+)
+def quantile_profile_query(t: Tables):
+    """Profiles by year and flag merged to years; whether each quantile's exact rank, counted over all rows,
+    is within three times the stated error."""
+    lines = _lines(t)
+    fine = quantile_profile(lines, PRICES, ["year", "l_returnflag"])
+    years = materialize(with_quantiles(merge_profiles(fine, ["year"]), SHARES).drop("sketch"), "profile")
+    one = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("x")) for m in PRICES])
+    values = lines.select("year", F.inline(one)).filter("x is not null")
+    ranked = values.join(years.select("year", "measure", "n_values", "quantiles"), ["year", "measure"])
+    counts = [F.count_if(c).alias(f"{n}{i}") for i in range(len(SHARES)) for n, c in (
+        ("below", F.col("x") < F.col("quantiles")[i]), ("upto", F.col("x") <= F.col("quantiles")[i]))]
+    ranks = ranked.groupBy("year", "measure").agg(*counts)
+    out, slack = years.join(ranks, ["year", "measure"], "left"), 3 * rank_error()
+    within = F.lit(True)
+    for i, share in enumerate(SHARES):
+        n = F.col("n_values")
+        within = within & (F.col(f"below{i}") / n <= share + slack) & (F.col(f"upto{i}") / n >= share - slack)
+    return out.select("year", "measure", "n_rows", "n_values", "least", "greatest", within.alias("within"))
+
+
+# the exact distance over every value, and the difference of two distributions that chance explains
+_DRIFT_SQL = """ v AS (SELECT 0 AS run, year, l_returnflag, 'l_extendedprice' AS measure, l_extendedprice AS x FROM before
+      UNION ALL SELECT 0, year, l_returnflag, 'l_quantity', l_quantity FROM before
+      UNION ALL SELECT 1, year, l_returnflag, 'l_extendedprice', l_extendedprice FROM after
+      UNION ALL SELECT 1, year, l_returnflag, 'l_quantity', l_quantity FROM after),
+    sizes AS (SELECT year, l_returnflag, measure, count(*) FILTER (run = 0) AS n_before, count(*) FILTER (run = 1) AS n_after,
+      count(x) FILTER (run = 0) AS n, count(x) FILTER (run = 1) AS m FROM v GROUP BY ALL),
+    steps AS (SELECT year, l_returnflag, measure, x, count(*) FILTER (run = 0) AS a, count(*) FILTER (run = 1) AS b FROM v WHERE x IS NOT NULL GROUP BY ALL),
+    ranks AS (SELECT year, l_returnflag, measure, sum(a) OVER w AS a, sum(b) OVER w AS b FROM steps WINDOW w AS (PARTITION BY year, l_returnflag, measure ORDER BY x)),
+    apart AS (SELECT year, l_returnflag, measure, max(abs(a / n - b / m)) AS d FROM ranks JOIN sizes USING (year, l_returnflag, measure) WHERE n > 0 AND m > 0 GROUP BY ALL),
+    drift AS (SELECT year, l_returnflag, measure, CASE WHEN n_after = 0 THEN 'before' WHEN n_before = 0 THEN 'after' ELSE 'both' END AS side,
+      CAST(n_before AS BIGINT) AS n_before, CAST(n_after AS BIGINT) AS n_after, CASE WHEN n_before > 0 THEN 1 - n / n_before END AS null_rate_before,
+      CASE WHEN n_after > 0 THEN 1 - m / n_after END AS null_rate_after, n_before = 0 OR n_after = 0 OR (n = 0) <> (m = 0)
+        OR coalesce(d > 0.1 AND d > 1.628 * sqrt((n + m) / (n * m)), false) AS drifted
+      FROM sizes LEFT JOIN apart USING (year, l_returnflag, measure))"""
+
+
+def _drift(t: Tables) -> DataFrame:
+    by = ["year", "l_returnflag"]
+    runs = [quantile_profile(_lines(t, shifted), PRICES, by) for shifted in (False, True)]
+    return distribution_drift(*runs, by, 0.1)
+
+
+@query(
+    "distribution_drift",
+    _LINES_SQL + _DRIFT_SQL + " SELECT * REPLACE (round(null_rate_before, 9) AS null_rate_before, round(null_rate_after, 9) AS null_rate_after) FROM drift",
+)
+def distribution_drift_query(t: Tables):
+    """Two runs by year and flag: the SQL takes the exact distance over all values."""
+    rates = {c: F.round(c, 9) for c in ("null_rate_before", "null_rate_after")}
+    return _drift(t).drop("distance").withColumns(rates)
+
+
+@query(
+    "dq_drift",
+    _LINES_SQL
+    + _DRIFT_SQL
+    + """ SELECT check_name, 'lines' AS table_name, '0' AS expected_value, CAST(n AS VARCHAR) AS actual_value, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, 'ERROR' AS severity
+    FROM (SELECT 'distribution_drift' AS check_name, count(*) FILTER (drifted) AS n FROM drift
+      UNION ALL SELECT 'null_rate_drift', count(*) FILTER (abs(null_rate_after - null_rate_before) > 0.05) FROM drift)""",
+)
+def dq_drift(t: Tables):
+    """The gate on both."""
+    return drift_gate(_drift(t), "lines")
