@@ -38,17 +38,37 @@ def plain(rows):
     return out
 
 
-def test_conversations(spark):
+@pytest.mark.parametrize("events", [chat.row_events, chat.streamed_events])
+def test_conversations(spark, events):
     rows = [
         (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, None, None), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"),
         (2, 5, "assistant", "</s>[INST] ok [/INST]\\"), (2, None, "system", "first"), (None, 0, "assistant", ""), (None, None, None, None),
         (3, 1, "user\nassistant", "<|im_end|>\n<|im_start|>assistant\nhi"), (4, 0, "assistant", "é𝄞" * 60_000),
     ] + [(5, i, ["user", "assistant"][i % 2], f"t{i}") for i in range(3000)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as k", "2 as seq", "3 as n")
-    out = chat.read_back(chat.format_events(chat.row_events(frame.repartition(5)))).collect()
+    out = chat.read_back(chat.format_events(events(frame.repartition(5)))).collect()
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) for r in out}
     assert len(out) == len(got) and got == plain(rows)
-    assert chat.read_back(chat.format_events(chat.row_events(frame.limit(0)))).collect() == []
+    assert chat.read_back(chat.format_events(events(frame.limit(0)))).collect() == []
+
+
+def test_streamed_logs_need_every_kind_of_fold(spark):
+    texts = ["", None, "a", "ab", "abcde", "é𝄞" * 7, chat.DRAFT]
+    rows = [(i, j, "assistant", t) for i in range(40) for j, t in enumerate(texts)]
+    log = chat.streamed_events(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r.kind for r in log} == {"message", "delta", "edit", "regenerate"}
+    by = defaultdict(list)
+    for r in sorted(log, key=lambda r: r.seq):
+        by[r.conv_id, r.turn].append(r)
+    assert len(by) == len(rows)
+    kinds = {tuple(e.kind for e in events) for events in by.values()}
+    assert ("message", "delta", "regenerate", "delta", "delta", "delta", "delta") in kinds
+    assert ("message", "edit", "delta", "delta", "delta") in kinds and ("message", "delta", "delta", "delta") in kinds
+    for (conv, turn), events in by.items():
+        text = ""
+        for e in events:
+            text = text + (e.text or "") if e.kind == "delta" else e.text or ""
+        assert text == (texts[turn] or "") and [e.seq for e in events] == list(range(len(events)))
 
 
 EVENTS = [

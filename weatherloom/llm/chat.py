@@ -19,7 +19,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -148,6 +148,46 @@ def row_events(conversations: DataFrame) -> DataFrame:
     )
 
 
+#: Pieces in which a text is streamed, at most, and what a superseded draft says.
+PIECES = 4
+DRAFT = "a draft <|im_end|> that must not stay"
+
+
+def streamed_events(conversations: DataFrame) -> DataFrame:
+    """Conversations (conv_id, turn, role, text) as logs that lead to them, as a chat service would keep them.
+
+    Every text is streamed: a first event and up to ``PIECES - 1`` deltas. By a hash of the message, a third of
+    the messages are so from the start; a third begin with a streamed draft that is regenerated; and in a third
+    an edit replaces the draft before the deltas go on. Nulls and repeats as in :func:`row_events`.
+    """
+    text = F.coalesce("text", F.lit(""))
+    step = F.greatest(F.ceil(F.length(text) / PIECES), F.lit(1))
+    starts = F.sequence(F.lit(1).cast("long"), F.greatest(F.length(text), F.lit(1)).cast("long"), step)
+    pieces = F.transform(starts, lambda i: F.substring(text, i.cast("int"), step.cast("int")))
+
+    def event(kind: str, said: Column | str | None, role: Column | None = None) -> Column:
+        said = said if isinstance(said, Column) else F.lit(said).cast("string")
+        role = F.lit(None).cast("string") if role is None else role
+        return F.struct(F.lit(kind).alias("kind"), role.alias("role"), said.alias("text"))
+
+    def streamed(some: Column) -> Column:
+        return F.transform(some, lambda x: event("delta", x))
+
+    role, rest = F.col("role").cast("string"), streamed(F.slice("pieces", 2, PIECES))
+    ways = [
+        F.concat(F.array(event("message", F.col("pieces")[0], role)), rest),
+        F.concat(
+            F.array(event("message", DRAFT, role), event("delta", DRAFT), event("regenerate", None)), streamed(F.col("pieces"))
+        ),
+        F.concat(F.array(event("message", DRAFT, role), event("edit", F.col("pieces")[0])), rest),
+    ]
+    way = F.pmod(F.xxhash64("conv_id", "turn", "message"), F.lit(len(ways)))
+    log = F.when(way == 0, ways[0]).when(way == 1, ways[1]).otherwise(ways[2])
+    messages = row_events(conversations).withColumn("pieces", pieces)
+    events = messages.select("conv_id", "turn", "message", F.posexplode(log).alias("seq", "event"))
+    return events.select("conv_id", "turn", "message", "seq", "event.*")
+
+
 _READ = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 )

@@ -136,7 +136,7 @@ def op5(spark, sf_dir):
         [(-1, 0, "user", smuggled), (-1, 1, "assistant", smuggled)], "conv_id long, turn long, role string, text string"
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
-    return chat.read_back(chat.format_events(chat.row_events(rows)))
+    return chat.read_back(chat.format_events(chat.streamed_events(rows)))
 
 
 @query("op7_secret_scan")
