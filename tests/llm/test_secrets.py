@@ -87,3 +87,26 @@ def test_method_adds_and_keeps_base_spans(documents):
     assert out[100] == [f"markov:2:42,assign:43:{52 + 40}"]
     assert sorted(out[101]) == ["", "markov:0:40"] and out[None] == ["markov:0:40"]
     assert all("markov" not in s for i in range(60) for s in out[i])
+
+
+def test_free_spans_against_all_pairs(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        taken = []
+        for order in range(len(secrets.PATTERNS)):
+            at = 0
+            for _ in range(rng.choice([0, 0, 1, 2, 5, 40])):
+                at += rng.randrange(0, 30)
+                end = at + rng.randrange(1, 9)
+                taken.append((at, order, end, "v"))
+                at = end
+        spans = [(s, 3, s + rng.randrange(1, 12), "c") for s in rng.sample(range(900), rng.choice([0, 1, 30]))]
+        rows.append((i, sorted(spans), sorted(taken)))
+    span = "array<struct<start:int,order:int,end:int,value:string>>"
+    df = spark.createDataFrame(rows, f"i int, spans {span}, taken {span}")
+    got = {r.i: [tuple(s) for s in r.free] for r in df.select("i", secrets._free(F.col("spans"), F.col("taken")).alias("free")).collect()}
+    assert got == {i: [c for c in spans if not any(s[0] < c[2] and c[0] < s[2] for s in taken)] for i, spans, taken in rows}
+    assert sum(map(len, got.values())) > 100

@@ -40,6 +40,12 @@ MIN_SUM, MIN_MEAN = 12.0, 0.4
 #: Weight of a character's own frequency among the counts of its context.
 PRIOR = 50.0
 _CHUNK = 512
+_HALVINGS = 30  # more than the spans of a text can need
+
+
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), fn)[0]
 
 
 def _spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
@@ -99,8 +105,22 @@ def base_spans(text: Column) -> Column:
 
 
 def _free(spans: Column, taken: Column) -> Column:
-    """The spans that touch none of ``taken``."""
-    return F.filter(spans, lambda c: ~F.exists(taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    """The spans that touch none of ``taken`` (sorted by start). Spans of one kind do not overlap, so of each kind
+    the last one that starts before a span ends, found by halving, is the only one that can reach into it."""
+
+    def clear(c: Column, kind: Column) -> Column:
+        last = F.aggregate(
+            F.array(*[F.lit(1 << b) for b in reversed(range(_HALVINGS))]),
+            F.lit(0),
+            lambda n, step: F.when((n + step <= F.size(kind)) & (F.get(kind, n + step - 1)["start"] < c["end"]), n + step).otherwise(n),
+        )
+        return _let(last, lambda n: (n == 0) | (F.get(kind, n - 1)["end"] <= c["start"]))
+
+    def kept(kinds: Column) -> Column:
+        return F.filter(spans, lambda c: F.forall(kinds, lambda kind: (F.size(kind) == 0) | clear(c, kind)))
+
+    kinds = F.transform(F.array(*map(F.lit, range(len(PATTERNS)))), lambda k: F.filter(taken, lambda s: s["order"] == k))
+    return F.when((F.size(spans) == 0) | (F.size(taken) == 0), spans).otherwise(_let(kinds, kept))
 
 
 def _named(spans: Column) -> Column:
