@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weatherloom import contracts as C
 from weatherloom.operators.asof import asof_tier, join_asof
+from weatherloom.operators.joins import join_hour
 from weatherloom.plans import gold
 
 START = dt.datetime(2024, 1, 1)
@@ -93,3 +94,15 @@ def test_fact_takes_earlier_weather(spark):
         0: (10.0, 0, 1), 1: (10.0, 1, 0), 2: (13.0, 0, 1), 3: (13.0, 2, 0), 4: (None, None, 0), 5: (None, None, None),
         9: (None, None, None), 10: (None, None, None),
     }
+
+
+def test_a_grid_of_small_files_is_not_broadcast(spark, tmp_path):
+    """An hour grid is a few bytes of files for many rows, which Spark would send whole through the driver."""
+    e, o = frames(spark, [("a", 125), ("b", 7), (None, 3)], {("a", 120): 4, ("b", 60): 5})
+    o.write.parquet(f"{tmp_path}/obs")
+    o = spark.read.parquet(f"{tmp_path}/obs")
+    hourly = join_hour(e.withColumn("hour", F.date_trunc("hour", "at")), o, "station", "hour", "seen", {"v": "w"}, "id")
+    earlier = join_asof(e, o, "station", "at", "seen", {"v": "w"}, "id", 2)
+    assert sorted((r.id, r.w) for r in hourly.collect()) == sorted((r.id, r.w) for r in earlier.collect()) == [(0, 4), (1, None), (2, None)]
+    for out in (hourly, earlier):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()

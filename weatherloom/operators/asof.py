@@ -63,7 +63,8 @@ def join_asof(
 
     ``cols`` maps observation columns to output names; the time of the observation comes back as
     ``matched``. ``obs`` must be unique on (key, time). The text key may be null for many events, and
-    so may the time: such events match nothing and are spread over tasks by ``row_id``.
+    so may the time: such events match nothing and are spread over tasks by ``row_id``. Neither side is
+    broadcast: both grow with the observations, whose files are far smaller than their rows.
     """
     o = obs.where(F.col(key).isNotNull() & F.col(obs_ts).isNotNull()).select(
         F.col(key).alias("__k"), F.col(obs_ts).cast("timestamp").alias("__t"), *[F.col(c).alias(n) for c, n in cols.items()]
@@ -71,13 +72,13 @@ def join_asof(
     at = F.col(ts).cast("timestamp")
     timed = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("__k"), at.alias("__t"))
     found = latest_before(timed, o.select("__k", "__t"), "__k", "__t", tolerance_hours, block_hours)
-    pairs = found.withColumnRenamed("__t", "__at").withColumnRenamed("__seen", "__t").join(o, ["__k", "__t"]).select(
+    pairs = found.withColumnRenamed("__t", "__at").withColumnRenamed("__seen", "__t").join(o.hint("merge"), ["__k", "__t"]).select(
         "__k", "__at", F.col("__t").alias(matched), *cols.values()
     )
     keyed = F.when(F.col(ts).isNotNull(), F.col(key))
     e = events.withColumn("__spread", spread_nulls(keyed, row_id))
     hit = (F.col("__spread") == F.col("__k")) & (at == F.col("__at"))
-    return e.join(pairs, hit, "left").drop("__spread", "__k", "__at")
+    return e.join(pairs.hint("merge"), hit, "left").drop("__spread", "__k", "__at")
 
 
 def asof_tier(tier: Column | str, matched: Column | str) -> Column:

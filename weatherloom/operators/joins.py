@@ -80,7 +80,8 @@ def join_hour(
     """Left join event rows to the observation of their station and hour.
 
     ``cols`` maps observation columns to output names; the matched hour itself is returned as
-    ``weather_hour_utc``. ``obs`` must be unique on (key, hour).
+    ``weather_hour_utc``. ``obs`` must be unique on (key, hour). The files of a full hour grid are far
+    smaller than its rows, so a sort-merge hint keeps Spark from broadcasting it by their size.
     """
     o = obs.select(
         F.col(key).alias("__k"),
@@ -91,7 +92,7 @@ def join_hour(
     keyed = F.when(F.col(hour).isNotNull(), F.col(key))
     e = events.withColumn("__spread", spread_nulls(keyed, row_id))
     hit = (F.col("__spread") == F.col("__k")) & (F.col(hour) == F.col("weather_hour_utc"))
-    return e.join(o, hit, "left").drop("__spread", "__k")
+    return e.join(o.hint("merge"), hit, "left").drop("__spread", "__k")
 
 
 def join_tier(
