@@ -47,3 +47,15 @@ def test_too_many_stamps(spark):
     df = spark.range(aggregate.MAX_STAMPS + 1).select(F.col("id").cast("string").alias(aggregate.RUN_STAMP))
     with pytest.raises(ValueError, match="stamps"):
         aggregate.run_stamps(df)
+
+
+def test_a_task_takes_a_bounded_share_of_a_shuffle(spark):
+    """However few cores there are, more rows make more tasks, not larger sorts and hash tables in each."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionNum", "1")
+    try:
+        keys = spark.range(1_000_000).select(F.xxhash64("id").alias("k"))
+        values = [F.max(F.xxhash64("k", F.lit(i))).alias(f"v{i}") for i in range(10)]
+        out = keys.groupBy("k").agg(*values).groupBy(F.spark_partition_id()).agg(*[F.max(f"v{i}") for i in range(10)])
+        assert len(out.collect()) >= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionNum")

@@ -14,8 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where a later aggregate could have reused its partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # size of the pieces a large partition value is split into on write, and so of the files
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Shuffled bytes that one task takes, and size of the pieces a large partition value is split into on
+    # write. Sorts and hash tables of narrow, compressed rows need some thirty times these bytes.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 
 
