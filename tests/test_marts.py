@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from weatherloom import session
 from weatherloom.bindings.registry import Tables
 from weatherloom.bindings.star import A_TS, star_base
 from weatherloom.operators import aggregate
@@ -59,3 +60,21 @@ def test_a_task_takes_a_bounded_share_of_a_shuffle(spark):
         assert len(out.collect()) >= 3
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionNum")
+
+
+def test_tasks_stay_small_with_few_shuffle_partitions_and_large_files(spark, tmp_path):
+    """What one task sorts or totals is bounded by bytes, even if the cluster names few partitions."""
+    session.configure(spark)
+    settings = {"spark.sql.adaptive.coalescePartitions.minPartitionNum": "1", "spark.sql.files.minPartitionNum": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        keys = spark.range(1_000_000).select(F.xxhash64("id").alias("k"))
+        rows = keys.select("k", *[F.xxhash64("k", F.lit(i)).alias(f"v{i}") for i in range(5)])
+        sums = rows.groupBy("k").agg(*[F.max(f"v{i}").alias(f"v{i}") for i in range(5)])
+        assert len(sums.groupBy(F.spark_partition_id()).agg(*[F.max(f"v{i}") for i in range(5)]).collect()) >= 5
+        rows.coalesce(1).write.parquet(str(tmp_path / "rows"))
+        assert spark.read.parquet(str(tmp_path / "rows")).rdd.getNumPartitions() >= 3
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

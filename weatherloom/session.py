@@ -15,15 +15,21 @@ SETTINGS = {
     # split a skewed join even where a later aggregate could have reused its partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Shuffled bytes that one task takes, and size of the pieces a large partition value is split into on
-    # write. Sorts and hash tables of narrow, compressed rows need some thirty times these bytes.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    # write. Sorts and hash tables of narrow, compressed rows need some forty times these bytes.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    # File bytes that one task scans: what it totals before a shuffle grows with them, some twenty-fold.
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
+# Shuffle partitions are only ever joined to that size, never cut, so there must be enough of them.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+LEAST_INITIAL = 200
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session somebody else created."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    spark.conf.set(INITIAL_PARTITIONS, str(max(LEAST_INITIAL, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
