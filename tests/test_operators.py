@@ -102,6 +102,31 @@ def test_far_places_meet_few_sites_of_a_cluster(spark):
         assert found[a] == pytest.approx(min(kilometres(p, q) for _, *q in cluster), abs=1e-6)
 
 
+def _records_shuffled(plan):
+    own = plan.metrics().get("shuffleRecordsWritten")
+    below = (_records_shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+    return (own.get().value() if own.isDefined() else 0) + sum(below)
+
+
+def test_nearest_shuffles_few_rows_a_place(spark):
+    """Places north of a field of sites, along whose border many cells are about equally far."""
+    rng = random.Random(5)
+    north = [(i, rng.uniform(38, 50), rng.uniform(-120, -70)) for i in range(2000)]
+    field = [(i, rng.uniform(25, 37), rng.uniform(-120, -70)) for i in range(3000)]
+    left = spark.createDataFrame(north, "a int, alat double, alon double")
+    right = spark.createDataFrame(field, "b int, blat double, blon double")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        pairs = candidates(left, right, ("alat", "alon"), ("blat", "blon"), "b", None)
+        assert len({r["__alat"] for r in pairs.collect()}) == len(north)
+        assert _records_shuffled(pairs._jdf.queryExecution().executedPlan()) < 100 * len(north)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # --- hourly series -------------------------------------------------------------------------
 
 
