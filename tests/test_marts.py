@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from weatherloom import session
 from weatherloom.bindings.registry import Tables
 from weatherloom.bindings.star import A_TS, star_base
-from weatherloom.operators import aggregate
+from weatherloom.operators import aggregate, joins
 from weatherloom.plans import gold
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +80,72 @@ def test_tasks_stay_small_with_few_shuffle_partitions_and_large_files(spark, tmp
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def _star(spark, lines):
+    """Order lines, four an order, with the tables they refer to."""
+    k = F.col("id")
+    orders = spark.range(lines // 4 + 1).select(
+        k.alias("o_orderkey"), (k % 50).alias("o_custkey"), (k % 9000 / 7).alias("o_totalprice"),
+        F.timestamp_add("DAY", (k % 2000).cast("int"), F.lit("1995-01-01").cast("timestamp_ntz")).alias("o_orderdate"),
+    )
+    lineitem = spark.range(lines).select(
+        F.floor(k / 4).alias("l_orderkey"), (k % 199).alias("l_partkey"), (k % 7 + 1).cast("int").alias("l_linenumber"),
+        (k % 50 + 1.0).alias("l_quantity"), (k % 1000 / 8).alias("l_extendedprice"), (k % 11 / 100).alias("l_discount"),
+        (k % 9 / 100).alias("l_tax"), F.substring(F.lit("ARN"), (k % 3 + 1).cast("int"), F.lit(1)).alias("l_returnflag"),
+        F.substring(F.lit("FO"), (k % 2 + 1).cast("int"), F.lit(1)).alias("l_linestatus"),
+    )
+    customer = spark.range(50).select(k.alias("c_custkey"), (k % 5).cast("int").alias("c_nationkey"))
+    nation = spark.range(5).select(k.cast("int").alias("n_nationkey"), F.concat(F.lit("n"), k).alias("n_name"), (k % 2).cast("int").alias("n_regionkey"))
+    region = spark.range(2).select(k.cast("int").alias("r_regionkey"), F.concat(F.lit("r"), k).alias("r_name"))
+    return SimpleNamespace(lineitem=lineitem, orders=orders, customer=customer, nation=nation, region=region)
+
+
+def _rows_per_task(df):
+    return [r[1] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).collect()]
+
+
+def test_star_tasks_follow_from_the_rows_whatever_the_settings(spark):
+    """A session that joins shuffle partitions up to 1 GB still spreads the join and the totals per game."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1g", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1",
+        "spark.sql.adaptive.coalescePartitions.minPartitionNum": "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        units = gold.mart_units(star_base(_star(spark, 600_000)), [A_TS])
+        tasks = _rows_per_task(units)
+        assert len(tasks) >= 3 and max(tasks) < 0.6 * sum(tasks)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_marts_of_dealt_units(spark, monkeypatch):
+    t = _star(spark, 20_000)
+
+    def build():
+        marts = gold.marts(star_base(t), "b", [A_TS])
+        return {x: sorted(map(repr, df.collect())) for x, df in marts.items()}
+
+    plain = build()
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    assert build() == plain and len(plain["playcall"]) > 100
+
+
+def test_dealt_join_with_hot_missing_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    k = F.col("id")
+    # half of the rows have one key; others have none, one that the right lacks, or one that it has twice
+    key = F.when(k % 2 == 0, 7).when(k % 10 == 1, None).when(k % 10 == 3, -1).otherwise(k % 300)
+    left = spark.range(20_000).select(key.alias("a"), "id")
+    right = spark.range(310).select((k % 300).alias("b"), k.alias("r"))
+    out = joins.join_dealt(left, right, "a", "b", 310)
+    want = left.join(right, F.col("a") == F.col("b"))
+    assert out.columns == want.columns
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    assert max(_rows_per_task(out)) < 5000
+    none = joins.join_dealt(left.where("a is null"), right, "a", "b", 310)
+    assert none.isEmpty()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weatherloom import contracts as C
 from weatherloom.bindings.registry import Tables
 from weatherloom.functions.cleaning import bin_numeric, ones
+from weatherloom.operators.joins import join_dealt
 from weatherloom.plans import gold
 
 A_TS, B_TS, C_TS, RUN_ID = "20240101T000000Z", "20240102T000000Z", "20240103T000000Z", "c1_20240103T000000Z"
@@ -33,7 +34,7 @@ def star_fact(t: Tables) -> DataFrame:
     """Order lines as plays: game = order, team = nation, roof environment = region."""
     side = F.col("o_orderkey") % 3
     skip = F.col("l_quantity") == 49
-    lines = t.lineitem.join(orders_star(t), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = join_dealt(t.lineitem, orders_star(t), "l_orderkey", "o_orderkey", t.orders.count())
     return lines.select(
         F.col("o_orderkey").alias("game_id"),
         (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("play_id"),

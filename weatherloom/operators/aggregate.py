@@ -188,8 +188,16 @@ def _unit_totals(
     return repeated.select(*grain, *unit, F.col("__s.name").alias(SAMPLE), "__s.t.*").filter(F.col("n_plays") > 0)
 
 
-def collapse_units(units: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Unit totals, with numbered stamps, at fewer keys; counts, sums and maxima all combine."""
+def collapse_units(
+    units: DataFrame, keys: Sequence[str], tasks: int | None = None, deal_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Unit totals, with numbered stamps, at fewer keys; counts, sums and maxima all combine.
+
+    With ``tasks``, the units are dealt to so many by ``deal_by`` (some of the keys; default: all), and are
+    combined there without another shuffle.
+    """
+    if tasks is not None:
+        units = units.repartition(tasks, *(deal_by or keys))
     return units.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in SUMMED], *[F.max(c).alias(c) for c in LARGEST]
     )

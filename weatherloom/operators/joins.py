@@ -2,22 +2,70 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weatherloom.functions.cleaning import as_column, first_match, safe_ratio
 from weatherloom.operators.rows import pick_first
+from weatherloom.sources.sink import materialize
 
 NULL_SPREAD = 512
 
+#: Rows that a task of a dealt join or aggregation takes on average, and that one key has before it is split.
+TASK_ROWS = 300_000
+#: Keys are counted in so many buckets, to find those that may need splitting.
+KEY_BUCKETS = 1 << 16
+
 
 def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal columns; the caller guarantees ``right`` is unique on them (see the gates)."""
     return left.join(right, list(on), how)
 
 
+def task_count(spark: SparkSession, rows: int) -> int | None:
+    """Tasks that share so many rows, one a core at least; None if a single one takes them all."""
+    if rows <= TASK_ROWS:
+        return None
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+
+
+def join_dealt(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_rows: int) -> DataFrame:
+    """The inner join of a large table with one that has few rows a key, dealt by rows; names must be distinct.
+
+    Spark joins shuffle partitions by their bytes, as far as the session's settings let it, so tasks may grow
+    with the input. Here their number follows from the rows, and nothing joins the partitions again. Left
+    rows are counted first, in buckets of keys; ``right_rows`` is the size of the right table. Buckets above
+    :data:`TASK_ROWS` are split by a hash of the left rows, and their parts meet a copy of the right rows each.
+    """
+    spark = left.sparkSession
+    left = left.where(F.col(left_key).isNotNull())
+
+    def bucket(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).alias("__bucket")
+
+    counts = left.groupBy(bucket(left_key)).agg(F.count(F.lit(1)).alias("__n"))
+    rows, most = counts.agg(F.sum("__n"), F.max("__n")).first()
+    tasks = task_count(spark, (rows or 0) + right_rows)
+    hit = F.col(left_key) == F.col(right_key)
+    if tasks is None:
+        return left.join(right, hit)
+    if most <= TASK_ROWS:
+        return left.repartition(tasks, left_key).join(right.repartition(tasks, right_key).hint("merge"), hit)
+    heavy = counts.where(F.col("__n") > TASK_ROWS)
+    ways = materialize(heavy.select("__bucket", F.ceil(F.col("__n") / TASK_ROWS).alias("__ways")), "ways")
+    split = F.coalesce("__ways", F.lit(1).cast("long"))
+    hashed = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    a = left.withColumn("__bucket", bucket(left_key)).join(F.broadcast(ways), "__bucket", "left")
+    a = a.select(*left.columns, F.pmod(F.xxhash64(*hashed), split).alias("__way"))
+    b = right.withColumn("__bucket", bucket(right_key)).join(F.broadcast(ways), "__bucket", "left")
+    b = b.select(*right.columns, F.explode(F.sequence(F.lit(0).cast("long"), split - 1)).alias("__part"))
+    b = b.repartition(tasks, right_key, "__part").hint("merge")
+    return a.repartition(tasks, left_key, "__way").join(b, hit & (F.col("__way") == F.col("__part"))).drop("__way", "__part")
+
+
 def lookup(
     left: DataFrame,
     dim: DataFrame,
