@@ -7,7 +7,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from weatherloom import contracts as C
 from weatherloom import session
+from weatherloom.bindings import io
 from weatherloom.bindings.registry import Tables
 from weatherloom.bindings.star import A_TS, star_base
 from weatherloom.operators import aggregate, joins
@@ -135,6 +137,30 @@ def test_marts_of_dealt_units(spark, monkeypatch):
     assert build() == plain and len(plain["playcall"]) > 100
 
 
+def test_published_audits_read_written_marts(spark, monkeypatch):
+    """Several aggregates read each mart; none may shuffle its units again."""
+    plans, audit = [], io.serving.table_audit
+
+    def spy(pairs, **meta):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for pair in pairs.values() for df in pair)
+        return audit(pairs, **meta)
+
+    monkeypatch.setattr(io.serving, "table_audit", spy)
+    t = _star(spark, 2000)
+    t.spark = spark
+    out = io.publish_metadata_query(t).collect()
+    assert len(plans) == 6 and not any("Exchange" in p for p in plans)
+    rows = {C.SERVING[x].name: df.count() for x, df in gold.marts(star_base(t), "b", [A_TS]).items()}
+    assert {r.table_name: r.serving_row_count for r in out} == rows and {r.serving_run_id for r in out} == {io.RUN_ID}
+
+
+def test_teams_are_listed_before_the_units_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    indoor = gold.marts(star_base(_star(spark, 4000)), "b", [A_TS])["indoor"]
+    plan = indoor._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+
+
 def test_dealt_join_with_hot_missing_and_repeated_keys(spark, monkeypatch):
     monkeypatch.setattr(joins, "TASK_ROWS", 1000)
     k = F.col("id")

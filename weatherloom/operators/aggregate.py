@@ -219,12 +219,13 @@ def mart(
 
 
 def mart_of_units(
-    units: DataFrame, grain: Sequence[str], team: str = "team", game: str = "game_id"
+    units: DataFrame, grain: Sequence[str], team: str = "team", game: str = "game_id", members: DataFrame | None = None
 ) -> DataFrame:
     """A mart from unit totals at its own grain, both with numbered stamps.
 
     Games are counted, and points averaged, over one row per team and game, so no second pass over
-    the facts and no join of two aggregates is needed.
+    the facts and no join of two aggregates is needed. Units that were shuffled to get to the grain are
+    shuffled once more to list the teams; ``members``, finer units of the same facts, spare that.
     """
     keys = [*grain, SAMPLE]
     if team in grain:
@@ -249,7 +250,8 @@ def mart_of_units(
             F.count("points").alias("n_team_games_points"),
             F.sum("points").alias("points_sum"),
         )
-        teams = units.select(*keys, team).distinct().filter(F.col(team).isNotNull()).select(*keys, F.lit(1).alias("n_teams"))
+        listed = units if members is None else members
+        teams = listed.select(*keys, team).distinct().filter(F.col(team).isNotNull()).select(*keys, F.lit(1).alias("n_teams"))
         rows = games.unionByName(teams, allowMissingColumns=True)
     counts = [*[c for c in SUMMED if c != "epa_sum"], "n_games", "n_games_points", "n_team_games_points", "n_teams"]
     aggs = {c: F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in counts}
