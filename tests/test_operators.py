@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from weatherloom.functions import timestamps as ts
 from weatherloom.functions import weather as wx
 from weatherloom.functions.cleaning import decode_scaled
-from weatherloom.operators import gates
+from weatherloom.functions.geo import round_km
+from weatherloom.operators import gates, joins
 from weatherloom.operators.aggregate import mart
 from weatherloom.operators.columns import conform
 from weatherloom.operators.hourly import lag_delta, lag_rows, lag_values
@@ -108,6 +109,51 @@ def _records_shuffled(plan):
     return (own.get().value() if own.isDefined() else 0) + sum(below)
 
 
+@pytest.mark.parametrize("many_left", [True, False])
+def test_join_distance_copies_few_rows(spark, many_left):
+    """The side with fewer rows is repeated, whichever it is; the other is shuffled as it is."""
+    rng = random.Random(6)
+    make = lambda n: [(i, rng.uniform(25, 49), rng.uniform(-120, -70)) for i in range(n)]
+    many, few = make(4000), make(40)
+    left = spark.createDataFrame(many if many_left else few, "a int, alat double, alon double")
+    right = spark.createDataFrame(few if many_left else many, "b int, blat double, blon double")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "10m"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = join_distance(left, right, ("alat", "alon"), ("blat", "blon"), 200.0, "b")
+        assert df.columns == ["a", "alat", "alon", "b", "blat", "blon", "distance_km"]
+        found = {(r.a, r.b) for r in df.collect()}
+        assert _records_shuffled(df._jdf.queryExecution().executedPlan()) < 2 * len(many)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left, right = (many, few) if many_left else (few, many)
+    assert found == {(i, j) for i, *p in left for j, *q in right if kilometres(p, q) <= 200}
+
+
+def test_crowded_cell_is_shared_in_square_blocks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_PAIRS", 10_000, raising=False)
+    monkeypatch.setattr(joins, "BLOCK_PAIRS", 400, raising=False)
+    k = F.col("id")
+    left = spark.range(400).select(k.alias("a"), (k / 1e5 + 40).alias("alat"), F.lit(-100.0).alias("alon"))
+    right = spark.range(300).select(k.alias("b"), (k / 1e5 + 40).alias("blat"), F.lit(-100.0).alias("blon"))
+    # rows of one place are shared as well
+    for a in (left, left.select("a", (F.col("a") * 0.0 + 40.0).alias("alat"), "alon")):
+        df = join_distance(a, right, ("alat", "alon"), ("blat", "blon"), 50.0, "b")
+        tasks = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 400 * 300 and len(tasks) >= 8 and max(tasks) < 40_000
+
+
+def test_rounded_distances_are_those_of_round(spark):
+    rng = random.Random(9)
+    values = [rng.uniform(0, 20015) for _ in range(2000)] + [n / 1e6 + 5e-7 for n in range(3000)]
+    values += [None, 0.0, -1e-9, 1e15, float("nan"), float("inf"), 200.0, 2.5e-6, 4.999e-7]
+    df = spark.createDataFrame([(v,) for v in values], "d double")
+    text = [F.round("d", 6).cast("string"), round_km("d").cast("string")]
+    assert df.where(~text[0].eqNullSafe(text[1])).count() == 0
+
+
 def test_nearest_shuffles_few_rows_a_place(spark):
     """Places north of a field of sites, along whose border many cells are about equally far."""
     rng = random.Random(5)
